@@ -13,8 +13,6 @@ from symgrid.operators.arguments import checked_count, chosen_values, resolve_fi
 from symgrid.operators.markers import BREAK
 from symgrid.sources.containers import Container, open_container
 
-# Pages up to this size are sorted by a top-k in one task, larger ones by range.
-_TOP_K_ROWS = 10_000
 # More spellings of one label than this are matched by a semi-join instead of a list.
 _SPELLINGS_LISTED = 100
 
@@ -104,9 +102,6 @@ def read_symbol(
         records = container.page(meta, records, bool(filters), offset, limit)
     if markers and meta.dimension_count > 1:
         records = container.with_markers(meta, records)
-    if (ordered or limit is not None) and meta.dimension_count:
-        records = records.orderBy(*container.order(meta))
-        if limit is not None and limit <= _TOP_K_ROWS:
-            # The page has no more rows than this anyway: sort it as a top-k.
-            records = records.limit(limit)
+    if ordered or limit is not None:
+        records = container.in_order(meta, records, offset, limit)
     return records.select(*_output(meta, values, markers))

@@ -124,10 +124,23 @@ class SymbolSet:
         return reduce(DataFrame.unionByName, rows)
 
     def page(self, meta: SymbolMeta, records: DataFrame, filtered: bool, offset: int, limit: int | None) -> DataFrame:
-        """The rows after ``offset``, at most ``limit`` of them, in stored order."""
-        page = records.orderBy(*self.order(meta)) if meta.dimension_count else records
-        page = page.offset(offset) if offset else page
-        return page if limit is None else page.limit(limit)
+        """The rows up to the end of the page; :meth:`in_order` drops those before it.
+
+        The offset has to come last: a join above an offset (the one for the markers)
+        makes adaptive execution believe in a single row and drop the sort above it.
+        """
+        if limit is None:
+            return records
+        if not meta.dimension_count:
+            return records.limit(offset + limit)
+        return records.orderBy(*self.order(meta)).limit(offset + limit)
+
+    def in_order(self, meta: SymbolMeta, records: DataFrame, offset: int, limit: int | None) -> DataFrame:
+        if meta.dimension_count:
+            records = records.orderBy(*self.order(meta))
+        if offset:
+            records = records.offset(offset)
+        return records if limit is None else records.limit(limit)
 
     def for_paging(self, meta: SymbolMeta, offset: int, limit: int | None):
         """The container to page in: this one for a shallow page, else a stored copy.

@@ -23,7 +23,7 @@ from dataclasses import replace
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -52,6 +52,9 @@ def _fail_when(condition: Column, message: str | Column) -> Column:
 class SymbolStore:
     """A store at ``path``, which may be any URI that Spark can read and write."""
 
+    # Pages up to this size are sorted in one task, larger ones by range.
+    TOP_K_ROWS = 10_000
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -285,9 +288,6 @@ class SymbolStore:
     def parts(self, meta: SymbolMeta) -> DataFrame:
         return self.spark.read.schema(_PARTS_DDL).parquet(self._dir("parts", meta))
 
-    def order(self, meta: SymbolMeta) -> list[str]:
-        return ["part", "pos"]
-
     def with_markers(self, meta: SymbolMeta, records: DataFrame) -> DataFrame:
         return records
 
@@ -349,10 +349,13 @@ class SymbolStore:
             page = page.where((part <= stop.part) & ((part < stop.part) | (pos <= stop.place)))
         return page
 
+    def in_order(self, meta: SymbolMeta, records: DataFrame, offset: int, limit: int | None) -> DataFrame:
+        records = records.orderBy("part", "pos")
+        # A page has no more rows than this anyway: sort a small one as a top-k.
+        return records.limit(limit) if limit is not None and limit <= self.TOP_K_ROWS else records
+
     def _places_to_positions(self, records: DataFrame, start, stop):
         """Turn places among the filtered rows of the two end parts into stored positions."""
-        from pyspark.sql import Row
-
         ends = {end: row for end, row in (("start", start), ("stop", stop)) if row is not None}
         in_part = Window.partitionBy("part").orderBy("pos")
         placed = (
