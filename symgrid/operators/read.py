@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,28 +25,44 @@ def scannable(container: Container, symbol: str) -> SymbolMeta:
     return meta
 
 
-def restrict(
+def filtered_scan(
     container: Container,
     meta: SymbolMeta,
-    records: DataFrame,
     filters: Sequence[tuple[int, str]],
     ignore_case: bool = False,
-) -> DataFrame:
-    """Records whose labels equal the given ones; plain comparisons that reach the scan."""
+) -> Callable[..., DataFrame]:
+    """A function that scans the records with the given labels.
+
+    The filters are plain comparisons, which reach the Parquet scan. Its keyword
+    arguments limit the scan to some parts of a stored symbol.
+    """
+    listed: dict[int, list[str]] = {}
+    spellings: dict[int, DataFrame] = {}
     for position, label in filters:
-        key = F.col(meta.keys[position])
         if not ignore_case:
-            records = records.where(key == label)
+            listed[position] = [label]
             continue
         # Comparing lower(key) would keep the filter out of the scan, so look the
         # spellings up among the distinct labels and compare with those.
-        spellings = container.labels(meta, position).where(F.lower("value") == F.lower(F.lit(label)))
-        listed = [row.value for row in spellings.limit(_SPELLINGS_LISTED + 1).collect()]
-        if len(listed) <= _SPELLINGS_LISTED:
-            records = records.where(key.isin(listed))
+        found = container.labels(meta, position).where(F.lower("value") == F.lower(F.lit(label)))
+        labels = [row.value for row in found.limit(_SPELLINGS_LISTED + 1).collect()]
+        if len(labels) <= _SPELLINGS_LISTED:
+            listed[position] = labels
         else:
-            records = records.join(spellings, key == spellings.value, "left_semi")
-    return records
+            spellings[position] = found
+
+    def scan(**parts) -> DataFrame:
+        if 0 in listed or parts:
+            records = container.scan(meta, first_labels=listed.get(0), **parts)
+        else:
+            records = container.records(meta)
+        for position, labels in listed.items():
+            records = records.where(F.col(meta.keys[position]).isin(labels))
+        for position, found in spellings.items():
+            records = records.join(found, F.col(meta.keys[position]) == found.value, "left_semi")
+        return records
+
+    return scan
 
 
 def _output(meta: SymbolMeta, values: Sequence[str], markers: bool) -> list[Column]:
@@ -97,9 +113,8 @@ def read_symbol(
     if paged:
         container = container.for_paging(meta, offset, limit)
         meta = container.find(meta.name)
-    records = restrict(container, meta, container.records(meta), filters, ignore_case)
-    if paged:
-        records = container.page(meta, records, bool(filters), offset, limit)
+    scan = filtered_scan(container, meta, filters, ignore_case)
+    records = container.page(meta, scan, bool(filters), offset, limit) if paged else scan()
     if markers and meta.dimension_count > 1:
         records = container.with_markers(meta, records)
     if ordered or limit is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
@@ -92,6 +92,9 @@ class SymbolSet:
     def records(self, meta: SymbolMeta) -> DataFrame:
         return self._records[meta.name.lower()]
 
+    def scan(self, meta: SymbolMeta, first_labels: Sequence[str] | None = None) -> DataFrame:
+        return self.records(meta)
+
     def order(self, meta: SymbolMeta) -> list[str]:
         return order_columns(meta.dimension_count, meta.ranked)
 
@@ -123,12 +126,20 @@ class SymbolSet:
             return self.spark.createDataFrame([], CATALOG_DDL + ", symbol_index int")
         return reduce(DataFrame.unionByName, rows)
 
-    def page(self, meta: SymbolMeta, records: DataFrame, filtered: bool, offset: int, limit: int | None) -> DataFrame:
+    def page(
+        self,
+        meta: SymbolMeta,
+        scan: Callable[..., DataFrame],
+        filtered: bool,
+        offset: int,
+        limit: int | None,
+    ) -> DataFrame:
         """The rows up to the end of the page; :meth:`in_order` drops those before it.
 
         The offset has to come last: a join above an offset (the one for the markers)
         makes adaptive execution believe in a single row and drop the sort above it.
         """
+        records = scan()
         if limit is None:
             return records
         if not meta.dimension_count:

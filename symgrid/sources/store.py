@@ -4,26 +4,28 @@ Layout under the store's path::
 
     catalog/                    one small file per write; the newest revision of a symbol counts
     records/<symbol>/r<rev>/    part, pos, key_1 .. key_n, first_of_run (n > 1), values
-    parts/<symbol>/r<rev>/      part, rows, first_row
+    parts/<symbol>/r<rev>/      part, rows, first_row, files, low, high
     runs/<symbol>/r<rev>/       keys of the first record of each run of key_1 (n > 1)
     domains/<symbol>/r<rev>/    dim_index, value
 
 ``part`` is the range partition a record was written by and ``pos`` its place in it,
-so ``(part, pos)`` is the stored order. ``parts`` turns a row number into such a pair,
-which gives every record a position without a second write of the data and lets a deep
-page be read as a pushed-down range. A symbol is written under a new revision and
+so ``(part, pos)`` is the stored order. ``parts`` has one row per part. It turns a row
+number into such a pair, which gives every record a position without a second write of
+the data and lets a deep page be read as a pushed-down range; and it holds the range of
+first labels and the files of each part, so that a page or a filter on the first
+dimension of a large symbol opens only the files it needs. A symbol is written under a new revision and
 becomes visible by the catalog row added last: a failed write leaves the old revision
 in place, and readers of the old revision are not disturbed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,7 +35,7 @@ from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
 from symgrid.operators.markers import BREAK, first_records, with_breaks
 
 _CATALOG_FILES_DDL = f"{CATALOG_DDL}, symbol_index int, revision int"
-_PARTS_DDL = "part int, rows bigint, first_row bigint"
+_PARTS_DDL = "part int, rows bigint, first_row bigint, files array<string>, low string, high string"
 _DOMAINS_DDL = "dim_index int, value string"
 # monotonically_increasing_id() keeps the place within the partition in its low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
@@ -54,6 +56,14 @@ class SymbolStore:
 
     # Pages up to this size are sorted in one task, larger ones by range.
     TOP_K_ROWS = 10_000
+    # A part holds at most about this many rows, and not much less than the second
+    # number just for the sake of parallel writing.
+    ROWS_PER_PART = 10_000_000
+    MIN_ROWS_PER_PART = 50_000
+    # From this size on, a scan looks up which files it needs, and opens only those
+    # if they are not more than this many.
+    PRUNED_FROM_ROWS = 20_000_000
+    LISTED_FILES = 5_000
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -189,8 +199,7 @@ class SymbolStore:
         """Records sorted by key and split into ranges of the whole key.
 
         The whole key is unique, so a ``key_1`` that holds a large share of the rows is
-        cut into as many ranges as its size asks for. Without ``num_partitions`` the
-        number of files follows spark.sql.shuffle.partitions and AQE's advisory size.
+        cut into as many ranges as its size asks for.
         """
         if not meta.dimension_count:
             return records.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("pos"), *meta.values)
@@ -202,18 +211,20 @@ class SymbolStore:
         if meta.dimension_count > 1:
             # Written first, so that the planner knows its size when it picks the join:
             # a broadcast leaves the records where they are.
-            first_records(records, keys, order).write.mode("overwrite").parquet(self._dir("runs", meta))
+            size = Observation()
+            counted = records.select(*order).observe(size, F.count(F.lit(1)).alias("rows"))
+            first_records(counted, keys, order).write.mode("overwrite").parquet(self._dir("runs", meta))
             columns = [*[f"{key} string" for key in keys], "is_first boolean"]
             runs = self.spark.read.schema(", ".join(columns)).parquet(self._dir("runs", meta))
             records = with_breaks(records, runs, keys)
-        ranges = [num_partitions] if num_partitions else []
-        ranged = records.repartitionByRange(*ranges, *order)
+            num_partitions = num_partitions or self._part_count(size.get["rows"])
+        else:
+            num_partitions = num_partitions or self._part_count(records.count())
+        ranged = records.repartitionByRange(num_partitions, *order)
         # Equal keys share a range, so this window runs in place: no further shuffle, and
         # its sort is the one the files need.
         same_key = Window.partitionBy(*order).orderBy(*order)
-        duplicate = F.concat(
-            F.lit(f"Duplicate key in symbol '{meta.name}': "), F.concat_ws(", ", *keys)
-        )
+        duplicate = F.concat(F.lit(f"Duplicate key in symbol '{meta.name}': "), F.concat_ws(", ", *keys))
         return (
             ranged.withColumn("repeat", F.row_number().over(same_key))
             .where(_fail_when(F.col("repeat") > 1, duplicate))
@@ -227,24 +238,53 @@ class SymbolStore:
             )
         )
 
+    def _part_count(self, rows: int) -> int:
+        at_once = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(1, -(-rows // self.ROWS_PER_PART), min(at_once, -(-rows // self.MIN_ROWS_PER_PART)))
+
     def _write_parts(self, meta: SymbolMeta) -> int:
-        """Row counts per written part, read back from two narrow columns; returns the total."""
-        parts = self.records(meta).groupBy("part").agg(
-            F.count(F.lit(1)).alias("rows"), F.max("pos").alias("last_pos")
+        """Rows, files and labels per written part, from narrow columns; returns the row count.
+
+        Counting what is on disk rather than what was sent there keeps task retries out
+        of the numbers.
+        """
+        records = self.records(meta)
+        if meta.dimension_count:
+            broken = _fail_when(F.col("rows") != F.col("last_pos") + 1, "Stored positions are not contiguous")
+        else:
+            broken = _fail_when(F.col("rows") > 1, f"More than one record for scalar '{meta.name}'")
+        # Labels in an order of their own say nothing about a range of labels.
+        ranges = bool(meta.dimension_count) and 1 not in meta.ranked
+        low = F.min(F.when(F.col("pos") == 0, F.col("key_1"))) if ranges else F.lit(None).cast("string")
+        parts = (
+            records.select("part", "pos", *meta.keys[:1], F.col("_metadata.file_name").alias("file"))
+            .groupBy("part")
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.max("pos").alias("last_pos"),
+                F.collect_set("file").alias("files"),
+                low.alias("low"),
+            )
+            .where(broken)
         )
         # One row per write task: a window over all of them is small.
-        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        in_order = Window.orderBy("part")
+        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        total = Observation()
         (
-            parts.where(
-                _fail_when(F.col("rows") != F.col("last_pos") + 1, "Stored positions are not contiguous")
-                if meta.dimension_count
-                else _fail_when(F.col("rows") > 1, f"More than one record for scalar '{meta.name}'")
+            parts.select(
+                "part",
+                "rows",
+                F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_row"),
+                "files",
+                "low",
+                F.lead("low").over(in_order).alias("high"),
             )
-            .select("part", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_row"))
+            .observe(total, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
             .write.mode("overwrite")
             .parquet(self._dir("parts", meta))
         )
-        return self.parts(meta).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        return total.get["rows"]
 
     def _write_domains(self, meta: SymbolMeta) -> None:
         """Distinct labels of all dimensions in one pass over the key columns."""
@@ -262,28 +302,60 @@ class SymbolStore:
         )
 
     def _add_to_catalog(self, meta: SymbolMeta) -> None:
-        row = (
-            meta.name,
-            meta.symbol_type,
-            meta.dimension_count,
-            meta.record_count,
-            meta.description,
-            list(meta.domain_labels),
-            meta.index,
-            meta.revision,
-        )
-        frame = self.spark.createDataFrame([row], _CATALOG_FILES_DDL)
-        frame.coalesce(1).write.mode("append").parquet(f"{self.path}/catalog")
+        row = {
+            "symbol_name": F.lit(meta.name),
+            "symbol_type": F.lit(meta.symbol_type),
+            "dimension_count": F.lit(meta.dimension_count).cast("bigint"),
+            "record_count": F.lit(meta.record_count).cast("bigint"),
+            "description": F.lit(meta.description),
+            "domain_labels": F.array(*[F.lit(label) for label in meta.domain_labels]).cast("array<string>"),
+            "symbol_index": F.lit(meta.index),
+            "revision": F.lit(meta.revision),
+        }
+        frame = self.spark.range(1, numPartitions=1).select(*[value.alias(name) for name, value in row.items()])
+        frame.write.mode("append").parquet(f"{self.path}/catalog")
         _loaded.pop(self._cache_key, None)
 
     # -- what the operators need from a container ---------------------------------
 
-    def records(self, meta: SymbolMeta) -> DataFrame:
+    def records(self, meta: SymbolMeta, files: Sequence[str] | None = None) -> DataFrame:
         columns = ["part int", "pos bigint", *[f"{key} string" for key in meta.keys]]
         if meta.dimension_count > 1:
             columns.append(f"{BREAK} boolean")
         columns += [f"{name} {kind}" for name, kind in VALUE_COLUMNS[meta.symbol_type]]
-        return self.spark.read.schema(", ".join(columns)).parquet(self._dir("records", meta))
+        folder = self._dir("records", meta)
+        paths = [folder] if files is None else [f"{folder}/{file}" for file in files]
+        if not paths:
+            return self.spark.createDataFrame([], ", ".join(columns))
+        return self.spark.read.schema(", ".join(columns)).parquet(*paths)
+
+    def scan(
+        self,
+        meta: SymbolMeta,
+        first_labels: Sequence[str] | None = None,
+        from_part: int | None = None,
+        to_part: int | None = None,
+    ) -> DataFrame:
+        """Records, possibly without files that have none of the given labels or parts.
+
+        This only saves opening files (one footer each); the caller still filters.
+        """
+        if meta.record_count < self.PRUNED_FROM_ROWS:
+            return self.records(meta)
+        parts = self.parts(meta)
+        if first_labels is not None:
+            wanted = F.col("low").isNull()
+            for label in first_labels:
+                wanted = wanted | (
+                    (F.col("low") <= label) & (F.col("high").isNull() | (F.col("high") >= label))
+                )
+            parts = parts.where(wanted)
+        if from_part is not None:
+            parts = parts.where(F.col("part") >= from_part)
+        if to_part is not None:
+            parts = parts.where(F.col("part") <= to_part)
+        files = parts.select(F.explode("files").alias("file")).limit(self.LISTED_FILES + 1).collect()
+        return self.records(meta, None if len(files) > self.LISTED_FILES else [row.file for row in files])
 
     def parts(self, meta: SymbolMeta) -> DataFrame:
         return self.spark.read.schema(_PARTS_DDL).parquet(self._dir("parts", meta))
@@ -307,7 +379,14 @@ class SymbolStore:
     def for_paging(self, meta: SymbolMeta, offset: int, limit: int | None) -> SymbolStore:
         return self
 
-    def page(self, meta: SymbolMeta, records: DataFrame, filtered: bool, offset: int, limit: int | None) -> DataFrame:
+    def page(
+        self,
+        meta: SymbolMeta,
+        scan: Callable[..., DataFrame],
+        filtered: bool,
+        offset: int,
+        limit: int | None,
+    ) -> DataFrame:
         """The rows after ``offset``, at most ``limit`` of them, as a range of (part, pos).
 
         Which parts the page lies in follows from row counts per part: the stored ones,
@@ -316,9 +395,9 @@ class SymbolStore:
         so page depth does not matter and no task sees more than one part.
         """
         if limit == 0:
-            return records.limit(0)
+            return self.records(meta).limit(0)
         if filtered:
-            counts = records.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+            counts = scan().groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
             before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
             parts = counts.withColumn("first_row", F.coalesce(F.sum("rows").over(before), F.lit(0)))
         else:
@@ -337,14 +416,13 @@ class SymbolStore:
             ]
         ).first()
         if ends[0] is None:
-            return records.limit(0)
+            return self.records(meta).limit(0)
         start, stop = ends[0], ends[1] if last is not None else None
         if filtered:
-            start, stop = self._places_to_positions(records, start, stop)
+            start, stop = self._places_to_positions(scan, start, stop)
         part, pos = F.col("part"), F.col("pos")
-        page = records.where(
-            (part >= start.part) & ((part > start.part) | (pos >= start.place))
-        )
+        page = scan(from_part=start.part, to_part=stop.part if stop else None)
+        page = page.where((part >= start.part) & ((part > start.part) | (pos >= start.place)))
         if stop is not None:
             page = page.where((part <= stop.part) & ((part < stop.part) | (pos <= stop.place)))
         return page
@@ -354,18 +432,16 @@ class SymbolStore:
         # A page has no more rows than this anyway: sort a small one as a top-k.
         return records.limit(limit) if limit is not None and limit <= self.TOP_K_ROWS else records
 
-    def _places_to_positions(self, records: DataFrame, start, stop):
+    def _places_to_positions(self, scan: Callable[..., DataFrame], start: Row, stop: Row | None):
         """Turn places among the filtered rows of the two end parts into stored positions."""
-        ends = {end: row for end, row in (("start", start), ("stop", stop)) if row is not None}
+        ends = [start] if stop is None else [start, stop]
         in_part = Window.partitionBy("part").orderBy("pos")
         placed = (
-            records.where(F.col("part").isin(sorted({row.part for row in ends.values()})))
+            scan(from_part=ends[0].part, to_part=ends[-1].part)
+            .where(F.col("part").isin([end.part for end in ends]))
             .select("part", "pos", (F.row_number().over(in_part) - 1).alias("place"))
         )
-        matches = [(F.col("part") == row.part) & (F.col("place") == row.place) for row in ends.values()]
-        either = matches[0] if len(matches) == 1 else matches[0] | matches[1]
-        found = {(row.part, row.place): row.pos for row in placed.where(either).collect()}
-        resolved = {
-            end: Row(part=row.part, place=found[(row.part, row.place)]) for end, row in ends.items()
-        }
-        return resolved["start"], resolved.get("stop")
+        is_end = [(F.col("part") == end.part) & (F.col("place") == end.place) for end in ends]
+        found = {(row.part, row.place): row.pos for row in placed.where(is_end[0] | is_end[-1]).collect()}
+        resolved = [Row(part=end.part, place=found[(end.part, end.place)]) for end in ends]
+        return resolved[0], None if stop is None else resolved[1]

@@ -90,6 +90,37 @@ def test_filtered_pages(spark, store, session, filters, offset, limit):
         assert rows(page) == matching[offset:stop]
 
 
+@pytest.mark.parametrize("filters", [{"a": "hot"}, {"a": "a7"}, {"a": "zzz"}, {"a": "HOT"}, {"b": "b2"}, {"a": "a39", "b": "b4"}])
+def test_only_needed_files_are_opened(spark, store, monkeypatch, filters):
+    monkeypatch.setattr(SymbolStore, "PRUNED_FROM_ROWS", 1)
+    fold = filters == {"a": "HOT"}
+    columns = {"a": 0, "b": 1}
+    matching = [
+        r for r in expected() if all((r[columns[k]].lower() == v.lower()) if fold else (r[columns[k]] == v) for k, v in filters.items())
+    ]
+    for offset, limit in ((None, None), (3, 20), (3, None), (0, 10**6)):
+        page = sg.read_symbol(
+            spark, store, "s", filters, row_offset=offset, row_limit=limit, ordered=True, ignore_case=fold
+        )
+        start = offset or 0
+        assert rows(page) == matching[start : None if limit is None else start + limit]
+        assert len(page.inputFiles()) <= (4 if "a" in filters and not fold and filters["a"] != "hot" else 7)
+
+
+def test_page_opens_its_own_files(spark, store, monkeypatch):
+    monkeypatch.setattr(SymbolStore, "PRUNED_FROM_ROWS", 1)
+    page = sg.read_symbol(spark, store, "s", row_offset=1700, row_limit=10)
+    assert rows(page) == expected()[1700:1710]
+    assert len(page.inputFiles()) <= 2
+    monkeypatch.setattr(SymbolStore, "LISTED_FILES", 1)
+    assert rows(sg.read_symbol(spark, store, "s", row_offset=1700, row_limit=1000)) == expected()[1700:2700]
+
+
+def test_number_of_parts(spark, monkeypatch):
+    store = SymbolStore(spark, "unused")
+    assert [store._part_count(n) for n in (0, 1, 50_001, 10**6, 79 * 10**6, 81 * 10**6, 10**12)] == [1, 1, 2, 8, 8, 9, 100_000]
+
+
 def test_deep_session_page_equals_stored_page(spark, session, monkeypatch):
     monkeypatch.setattr(sg.SymbolSet, "TOP_K_ROWS", 100)
     page = sg.read_symbol(spark, session, "s", row_offset=2000, row_limit=300)
