@@ -255,17 +255,16 @@ class SymbolStore:
             broken = _fail_when(F.col("rows") > 1, f"More than one record for scalar '{meta.name}'")
         # Labels in an order of their own say nothing about a range of labels.
         ranges = bool(meta.dimension_count) and 1 not in meta.ranked
-        low = F.min(F.when(F.col("pos") == 0, F.col("key_1"))) if ranges else F.lit(None).cast("string")
+        low = F.col("key_1") if ranges else F.lit(None).cast("string")
+        lows = records.where(F.col("pos") == 0).select("part", low.alias("low"))
         parts = (
-            records.select("part", "pos", *meta.keys[:1], F.col("_metadata.file_name").alias("file"))
+            records.select("part", "pos", F.col("_metadata.file_name").alias("file"))
+            .groupBy("part", "file")
+            .agg(F.count(F.lit(1)).alias("rows"), F.max("pos").alias("last_pos"))
             .groupBy("part")
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.max("pos").alias("last_pos"),
-                F.collect_set("file").alias("files"),
-                low.alias("low"),
-            )
+            .agg(F.sum("rows").alias("rows"), F.max("last_pos").alias("last_pos"), F.collect_list("file").alias("files"))
             .where(broken)
+            .join(lows, "part", "left")
         )
         # One row per write task: a window over all of them is small.
         in_order = Window.orderBy("part")
