@@ -88,3 +88,14 @@ def to_records(
     ]
     slots = [_value_expression(symbol_type, name, supplied).alias(name) for name in names]
     return df.select(*keys, *ranks, *slots)
+
+
+def distinct_labels(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct labels of all dimensions in one pass: ``dim_index`` (1-based), ``value``."""
+    positions = [str(i) for i in range(1, len(keys) + 1)]
+    return (
+        records.select(*[F.col(key).alias(position) for key, position in zip(keys, positions, strict=True)])
+        .unpivot([], positions, "dim_index", "value")
+        .distinct()
+        .select(F.col("dim_index").cast("int").alias("dim_index"), "value")
+    )

@@ -91,7 +91,7 @@ def scan_repeated_label(spark, sf_dir):
 
 @query(oracle.scan("shipments"))
 def stored_scan(spark, sf_dir):
-    return read_stored(spark, sf_dir, "SHIPMENTS")
+    return read_symbol(spark, symbol_store(spark, sf_dir, "shipments"), "SHIPMENTS")
 
 
 @query(oracle.scan("order_stats"))
@@ -357,9 +357,9 @@ def stored_domain_values(spark, sf_dir):
     return domain_values(spark, symbol_store(spark, sf_dir, "shipments"), "shipments", 3)
 
 
-@query(_domain("shipments", "dim_4", "l_returnflag = 'N' AND dim_3 = '7'"))
+@query(_domain("shipments", "dim_4", "l_returnflag = 'N' AND l_linestatus = 'O'"))
 def stored_domain_values_cascade(spark, sf_dir):
-    filters = {"l_returnflag": "N", "dim_3": "7"}
+    filters = {"l_returnflag": "N", "l_linestatus": "O"}
     return domain_values(spark, symbol_store(spark, sf_dir, "shipments"), "shipments", "dim_4", filters)
 
 
@@ -398,3 +398,12 @@ def sql_table_function(spark, sf_dir):
         "SELECT dim_2, dim_4, value "
         "FROM read_stored_trade(dimension_filters => map('dim_1', 'NATION_1', 'DIM_3', 'Brand#2'))"
     )
+
+
+@query(_domain("trade", "dim_3", "dim_1 = 'NATION_2' AND dim_2 = 'NATION_6' AND dim_4 = 'R'"))
+def sql_domain_values(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "trade"), "stored_")
+    return spark.sql(
+        "SELECT value FROM domain_values_stored_trade("
+        "3, dimension_filters => map('dim_1', 'NATION_2', 'dim_2', 'NATION_6', 'dim_4', 'R'))"
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symgrid.functions.naming import type_name
-from symgrid.functions.records import order_columns, ranked_dimensions, to_records
+from symgrid.functions.records import distinct_labels, order_columns, ranked_dimensions, to_records
 from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
 from symgrid.operators.markers import first_records, with_breaks
 from symgrid.sources.shared import new_folder
@@ -106,6 +106,10 @@ class SymbolSet:
         """Distinct labels of one dimension, unsorted, in column ``value``."""
         return self.records(meta).select(F.col(meta.keys[position]).alias("value")).distinct()
 
+    def all_labels(self, meta: SymbolMeta) -> DataFrame:
+        """Distinct labels of all dimensions: ``dim_index`` (1-based), ``value``."""
+        return distinct_labels(self.records(meta), meta.keys)
+
     def catalog(self) -> DataFrame:
         """One row per symbol; the counts are one aggregate per symbol, run together."""
         rows = [

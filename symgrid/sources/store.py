@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from symgrid.functions.naming import VALUE_COLUMNS, type_name
-from symgrid.functions.records import order_columns, ranked_dimensions, to_records
+from symgrid.functions.records import distinct_labels, order_columns, ranked_dimensions, to_records
 from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
 from symgrid.operators.markers import BREAK, first_records, with_breaks
 
@@ -220,23 +220,28 @@ class SymbolStore:
             num_partitions = num_partitions or self._part_count(size.get["rows"])
         else:
             num_partitions = num_partitions or self._part_count(records.count())
-        ranged = records.repartitionByRange(num_partitions, *order)
-        # Equal keys share a range, so this window runs in place: no further shuffle, and
-        # its sort is the one the files need.
-        same_key = Window.partitionBy(*order).orderBy(*order)
-        duplicate = F.concat(F.lit(f"Duplicate key in symbol '{meta.name}': "), F.concat_ws(", ", *keys))
-        return (
-            ranged.withColumn("repeat", F.row_number().over(same_key))
-            .where(_fail_when(F.col("repeat") > 1, duplicate))
+        columns = [*keys, *([BREAK] if meta.dimension_count > 1 else []), *meta.values]
+        placed = (
+            records.repartitionByRange(num_partitions, *order)
             .sortWithinPartitions(*order)
             .select(
                 F.spark_partition_id().alias("part"),
                 F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias("pos"),
-                *keys,
-                *([BREAK] if meta.dimension_count > 1 else []),
-                *meta.values,
+                *columns,
+                *[name for name in order if name not in keys],
             )
         )
+        # Equal keys share a range and are neighbours, so this window runs in place, with
+        # no further shuffle or sort. It comes after the positions are taken: were Spark to
+        # move rows for it (it does if a dimension is a literal), the order would still hold.
+        same_key = Window.partitionBy(*order)
+        duplicate = F.concat(F.lit(f"Duplicate key in symbol '{meta.name}': "), F.concat_ws(", ", *keys))
+        return (
+            placed.withColumn("copies", F.count(F.lit(1)).over(same_key))
+            .where(_fail_when(F.col("copies") > 1, duplicate))
+            .sortWithinPartitions(*order)
+            .select("part", "pos", *columns)
+        )
 
     def _part_count(self, rows: int) -> int:
         at_once = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -287,13 +292,8 @@ class SymbolStore:
 
     def _write_domains(self, meta: SymbolMeta) -> None:
         """Distinct labels of all dimensions in one pass over the key columns."""
-        positions = [F.col(key).alias(str(i)) for i, key in enumerate(meta.keys, start=1)]
         (
-            self.records(meta)
-            .select(*positions)
-            .unpivot([], [str(i) for i in range(1, meta.dimension_count + 1)], "dim_index", "value")
-            .distinct()
-            .select(F.col("dim_index").cast("int").alias("dim_index"), "value")
+            distinct_labels(self.records(meta), meta.keys)
             .repartitionByRange("dim_index", "value")
             .sortWithinPartitions("dim_index", "value")
             .write.mode("overwrite")
@@ -364,16 +364,22 @@ class SymbolStore:
 
     def labels(self, meta: SymbolMeta, position: int) -> DataFrame:
         """Distinct labels of one dimension, unsorted, in column ``value``."""
-        try:
-            domains = self.all_labels(meta)
-        except AnalysisException:
-            # Written without its domains table: scan that one column instead.
+        stored = self._stored_labels(meta)
+        if stored is None:
             return self.records(meta).select(F.col(meta.keys[position]).alias("value")).distinct()
-        return domains.where(F.col("dim_index") == position + 1).select("value")
+        return stored.where(F.col("dim_index") == position + 1).select("value")
 
     def all_labels(self, meta: SymbolMeta) -> DataFrame:
         """Distinct labels of all dimensions: ``dim_index`` (1-based), ``value``."""
-        return self.spark.read.schema(_DOMAINS_DDL).parquet(self._dir("domains", meta))
+        stored = self._stored_labels(meta)
+        return distinct_labels(self.records(meta), meta.keys) if stored is None else stored
+
+    def _stored_labels(self, meta: SymbolMeta) -> DataFrame | None:
+        """The domains table, if the symbol was written with it."""
+        try:
+            return self.spark.read.schema(_DOMAINS_DDL).parquet(self._dir("domains", meta))
+        except AnalysisException:
+            return None
 
     def for_paging(self, meta: SymbolMeta, offset: int, limit: int | None) -> SymbolStore:
         return self

@@ -20,40 +20,65 @@ def _text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _scan_function(function: str, view: str, meta: SymbolMeta) -> str:
-    """DDL of ``function(dimension_filters => map(...))`` over a symbol's view.
+def _filter_tests(meta: SymbolMeta, columns: list[str]) -> str:
+    """SQL condition for the parameter ``dimension_filters MAP<STRING, STRING>``.
 
-    Called with a literal map, the conditions fold to plain comparisons and are pushed
-    to the scan like those of :func:`symgrid.read_symbol`.
+    Called with a literal map, it folds to plain comparisons, which are pushed to the
+    scan like those of :func:`symgrid.read_symbol`; so does the check on the keys.
     """
-    values = VALUE_COLUMNS[meta.symbol_type]
-    names = symbol_columns(meta.domain_labels, [name for name, _ in values])
-    kinds = ["string"] * meta.dimension_count
-    kinds += ["boolean"] * (len(names) - meta.dimension_count - len(values))
-    kinds += [kind for _, kind in values]
-    columns = ", ".join(f"{_name(name)} {kind}" for name, kind in zip(names, kinds, strict=True))
-
     # Keys trimmed and folded, by functions that fold away for a literal map (a lambda
     # over the map would not).
     joined = "regexp_replace(lower(array_join(map_keys(dimension_filters), char(1))), ' *\\u0001 *', char(1))"
     folded = f"if(size(dimension_filters) = 0, CAST(array() AS ARRAY<STRING>), split(trim({joined}), char(1)))"
     given = f"map_from_arrays({folded}, map_values(dimension_filters))"
     aliases = dimension_aliases(meta)
-    known = ", ".join(_text(alias) for alias in aliases) or "''"
+    known = ", ".join(_text(alias) for alias in aliases)
     unknown = f"array_except(map_keys({given}), array({known}))"
-    valid = ", ".join(meta.dimension_names)
-    # The check on the keys is part of the filter, and folds away when they are fine.
-    tests = [
-        f"if(size({unknown}) = 0, true, raise_error(concat('Unknown dimension ''', {unknown}[0], "
-        f"''' supplied via dimension_filters parameter. Valid dimensions: ', {_text(valid)})))"
-    ]
+    before = _text("Unknown dimension '")
+    after = _text(
+        "' supplied via dimension_filters parameter. Valid dimensions: " + ", ".join(meta.dimension_names)
+    )
+    tests = [f"if(size({unknown}) = 0, true, raise_error(concat({before}, {unknown}[0], {after})))"]
     for alias, position in aliases.items():
         value = f"{given}[{_text(alias)}]"
-        tests.append(f"({value} IS NULL OR {_name(names[position])} = trim({value}))")
+        tests.append(f"({value} IS NULL OR {_name(columns[position])} = trim({value}))")
+    return " AND ".join(tests)
+
+
+def _scan_function(function: str, view: str, meta: SymbolMeta) -> str:
+    """DDL of ``function(dimension_filters => map(...))`` over a symbol's view."""
+    values = VALUE_COLUMNS[meta.symbol_type]
+    names = symbol_columns(meta.domain_labels, [name for name, _ in values])
+    kinds = ["string"] * meta.dimension_count
+    kinds += ["boolean"] * (len(names) - meta.dimension_count - len(values))
+    kinds += [kind for _, kind in values]
+    columns = ", ".join(f"{_name(name)} {kind}" for name, kind in zip(names, kinds, strict=True))
     return (
         f"CREATE OR REPLACE TEMPORARY FUNCTION {_name(function)}"
         f"(dimension_filters MAP<STRING, STRING> DEFAULT map()) RETURNS TABLE ({columns}) "
-        f"RETURN SELECT {', '.join(_name(name) for name in names)} FROM {_name(view)} WHERE {' AND '.join(tests)}"
+        f"RETURN SELECT {', '.join(_name(name) for name in names)} FROM {_name(view)} "
+        f"WHERE {_filter_tests(meta, names)}"
+    )
+
+
+def _domain_function(function: str, view: str, labels_view: str, meta: SymbolMeta) -> str:
+    """DDL of ``function(dimension, dimension_filters => map(...))``.
+
+    Without filters it reads the labels view, with filters the symbol's. The arguments
+    are literals, so the branch not taken folds away, as does the choice of the column.
+    """
+    names, count = meta.dimension_names, meta.dimension_count
+    cases = " ".join(f"WHEN {i} THEN {_name(name)}" for i, name in enumerate(names, start=1))
+    before = _text("Dimension index ")
+    after = _text(f" out of range for symbol '{meta.name}' (has {count} dimensions)")
+    out_of_range = f"raise_error(concat({before}, dimension, {after}))"
+    return (
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {_name(function)}"
+        "(dimension BIGINT, dimension_filters MAP<STRING, STRING> DEFAULT map()) RETURNS TABLE (value STRING) "
+        f"RETURN SELECT value FROM (SELECT value FROM {_name(labels_view)} WHERE size(dimension_filters) = 0 "
+        f"AND dim_index = if(dimension BETWEEN 1 AND {count}, CAST(dimension AS INT), {out_of_range}) "
+        f"UNION ALL SELECT DISTINCT CASE dimension {cases} ELSE {out_of_range} END AS value FROM {_name(view)} "
+        f"WHERE size(dimension_filters) > 0 AND {_filter_tests(meta, names)}) ORDER BY value"
     )
 
 
@@ -62,10 +87,12 @@ def register_views(
 ) -> list[str]:
     """Create a temporary view ``<prefix><symbol>`` for each symbol, and ``<prefix>symbols``.
 
-    With ``functions`` each symbol with dimensions also gets a table function
-    ``read_<prefix><symbol>(dimension_filters => map('i', 'seattle'))``. Aliases have no
-    view. Returns the names of the views. Column pruning and WHERE conditions reach the
-    Parquet scan through both.
+    With ``functions`` each symbol with dimensions also gets two table functions:
+    ``read_<prefix><symbol>(dimension_filters => map('i', 'seattle'))`` and
+    ``domain_values_<prefix><symbol>(2, dimension_filters => map('i', 'seattle'))``, the
+    latter over the view ``labels_<prefix><symbol>``. Aliases have no view. Returns the
+    names of the symbols' views. Column pruning and WHERE conditions reach the Parquet
+    scan through views and functions alike.
     """
     container = open_container(spark, source)
     names = [f"{prefix}symbols"]
@@ -76,6 +103,8 @@ def register_views(
         view = f"{prefix}{meta.name}"
         read_symbol(spark, container, meta.name).createOrReplaceTempView(_name(view))
         if functions and meta.dimension_count:
+            container.all_labels(meta).createOrReplaceTempView(_name(f"labels_{view}"))
             spark.sql(_scan_function(f"read_{view}", view, meta))
+            spark.sql(_domain_function(f"domain_values_{view}", view, f"labels_{view}", meta))
         names.append(view)
     return names

@@ -1,6 +1,8 @@
 """Column names and types by symbol type and labels."""
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from symgrid.functions.naming import symbol_columns, type_name, unique_names, value_columns
 
@@ -44,3 +46,13 @@ def test_value_columns_by_type():
     assert value_columns("Variable") == ("level", "marginal", "lower", "upper", "scale")
     assert value_columns("Equation") == value_columns("Variable")
     assert value_columns(77) == ("value",)
+
+
+@given(st.lists(st.sampled_from(["a", "A", "a_1", "A_1", "b", "a_1_1", "value"]), max_size=12))
+def test_names_are_unique_ignoring_case_and_first_ones_unchanged(names):
+    result = unique_names(names)
+    assert len({name.lower() for name in result}) == len(names)
+    for position, (before, after) in enumerate(zip(names, result)):
+        assert after == before or after.startswith(f"{before}_")
+        if before.lower() not in {name.lower() for name in result[:position]}:
+            assert after == before

@@ -209,6 +209,13 @@ def test_sql(spark, sample):
     assert first("SELECT COUNT(*) FROM read_m_ship_cost(dimension_filters => map(' Dim_1 ', 'Seattle'))") == 3
     assert first("SELECT COUNT(*) FROM read_m_ship_cost()") == 6
     assert first("SELECT COUNT(*) FROM read_m_cities(dimension_filters => map('cities', 'Topeka')) WHERE is_member") == 1
+    values = lambda call: [row.value for row in spark.sql(f"SELECT value FROM domain_values_m_{call}").collect()]
+    assert values("ship_cost(2)") == ["Chicago", "New-York", "Topeka"]
+    assert values("ship_cost(1, dimension_filters => map('dim_2', 'Topeka'))") == ["San-Diego", "Seattle"]
+    assert values("ship_cost(2, map('DIM_2', 'Topeka'))") == ["Topeka"]
+    assert values("cities(1)") == sorted(CITIES)
+    with pytest.raises(Exception, match=r"Dimension index 3 out of range for symbol 'ship_cost' \(has 2 dimensions"):
+        values("ship_cost(3)")
     page = spark.sql("SELECT dim_1, dim_2 FROM m_ship_cost ORDER BY dim_1, dim_2 LIMIT 2 OFFSET 2")
     assert rows(page) == [("San-Diego", "Topeka"), ("Seattle", "Chicago")]
     with pytest.raises(Exception, match="Unknown dimension 'unknown'"):

@@ -147,6 +147,20 @@ def test_without_domains_table(spark, tmp_path):
     assert [r.value for r in sg.domain_values(spark, str(tmp_path / "m"), "p", 1).collect()] == ["x", "y"]
 
 
+def test_literal_dimension(spark, tmp_path):
+    """A constant dimension, which Spark folds out of sort and window keys."""
+    path = str(tmp_path / "m")
+    df = spark.range(1000).select(F.lit("only").alias("i"), F.format_string("%04d", "id").alias("j"), F.col("id").alias("v"))
+    sg.write_symbol(df, path, "p", "Parameter", ["i", "j"], "v", num_partitions=5)
+    scan = rows(sg.read_symbol(spark, path, "p", ordered=True))
+    assert [r[4] for r in scan] == [float(i) for i in range(1000)]
+    assert [r[2] for r in scan] == [True] + [False] * 999
+    assert [r[4] for r in rows(sg.read_symbol(spark, path, "p", row_offset=550, row_limit=3))] == [550.0, 551.0, 552.0]
+    twice = df.union(df.where("v = 77"))
+    with pytest.raises(Exception, match="Duplicate key in symbol 'q': only, 0077"):
+        sg.write_symbol(twice, path, "q", "Parameter", ["i", "j"], "v", num_partitions=5)
+
+
 def test_empty_symbol(spark, tmp_path):
     path = str(tmp_path / "m")
     df = spark.createDataFrame([], "i string, j string, v double")
