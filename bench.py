@@ -84,7 +84,7 @@ def main() -> None:
         "session_scan": lambda: run(sg.read_symbol(spark, session, "revenue")),
         "session_scan_four_dims": lambda: run(sg.read_symbol(spark, session, "trade")),
         "session_filtered_sum": lambda: run(
-            sg.read_symbol(spark, session, "revenue", {"p_brand": "Brand#7"}, markers=False).groupBy().sum("value")
+            sg.read_symbol(spark, session, "revenue", {"p_brand": "Brand#7"}).groupBy().sum("value")
         ),
     }
     for name, action in queries.items():

@@ -40,7 +40,8 @@ def with_breaks(records: DataFrame, firsts: DataFrame, keys: Sequence[str]) -> D
     """Add ``first_of_run``; ``records`` may be a filtered part of what ``firsts`` came from.
 
     Which join this becomes is left to Spark: a broadcast if ``firsts`` is small enough,
-    else a sort-merge join on the whole key.
+    else a sort-merge join on the whole key, or none if the flag is not used, since
+    ``firsts`` has one row per ``key_1``.
     """
     return (
         records.join(firsts, list(keys), "left")

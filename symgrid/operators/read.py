@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symgrid.functions.naming import MARKER_COLUMNS, symbol_columns
+from symgrid.functions.naming import symbol_columns
 from symgrid.model import SymbolMeta
 from symgrid.operators.arguments import checked_count, chosen_values, resolve_filters
 from symgrid.operators.markers import BREAK
@@ -65,13 +65,13 @@ def filtered_scan(
     return scan
 
 
-def _output(meta: SymbolMeta, values: Sequence[str], markers: bool) -> list[Column]:
+def _output(meta: SymbolMeta, values: Sequence[str]) -> list[Column]:
     sources = [F.col(key) for key in meta.keys]
     if meta.dimension_count > 1:
-        sources += [F.col(BREAK), ~F.col(BREAK)] if markers else [None, None]
+        sources += [F.col(BREAK), ~F.col(BREAK)]
     sources += [F.col(name) for name in values]
     names = symbol_columns(meta.domain_labels, values)
-    return [column.alias(name) for column, name in zip(sources, names, strict=True) if column is not None]
+    return [column.alias(name) for column, name in zip(sources, names, strict=True)]
 
 
 def read_symbol(
@@ -83,7 +83,6 @@ def read_symbol(
     row_offset: int | None = None,
     row_limit: int | None = None,
     ignore_case: bool = False,
-    markers: bool = True,
     ordered: bool = False,
 ) -> DataFrame:
     """All records of one symbol as a DataFrame.
@@ -98,9 +97,9 @@ def read_symbol(
     of the filtered records in stored order. A page comes sorted; other scans are in
     no particular order unless ``ordered`` is set, so that they need no shuffle.
 
-    ``ignore_case`` matches labels in any spelling. ``markers=False`` leaves the two
-    marker columns out, which spares a session symbol the join that computes them
-    (for stored symbols they are a column, pruned when unused).
+    ``ignore_case`` matches labels in any spelling. Marker columns that are not used
+    cost nothing: in a stored symbol they are a column, which is pruned, and the join
+    that computes them for a session symbol is removed by the optimizer.
     """
     container = open_container(spark, source)
     meta = scannable(container, symbol)
@@ -115,8 +114,8 @@ def read_symbol(
         meta = container.find(meta.name)
     scan = filtered_scan(container, meta, filters, ignore_case)
     records = container.page(meta, scan, bool(filters), offset, limit) if paged else scan()
-    if markers and meta.dimension_count > 1:
+    if meta.dimension_count > 1:
         records = container.with_markers(meta, records)
     if ordered or limit is not None:
         records = container.in_order(meta, records, offset, limit)
-    return records.select(*_output(meta, values, markers))
+    return records.select(*_output(meta, values))

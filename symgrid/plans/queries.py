@@ -50,7 +50,7 @@ def read_stored(spark: SparkSession, sf_dir: str, symbol: str, **options) -> Dat
 
 @query(f"SELECT SUM(value) AS total FROM ({oracle.SYMBOLS['pairs']}) r WHERE n_name_1 = 'NATION_7'")
 def sum_of_filtered_parameter(spark, sf_dir):
-    pairs = read(spark, sf_dir, "pairs", dimension_filters={"n_name_1": "NATION_7"}, markers=False)
+    pairs = read(spark, sf_dir, "pairs", dimension_filters={"n_name_1": "NATION_7"})
     return pairs.agg(F.sum("value").alias("total"))
 
 

@@ -35,6 +35,8 @@ from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
 from symgrid.operators.markers import BREAK, first_records, with_breaks
 
 _CATALOG_FILES_DDL = f"{CATALOG_DDL}, symbol_index int, revision int"
+# Sorted keys and running positions shrink to about half with these, at no cost in time.
+_ENCODING = {"compression": "zstd", "parquet.writer.version": "v2"}
 _PARTS_DDL = "part int, rows bigint, first_row bigint, files array<string>, low string, high string"
 _DOMAINS_DDL = "dim_index int, value string"
 # monotonically_increasing_id() keeps the place within the partition in its low 33 bits.
@@ -169,7 +171,7 @@ class SymbolStore:
     ) -> SymbolMeta:
         meta = self._next_revision(meta, mode)
         sorted_records = self._in_stored_order(records, meta, num_partitions)
-        sorted_records.write.mode("overwrite").parquet(self._dir("records", meta))
+        sorted_records.write.mode("overwrite").options(**_ENCODING).parquet(self._dir("records", meta))
         meta = replace(meta, record_count=self._write_parts(meta))
         if build_domains and meta.dimension_count:
             self._write_domains(meta)
@@ -297,6 +299,7 @@ class SymbolStore:
             .repartitionByRange("dim_index", "value")
             .sortWithinPartitions("dim_index", "value")
             .write.mode("overwrite")
+            .options(**_ENCODING)
             .parquet(self._dir("domains", meta))
         )
 
