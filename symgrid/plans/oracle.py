@@ -40,6 +40,12 @@ SYMBOLS = {
         "SELECT f.n_name AS n_name, t.n_name AS n_name_1, SUM(l_quantity) AS value "
         f"FROM {_TRADED} GROUP BY f.n_name, t.n_name"
     ),
+    "ranked_pairs": (
+        "SELECT f.n_name AS dim_1, t.n_name AS dim_2, SUM(l_quantity) AS value, "
+        "f.n_nationkey AS rank_1, t.n_nationkey AS rank_2 "
+        f"FROM {_TRADED} GROUP BY f.n_name, f.n_nationkey, t.n_name, t.n_nationkey"
+    ),
+    "coded": "SELECT p_type, CAST(COUNT(*) AS DOUBLE) AS value FROM part GROUP BY p_type",
     "order_stats": (
         f"SELECT c_mktsegment, o_orderpriority, {_statistics('o_totalprice')} "
         "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_orderpriority"
@@ -65,6 +71,8 @@ DIMENSIONS = {
     "revenue": ["n_name", "p_brand"],
     "trade": ["dim_1", "dim_2", "dim_3", "dim_4"],
     "pairs": ["n_name", "n_name_1"],
+    "ranked_pairs": ["rank_1", "rank_2"],
+    "coded": ["p_type"],
     "order_stats": ["c_mktsegment", "o_orderpriority"],
     "balance": ["n_name"],
     "total": [],

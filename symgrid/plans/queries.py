@@ -89,6 +89,24 @@ def scan_repeated_label(spark, sf_dir):
     return read(spark, sf_dir, "pairs")
 
 
+@query(oracle.scan("coded"))
+def scan_unknown_type(spark, sf_dir):
+    return read(spark, sf_dir, "coded")
+
+
+_RANKED = "dim_1, dim_2, is_sparse_break, is_dense_run, value"
+
+
+@query(f"SELECT {_RANKED} FROM ({oracle.scan('ranked_pairs')}) s")
+def scan_in_label_order(spark, sf_dir):
+    return read(spark, sf_dir, "ranked_pairs")
+
+
+@query(f"SELECT {_RANKED} FROM ({oracle.scan('ranked_pairs')}) s")
+def stored_scan_in_label_order(spark, sf_dir):
+    return read_stored(spark, sf_dir, "ranked_pairs")
+
+
 @query(oracle.scan("shipments"))
 def stored_scan(spark, sf_dir):
     return read_symbol(spark, symbol_store(spark, sf_dir, "shipments"), "SHIPMENTS")
@@ -263,6 +281,16 @@ def page_filtered(spark, sf_dir):
     return read(spark, sf_dir, "trade", dimension_filters=filters, row_offset=100, row_limit=50)
 
 
+@query(f"SELECT {_RANKED} FROM ({oracle.page('ranked_pairs', 60, 40)}) s")
+def page_in_label_order(spark, sf_dir):
+    return read(spark, sf_dir, "ranked_pairs", row_offset=60, row_limit=40)
+
+
+@query(f"SELECT {_RANKED} FROM ({oracle.page('ranked_pairs', 60, 40)}) s")
+def stored_page_in_label_order(spark, sf_dir):
+    return read_stored(spark, sf_dir, "ranked_pairs", row_offset=60, row_limit=40)
+
+
 @query(oracle.page("shipments", 0, 10000))
 def stored_page_first(spark, sf_dir):
     return read_stored(spark, sf_dir, "shipments", row_limit=10000)
@@ -391,6 +419,24 @@ def sql_over_views(spark, sf_dir):
     )
 
 
+@query(f"SELECT CAST(SUM(value) AS INTEGER) AS total FROM ({oracle.SYMBOLS['shipments']}) r")
+def sql_sum_as_integer(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql("SELECT CAST(SUM(value) AS INT) AS total FROM stored_shipments")
+
+
+@query(
+    f"SELECT * FROM ({oracle.scan('shipments')}) s "
+    "ORDER BY value DESC, l_returnflag, l_linestatus, dim_3, dim_4 LIMIT 100 OFFSET 50"
+)
+def sql_order_limit_offset(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql(
+        "SELECT * FROM stored_shipments "
+        "ORDER BY value DESC, l_returnflag, l_linestatus, dim_3, dim_4 LIMIT 100 OFFSET 50"
+    )
+
+
 @query(f"SELECT dim_2, dim_4, value FROM ({oracle.SYMBOLS['trade']}) r WHERE dim_1 = 'NATION_1' AND dim_3 = 'Brand#2'")
 def sql_table_function(spark, sf_dir):
     register_views(spark, symbol_store(spark, sf_dir, "trade"), "stored_")

@@ -97,6 +97,25 @@ def pairs(spark, sf_dir):
     )
 
 
+def ranked_pairs(spark, sf_dir):
+    """Nations in the order of their keys rather than of their names."""
+    df = (
+        _traded(spark, sf_dir)
+        .groupBy("from_nation", "from_key", "to_nation", "to_key")
+        .agg(F.sum("l_quantity").alias("value"))
+    )
+    return dict(
+        df=df, symbol_type="Parameter", dims=["from_nation", "to_nation"], values="value",
+        label_rank={"from_nation": "from_key", "to_nation": "to_key"}, description="Quantity between nations",
+    )
+
+
+def coded(spark, sf_dir):
+    """A symbol of a type code that has no name."""
+    df = table(spark, sf_dir, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("parts"))
+    return dict(df=df, symbol_type=9, dims=["p_type"], values="parts", domain_labels=["p_type"])
+
+
 def order_stats(spark, sf_dir):
     df = (
         table(spark, sf_dir, "orders")
@@ -157,7 +176,7 @@ def shipments(spark, sf_dir):
 
 DEFINITIONS = {
     f.__name__: f
-    for f in (nations, revenue, trade, pairs, order_stats, balance, total, ratio, shipments)
+    for f in (nations, revenue, trade, pairs, ranked_pairs, coded, order_stats, balance, total, ratio, shipments)
 }
 
 
@@ -174,7 +193,7 @@ _stores: dict[tuple[str, str], SymbolStore] = {}
 
 def symbol_store(spark: SparkSession, sf_dir: str, *names: str) -> SymbolStore:
     """A store in the shared folder with the named symbols, each written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _stores:
         _stores[key] = SymbolStore(spark, new_folder(spark, "store"))
     store = _stores[key]

@@ -10,8 +10,10 @@ from pyspark.sql import SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary one only in local mode without it."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext
+        folder = context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach")

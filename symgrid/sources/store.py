@@ -81,7 +81,7 @@ class SymbolStore:
 
     @property
     def _cache_key(self) -> tuple[str, str]:
-        return (self.spark.sparkContext.applicationId, self.path)
+        return (self.spark.conf.get("spark.app.id"), self.path)
 
     def catalog(self) -> DataFrame:
         """Newest revision of every symbol, with ``symbol_index`` and ``revision``."""
@@ -213,12 +213,12 @@ class SymbolStore:
         if meta.dimension_count > 1:
             # Written first, so that the planner knows its size when it picks the join:
             # a broadcast leaves the records where they are.
-            size = Observation()
-            counted = records.select(*order).observe(size, F.count(F.lit(1)).alias("rows"))
+            counted, size = records.select(*order), Observation()
+            if num_partitions is None:
+                counted = counted.observe(size, F.count(F.lit(1)).alias("rows"))
             first_records(counted, keys, order).write.mode("overwrite").parquet(self._dir("runs", meta))
-            columns = [*[f"{key} string" for key in keys], "is_first boolean"]
-            runs = self.spark.read.schema(", ".join(columns)).parquet(self._dir("runs", meta))
-            records = with_breaks(records, runs, keys)
+            runs_ddl = ", ".join([*[f"{key} string" for key in keys], "is_first boolean"])
+            records = with_breaks(records, self.spark.read.schema(runs_ddl).parquet(self._dir("runs", meta)), keys)
             num_partitions = num_partitions or self._part_count(size.get["rows"])
         else:
             num_partitions = num_partitions or self._part_count(records.count())

@@ -1,12 +1,14 @@
 """Every registered query against its SQL, on the driver's tables."""
 
+import os
+
 import duckdb
 import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("SYMGRID_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 

@@ -260,6 +260,14 @@ def test_preload_is_explicit(spark, tmp_path):
     assert sg.require_symbol(spark, path, "p").description == "changed elsewhere"
 
 
+def test_store_by_uri(spark, tmp_path):
+    uri = f"file://{tmp_path}/m"
+    df = spark.createDataFrame([("a", "b", 1.0), ("c", "d", 2.0)], "i string, j string, v double")
+    sg.write_parameter(df, uri, "p", "", ["i", "j"], "v")
+    assert rows(sg.read_symbol(spark, uri, "p", row_offset=1, row_limit=1)) == [("c", "d", True, False, 2.0)]
+    assert rows(sg.read_symbol(spark, f"{tmp_path}/m/", "p", {"dim_1": "a"})) == [("a", "b", True, False, 1.0)]
+
+
 def test_missing_store(spark, tmp_path):
     path = str(tmp_path / "missing")
     for call in (
