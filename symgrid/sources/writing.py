@@ -36,6 +36,9 @@ def write_symbol(
     dimension (its column or 1-based position) to a column with the rank of its label
     where another order is wanted. NULL labels and repeated keys fail the write.
     ``mode='overwrite'`` replaces a symbol of that name.
+
+    ``df`` is evaluated twice, the first time for its keys only: if it is costly to
+    compute, write it to a table first.
     """
     return _store(df.sparkSession, store).write(
         df, name, symbol_type, dims, values, domain_labels, description, label_rank, mode, num_partitions, build_domains

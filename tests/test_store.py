@@ -172,6 +172,15 @@ def test_empty_symbol(spark, tmp_path):
     assert rows(sg.domain_values(spark, path, "e", 1)) == []
 
 
+def test_input_known_to_be_empty(spark, tmp_path):
+    path = str(tmp_path / "m")
+    nothing = spark.range(5).where("false").select(F.col("id").alias("i"), F.col("id").alias("j"))
+    for name, dims in (("two", ["i", "j"]), ("one", ["i"]), ("none", [])):
+        meta = sg.write_symbol(nothing, path, name, "Parameter", dims, F.lit(1.0))
+        assert meta.record_count == 0
+        assert rows(sg.read_symbol(spark, path, name, row_limit=1)) == []
+
+
 def test_types_and_missing_values(spark, tmp_path):
     path = str(tmp_path / "m")
     inf = float("inf")
