@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import symgrid as sg
+from symgrid.operators import read
 from symgrid.sources.store import SymbolStore
 
 
@@ -172,6 +173,25 @@ def test_empty_symbol(spark, tmp_path):
     assert rows(sg.domain_values(spark, path, "e", 1)) == []
 
 
+@pytest.mark.parametrize("listed", [0, 1, 2, 100])
+def test_many_spellings_of_a_label(spark, tmp_path, monkeypatch, listed):
+    """Spellings beyond a list's length are matched by a semi-join, with the same result."""
+    monkeypatch.setattr(read, "_SPELLINGS_LISTED", listed)
+    path = str(tmp_path / "m")
+    data = [("ab", "x", 1.0), ("AB", "x", 2.0), ("Ab", "Y", 3.0), ("b", "x", 4.0), ("aB", "y", 5.0)]
+    df = spark.createDataFrame(data, "i string, j string, v double")
+    sg.write_parameter(df, path, "p", "", ["i", "j"], "v")
+    session = sg.SymbolSet(spark)
+    session.register(df, "p", "Parameter", ["i", "j"], "v")
+    for container in (path, session):
+        result = sg.read_symbol(spark, container, "p", {"dim_1": "aB", "dim_2": "X"}, ignore_case=True)
+        assert sorted(r.value for r in result.collect()) == [1.0, 2.0]
+        labels = sg.domain_values(spark, container, "p", 2, {"dim_1": "AB"}, ignore_case=True)
+        assert [r.value for r in labels.collect()] == ["Y", "x", "y"]
+        page = sg.read_symbol(spark, container, "p", {"dim_1": "ab"}, row_offset=1, row_limit=2, ignore_case=True)
+        assert [r.dim_1 for r in page.collect()] == ["Ab", "aB"]
+
+
 def test_input_known_to_be_empty(spark, tmp_path):
     path = str(tmp_path / "m")
     nothing = spark.range(5).where("false").select(F.col("id").alias("i"), F.col("id").alias("j"))
