@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from symgrid.llm.common import staged, words
 
 #: Each rate with its slack per thousand, which covers the noise of short texts.
-RATES = {"symbol_rate": 15, "duplicate_line_rate": 300, "repeat_rate": 100, "capital_rate": 150, "shout_rate": 25}
+RATES = {"symbol_rate": 15, "duplicate_line_rate": 400, "repeat_rate": 180, "capital_rate": 150, "shout_rate": 25}
 SPREADS = 4
 MIN_DOCS = 50
 MIN_WORDS = 10

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import symgrid.llm
-from symgrid.llm import decontaminate, packing, quality_rules
-from symgrid.llm.common import documents
+from symgrid.llm import conv_quality, decontaminate, packing, pii, quality_rules, secrets
+from symgrid.llm.common import documents, remainder
 
 #: Functions sent to executors carry their code, so that these need no copy of the package.
 cloudpickle.register_pickle_by_value(symgrid.llm)
@@ -21,12 +21,53 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    learned = labels.where(remainder(F.col("doc_id"), 3) != 1)
+    network = conv_quality.train(conv_quality.training_sample(docs.join(learned, "doc_id")))
+    scored = docs.select(
+        "doc_id",
+        (remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+        conv_quality.quality_score(F.col("text"), network).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def _digest(spans: str, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of the spans of these kinds, comma-joined in the order they come in."""
+    chosen = F.filter(spans, lambda span: span.kind.isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda span: F.concat_ws(":", span.kind, span.start, span.end)), ",")
+
+
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda span: span.kind == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", pii.personal_spans(F.col("text")).alias("found"))
+    base = ("email", "ip", "card", "phone")
+    return found.select(
+        "doc_id", *(_count("found", kind) for kind in base), F.sha2(_digest("found", base), 256).alias("base_sha256"),
+        _digest("found", pii.KINDS).alias("spans"),
+    )
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", secrets.secret_spans(F.col("text")).alias("found"))
+    base = ("assign", "access", "hex")
+    return found.select(
+        "doc_id", *(_count("found", kind) for kind in base), F.sha2(_digest("found", base), 256).alias("base_sha256"),
+        _digest("found", secrets.KINDS).alias("spans"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     marked = decontaminate.mark_contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark, "found")
@@ -40,7 +81,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
+    "op5_secrets": op5_secrets,
     "op10_decontamination": op10_decontamination,
 }
 
