@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import symgrid.llm
-from symgrid.llm import conv_quality, decontaminate, packing, pii, quality_rules, secrets
+from symgrid.llm import conv_quality, decontaminate, minhash, packing, pii, quality_rules, secrets
 from symgrid.llm.common import documents, remainder
 
 #: Functions sent to executors carry their code, so that these need no copy of the package.
@@ -68,6 +68,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle_words=4)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     marked = decontaminate.mark_contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark, "found")
@@ -85,6 +89,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_secrets": op5_secrets,
+    "op6_minhash": op6_minhash,
     "op10_decontamination": op10_decontamination,
 }
 
