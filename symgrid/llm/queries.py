@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import symgrid.llm
-from symgrid.llm import conv_quality, decontaminate, minhash, packing, pii, quality_rules, secrets
+from symgrid.llm import conv_quality, decontaminate, lattice, minhash, packing, pii, quality_rules, secrets
 from symgrid.llm.common import documents, remainder
 
 #: Functions sent to executors carry their code, so that these need no copy of the package.
@@ -72,6 +72,14 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle_words=4)
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    return lattice.score_texts(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     marked = decontaminate.mark_contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark, "found")
@@ -90,6 +98,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_secrets": op5_secrets,
     "op6_minhash": op6_minhash,
+    "op7_lm_scoring": op7_lm_scoring,
     "op10_decontamination": op10_decontamination,
 }
 
