@@ -2,17 +2,18 @@
 
 Each text's set of word shingles gives PERMUTATIONS minima. Bands of ROWS minima name candidate groups; the lowest
 BITS bits of every minimum, packed into a few integers, estimate a candidate pair's similarity by
-counting equal groups of bits, corrected for chance. Candidates above a low estimate are confirmed on the full shingle sets of
-whole texts, so a link is exact; at the threshold of 0.8 a pair shares no band with probability
-3e-6.
+counting equal groups of bits, corrected for chance. Candidates near or above the threshold are
+confirmed on the full shingle sets of whole texts, so a link is exact. At a similarity of 0.8 a
+pair shares no band with probability 3e-6, and is estimated too low with one of 3e-6.
 
 Work that would grow with the square of a group is avoided without losing links:
 
 * texts with equal sets form one class, and one representative stands for it;
-* first each representative is confirmed against one other only, the smallest of its groups;
-  confirmed links give components;
-* then, in every group that still holds several components, the members outside its largest component are compared with the members of
-  the others. Pairs inside a component need no look: they can add no link between different components.
+* first each representative is confirmed against the smallest of its groups, and of the closer groups that two
+  bands name together; confirmed links give components;
+* then, in every group that still holds several components, the members outside its largest one
+  are compared with those of the others by their estimates, and confirmed if these are near the threshold. Pairs inside a
+  component need no look: they can add no link between different components.
 
 Components are computed on tables; groups, links and components never reach the driver.
 
@@ -36,19 +37,20 @@ from symgrid.llm.components import components
 from symgrid.llm.shingles import mix, shingle_sets
 
 BANDS, ROWS = 32, 5
-PERMUTATIONS = BANDS * ROWS
+#: Minima of each text; the first BANDS * ROWS make the bands, all of them the estimate.
+PERMUTATIONS = 640
 BITS = 2
 #: Similarity in hundredths at which texts are linked.
 THRESHOLD = 80
-#: Estimates below this are not confirmed: seven standard deviations of the estimate under the threshold.
-DOUBTFUL = 0.5
+#: Pairs whose estimate is further below the threshold than this are not confirmed: 4.5 standard deviations of it.
+MARGIN = 0.085
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
 _SHIFTS = _RNG.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
 _BAND_FACTORS = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _BAND_SHIFTS = _RNG.integers(1, 1 << 63, BANDS, dtype=np.uint64)
-_AT_ONCE = 4096
+_AT_ONCE = 1024
 #: Texts hashed at a time.
 _TEXTS = 256
 
@@ -65,7 +67,7 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    rows = least.reshape(BANDS, ROWS).astype(np.uint64)
+    rows = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
     return mix((rows * _BAND_FACTORS).sum(axis=1, dtype=np.uint64) + _BAND_SHIFTS).view(np.int64)
 
 
@@ -145,20 +147,24 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
         "classes",
     )
     nodes = classes.where("node IS NOT NULL")
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    entry = "struct(i AS number, b AS band, xxhash64(b, bands[(i + 1) % size(bands)]) AS pair)"
+    banded = nodes.select("node", F.expr(f"inline(transform(bands, (b, i) -> {entry}))"))
     shared = banded.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
-    members = staged(banded.join(shared.select("band", "center"), "band").select("band", "node", "center"), "band-members")
+    members = staged(banded.join(shared.select("band", "center"), "band"), "band-members")
     texts = staged(
         docs.select("doc_id", "text").join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidate-texts"
     )
 
-    first = members.where("center < node").groupBy("node").agg(F.min("center").alias("v")).select(F.col("node").alias("u"), "v")
+    coarse = members.where("center < node").groupBy("node").agg(F.min("center").alias("v")).select(F.col("node").alias("u"), "v")
+    closer = members.groupBy("pair").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last")
+    fine = members.join(closer, "pair").where("v < node").select(F.col("node").alias("u"), "v")
+    first = coarse.union(fine).distinct()
     links = staged(confirmed(first, texts, shingle_words, threshold), "links")
     groups = staged(components(links), "components")
 
-    sizes = nodes.select("node", "n_shingles", "low_bits")
+    sizes = nodes.select("node", "n_shingles", "bands", "low_bits")
     placed = (
-        members.select("band", "node")
+        members.select("band", "number", "node")
         .join(groups, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
@@ -176,7 +182,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
         & (F.col("a.component") != F.col("b.component"))
         & ((F.col("b.component") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node")))
         & (100 * F.least("a.n_shingles", "b.n_shingles") >= threshold * F.greatest("a.n_shingles", "b.n_shingles"))
-        & (estimate(F.col("a.low_bits"), F.col("b.low_bits")) >= DOUBTFUL)
+        & (estimate(F.col("a.low_bits"), F.col("b.low_bits")) >= threshold / 100 - MARGIN)
+        # Of the bands that a pair shares, the first one names it.
+        & F.expr("array_position(zip_with(a.bands, b.bands, (x, y) -> x = y), true) = a.number + 1")
     )
     second = a.join(b, apart).select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
     more = staged(confirmed(second, texts, shingle_words, threshold), "links")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import symgrid.llm
-from symgrid.llm import conv_quality, decontaminate, lattice, minhash, packing, pii, quality_rules, runindex, secrets
+from symgrid.llm import conv_quality, decontaminate, lattice, licences, minhash, packing, pii, quality_rules, runindex, secrets
 from symgrid.llm.common import documents, remainder
 
 #: Functions sent to executors carry their code, so that these need no copy of the package.
@@ -80,6 +80,10 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find_licences(documents(spark, sf_dir))
+
+
 def op9_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runindex.repeated_passages(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
@@ -105,6 +109,7 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_minhash": op6_minhash,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_licences": op8_licences,
     "op9_run_index": op9_run_index,
     "op10_decontamination": op10_decontamination,
 }
