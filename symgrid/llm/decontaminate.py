@@ -153,6 +153,15 @@ def mark_contamination(
     return marked
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of ``docs`` without any hit, whole."""
+    column = "contamination"
+    while column in docs.columns:
+        column += "_"
+    marked = mark_contamination(docs, benchmark, column, length)
+    return marked.where(F.size(F.col(f"{column}.hits")) <= 0).drop(column)
+
+
 SQL = f"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

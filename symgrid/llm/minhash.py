@@ -207,3 +207,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, whole: of each component those of its smallest ``doc_id``."""
+    gone = near_duplicates(docs, shingle_words, threshold).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

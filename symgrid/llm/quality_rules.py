@@ -18,6 +18,8 @@ and counts are summed before they are shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,12 +35,15 @@ WINDOW = 5
 MEDIAN, DECILE = 50, 10
 
 
-def rule_counts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Counts of each text: words, code points in words, symbols, repeated lines and windows, capitals, shouts."""
+def rule_counts(docs: DataFrame, *carried: str) -> DataFrame:
+    """Counts of each text: words, code points in words, symbols, repeated lines and windows, capitals, shouts.
+
+    Columns named in ``carried`` come along.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     base = docs.select(
-        F.col(id_column), F.col("lang"), F.col("source"),
+        *carried, F.col("lang"), F.col("source"),
         words(text).alias("_words"), lines.alias("_lines"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).alias("n_symbols"),
         F.regexp_count(text, F.lit("[A-Z]")).alias("n_capitals"),
@@ -46,7 +51,7 @@ def rule_counts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     )
     window = ", ".join(f"_words[i + {k}]" for k in range(WINDOW))
     hashed = base.select(
-        id_column, "lang", "source", "n_symbols", "n_capitals", "n_shouts",
+        *carried, "lang", "source", "n_symbols", "n_capitals", "n_shouts",
         F.size("_words").alias("n_words"),
         F.length(F.array_join("_words", "")).alias("word_chars"),
         F.size("_lines").alias("n_lines"),
@@ -74,7 +79,7 @@ def rule_counts(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     ).drop("_placed")
     covered = f"transform(_starts, (at, i) -> least({WINDOW}, coalesce(get(_starts, i + 1) - at, {WINDOW})))"
     return starts.select(
-        id_column, "lang", "source",
+        *carried, "lang", "source",
         *(F.col(name).cast("long") for name in
           ("n_words", "word_chars", "n_symbols", "n_capitals", "n_shouts", "n_lines", "n_dup_lines")),
         F.coalesce(F.expr(f"aggregate({covered}, 0L, (total, x) -> total + x)"), F.lit(0).cast("long")).alias("n_repeat_words"),
@@ -134,20 +139,29 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     )
 
 
-def judge_documents(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Counts, rates, ``base_failed`` and ``kept`` for every row of ``docs``.
+def _judge(docs: DataFrame, carried: str) -> DataFrame:
+    """Counts, rates, ``base_failed`` and ``kept`` of every row, with one carried column.
 
     The counts are staged once, since both the sketches and the filter read them.
     """
-    rated = staged(with_rates(rule_counts(docs, id_column)), "quality-counts")
+    rated = staged(with_rates(rule_counts(docs, carried)), "quality-counts")
     fences = thresholds(sketches(rated)).withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})
     joined = rated.join(
         fences, rated.lang.eqNullSafe(fences.fence_lang) & rated.source.eqNullSafe(fences.fence_source), "left"
     )
-    within = F.lit(True)
-    for name in RATES:
-        within = within & (F.col(name) <= F.col(f"max_{name}"))
-    return joined.withColumn("kept", ~F.col("base_failed") & within).drop("fence_lang", "fence_source")
+    within = reduce(lambda x, y: x & y, [F.col(name) <= F.col(f"max_{name}") for name in RATES])
+    return joined.withColumn("kept", ~F.col("base_failed") & within)
+
+
+def judge_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id``, counts, rates, ``base_failed`` and ``kept`` of every row."""
+    return _judge(docs.select("doc_id", "text", "lang", "source"), "doc_id").drop("fence_lang", "fence_source")
+
+
+def good_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, whole. Rows travel beside their counts, so texts are not joined back."""
+    carried = docs.select("text", "lang", "source", F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"))
+    return _judge(carried, "_row").where("kept").select("_row.*")
 
 
 def _sql() -> str:

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import symgrid.llm
 from symgrid.llm import conv_quality, decontaminate, lattice, licences, minhash, packing, pii, quality_rules, runindex, secrets
 from symgrid.llm.common import documents, remainder
 
-#: Functions sent to executors carry their code, so that these need no copy of the package.
-cloudpickle.register_pickle_by_value(symgrid.llm)
-
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir))

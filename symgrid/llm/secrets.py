@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from symgrid.llm.packing import byte_bpe
@@ -81,6 +81,19 @@ def secret_spans(text: Column, vocabulary: str = "byte_bpe_50k.tiktoken") -> Col
     return scan.asNondeterministic()(text)
 
 
+def redact(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by PLACEHOLDER, and ``n_chars``, if there is one, as it then is."""
+    spans = "spans"
+    while spans in docs.columns:
+        spans += "_"
+    found = docs.withColumn(spans, secret_spans(F.col("text"), vocabulary))
+    changed = F.size(spans) > 0
+    clean = found.withColumn("text", without_spans(F.col("text"), F.col(spans)))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return clean.drop(spans)
+
+
 def without_spans(text: Column, spans: Column) -> Column:
     """``text`` with each maximal run of spans replaced by PLACEHOLDER; spans come sorted by start."""
     step = F.aggregate(
