@@ -31,3 +31,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo: the folds that queries learn from or hold out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
+
+
+def sampled_ids(ids: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` distinct values of ``doc_id``, those of lowest hash.
+
+    A count decides which share of hashes is looked at, so that no more than about twice the
+    sample is sorted, however many rows there are.
+    """
+    share = max(1, ids.count() // (2 * size))
+    key = F.xxhash64("doc_id")
+    few = ids.where(F.col("doc_id").isNotNull() & (F.pmod(key, F.lit(share)) == 0)).select("doc_id").distinct()
+    return few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)

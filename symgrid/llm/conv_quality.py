@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from symgrid.llm.common import sampled_ids
+
 FILTERS = 16
 WIDTH = 5
 CHUNK = 512
@@ -86,20 +88,23 @@ def _sample_chunks(text: str) -> bytes:
     return b"".join(raw[s : s + CHUNK].ljust(CHUNK + WIDTH - 1, b"\0") for s in starts)
 
 
-def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[bytes, int]]:
-    """Chunks and label of at most ``sample`` rows of (doc_id, text, quality)."""
+def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[bytes, int]]:
+    """Chunks and label of at most ``sample`` labelled documents, one of each id; NULL labels and empty texts teach nothing.
+
+    The sample is drawn from the labels, and its bounded list goes to where texts are read.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"chunks": [_sample_chunks(text) for text in batch["text"]], "quality": batch["quality"].astype("int32")})
-
-    chosen = (
-        labelled.where(F.col("quality").isNotNull() & (F.length("text") > 0))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality")
-        .limit(sample)
-        .select("text", "quality")
-    )
-    return [(bytes(row.chunks), row.quality) for row in chosen.mapInPandas(cut, "chunks binary, quality int").collect()]
+            chunks = [_sample_chunks(text) for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "chunks": chunks, "quality": batch["quality"].astype("int32")})
+
+    known = labels.where(F.col("quality").isNotNull()).select("doc_id", "quality")
+    chosen = known.join(F.broadcast(sampled_ids(known, sample)), "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    texts = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id")
+    rows = texts.mapInPandas(cut, "doc_id long, chunks binary, quality int").collect()
+    first = {row.doc_id: (bytes(row.chunks), row.quality) for row in sorted(rows, reverse=True)}
+    return [first[doc_id] for doc_id in sorted(first)]
 
 
 def train(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7) -> Network:

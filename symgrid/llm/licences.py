@@ -28,7 +28,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from symgrid.llm.common import staged
+from symgrid.llm.common import sampled_ids, staged
 
 SAMPLE = 1500
 MIN_PROBABILITY = 0.5
@@ -94,7 +94,8 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     spark = docs.sparkSession
     parts = [(part, family, part == notice) for family, notice in NOTICES for part in _parts(notice)]
     known = spark.createDataFrame(parts, "paragraph string, family string, whole boolean")
-    chosen = docs.where(F.length("text") > 0).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
+    texts = docs.where(F.length("text") > 0)
+    chosen = texts.join(F.broadcast(sampled_ids(texts, sample)), "doc_id")
     others = (
         chosen.select(F.explode(F.split("text", "\n")).alias("paragraph"))
         .where((F.length("paragraph") > 0) & ~F.col("paragraph").rlike(LICENCE_WORDS))

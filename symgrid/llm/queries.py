@@ -20,7 +20,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     learned = labels.where(remainder(F.col("doc_id"), 3) != 1)
-    network = conv_quality.train(conv_quality.training_sample(docs.join(learned, "doc_id")))
+    network = conv_quality.train(conv_quality.training_sample(docs, learned))
     scored = docs.select(
         "doc_id",
         (remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
