@@ -41,10 +41,10 @@ from symgrid.llm.shingles import mix
 
 LENGTH = 50
 GRAM = 16
-PACK = 1 << 21
+PACK = 1 << 20
 HOT = 4096
 #: Anchors in a bucket, about, and bytes of an indexed block.
-BUCKET_ANCHORS = 1 << 20
+BUCKET_ANCHORS = 1 << 19
 BLOCK = 1 << 20
 
 _U = np.uint64
@@ -146,8 +146,12 @@ class Pack:
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes, sorted; in how many documents each is; of each anchor its hash's place among them."""
         unique, place = np.unique(self.hashes, return_inverse=True)
-        pairs = np.unique(np.stack((place, self.docs_of(self.anchors)), axis=1), axis=0) if len(place) else np.zeros((0, 2), int)
-        return unique, np.bincount(pairs[:, 0], minlength=len(unique)), place
+        # Anchors stand in the order of their documents, so a stable sort by hash keeps those of a document together.
+        order = np.argsort(place, kind="stable")
+        docs = self.docs_of(self.anchors)[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (place[order[1:]] != place[order[:-1]]) | (docs[1:] != docs[:-1])
+        return unique, np.bincount(place[order[first]], minlength=len(unique)), place
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         _, inverse = _power_tables(len(self.data) + 1)
@@ -176,7 +180,7 @@ class Pack:
             first[part] = at[part] - (width - 1 - own[:, ::-1].argmax(axis=1))
         whole = ~hot
         counts = (last - first + 1)[hot]
-        each = np.repeat(first[hot], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        each = _ranges(first[hot], counts)
         lows, highs = np.concatenate((first[whole], each)), np.concatenate((last[whole], each))
         marks = self.span_hash(lows, highs + LENGTH)
         single = np.concatenate((np.zeros(whole.sum(), bool), np.ones(len(each), bool)))
@@ -337,21 +341,27 @@ class RunIndex:
         run = np.searchsorted(self.run_starts, rows, side="right") - 1
         return self.targets[run] + rows - self.run_starts[run]
 
-    def least_owners(self, sizes: np.ndarray) -> list[np.ndarray]:
-        """For every window of each string, from left to right, the smallest owner of a string that has it."""
-        found = [np.zeros(max(0, size - LENGTH + 1), np.int64) for size in sizes]
-        live = np.arange(len(sizes))
-        rows = self.separator_rows.copy()
+    def least_owners(self, sizes: np.ndarray) -> np.ndarray:
+        """For every window of each string, from left to right, the smallest owner of a string that has it; one after another."""
+        windows = np.maximum(0, sizes - LENGTH + 1)
+        found = np.zeros(windows.sum(), np.int64)
+        after = np.cumsum(windows) + LENGTH - 1  # the window that ends with a string is the last of its own
+        live, rows = np.arange(len(sizes)), self.separator_rows
         for matched in range(1, int(sizes.max(initial=0)) + 1):
             keep = sizes[live] >= matched
             live, rows = live[keep], self.step(rows[keep])
             if matched >= LENGTH:
                 groups = np.searchsorted(self.group_starts, rows, side="right") - 1
-                for string, owner in zip(live, self.group_least[groups], strict=True):
-                    found[string][sizes[string] - matched] = owner
+                found[after[live] - matched] = self.group_least[groups]
         return found
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its count, one after another."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
 def _answer_contexts(key, letters: pd.DataFrame) -> pd.DataFrame:
     """For each pack's questions in this bucket: the smallest document, for all windows of a context or for each."""
     opened = [_unsqueeze(content) for content in letters["content"]]
@@ -367,8 +377,12 @@ def _answer_contexts(key, letters: pd.DataFrame) -> pd.DataFrame:
     context[order] = np.cumsum(new_mark) - 1
     key_of = np.cumsum(new_key)[new_mark] - 1
     least = docs[contexts]
-    answers: list[np.ndarray] = [least[i : i + 1] for i in range(len(contexts))]
     several = np.flatnonzero(np.bincount(key_of)[key_of] > 1)
+    counts = np.ones(len(contexts), np.int64)
+    counts[several] = sizes[contexts[several]].astype(np.int64) - LENGTH + 1
+    offsets = np.cumsum(counts) - counts
+    values = np.zeros(counts.sum(), np.int64)
+    values[offsets] = least
     start = 0
     while start < len(several):
         # A block ends where a key ends, once it is large enough.
@@ -377,17 +391,16 @@ def _answer_contexts(key, letters: pd.DataFrame) -> pd.DataFrame:
             size += int(sizes[contexts[several[stop]]]) + 1
             stop += 1
         chosen = several[start:stop]
-        strings = [texts[ends[c] - sizes[c] : ends[c]] for c in contexts[chosen]]
-        lengths = np.array([len(string) for string in strings])
-        for number, found in zip(chosen, RunIndex(strings, least[chosen]).least_owners(lengths), strict=True):
-            answers[number] = found
+        lengths = sizes[contexts[chosen]].astype(np.int64)
+        strings = [texts[end - length : end] for end, length in zip(ends[contexts[chosen]], lengths, strict=True)]
+        values[_ranges(offsets[chosen], counts[chosen])] = RunIndex(strings, least[chosen]).least_owners(lengths)
         start = stop
     rows, at = [], 0
     for pack, x in zip(letters["pack"], opened, strict=True):
-        given = [answers[c] for c in context[at : at + len(x[0])]]
+        own = context[at : at + len(x[0])]
         at += len(x[0])
-        counts = np.array([len(answer) for answer in given], np.uint16)
-        rows.append((pack, 2, key[0], _squeeze(counts, np.concatenate(given))))
+        given = values[_ranges(offsets[own], counts[own])]
+        rows.append((pack, 2, key[0], _squeeze(counts[own].astype(np.uint16), given)))
     return pd.DataFrame(rows, columns=["pack", "step", "bucket", "content"])
 
 
@@ -405,8 +418,8 @@ def _mark(packs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
             offsets = np.cumsum(counts) - counts
             lows, highs, question = asked["lows"], asked["highs"], asked["question"]
             widths = highs - lows + 1
-            within = np.arange(widths.sum()) - np.repeat(np.cumsum(widths) - widths, widths)
-            starts = np.repeat(lows, widths) + within
+            starts = _ranges(lows, widths)
+            within = starts - np.repeat(lows, widths)
             asks = np.repeat(question, widths)
             least = values[offsets[asks] + np.where(counts[asks] > 1, within, 0)]
             starts = starts[least < pack.doc_ids[pack.docs_of(starts)]]
