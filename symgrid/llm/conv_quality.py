@@ -33,6 +33,8 @@ CHUNK = 512
 SAMPLE = 6000
 SAMPLE_CHUNKS = 6
 EPOCHS = 8
+#: A small sample is gone over more often, for as many steps at least, of as many texts each.
+LEAST_STEPS, TEXTS_A_STEP = 300, 32
 #: Bytes scored at a time.
 SLICE = 1 << 15
 
@@ -124,8 +126,8 @@ def train(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7)
     names = ("filters", "bias", "weights", "offset")
     first = {name: np.zeros_like(getattr(net, name), dtype=np.float64) for name in names}
     second = {name: np.zeros_like(getattr(net, name), dtype=np.float64) for name in names}
-    step, batch = 0, 32
-    for _ in range(epochs):
+    step, batch = 0, TEXTS_A_STEP
+    for _ in range(max(epochs, -(-LEAST_STEPS * batch // len(docs)))):
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]

@@ -171,7 +171,8 @@ def word_counts(docs: DataFrame, training: Column) -> DataFrame:
         def rows() -> pd.DataFrame:
             for word in others:
                 counts.setdefault(word, 0)
-            frame = pd.DataFrame({"word": [word.decode() for word in counts], "c": list(counts.values())})
+            words = pd.Series([word.decode() for word in counts], dtype=object)
+            frame = pd.DataFrame({"word": words, "c": np.fromiter(counts.values(), np.int64, len(counts))})
             counts.clear()
             others.clear()
             return frame
@@ -227,7 +228,7 @@ def score_words(counts: DataFrame, vocabulary: str, logs: np.ndarray) -> DataFra
         for batch in _batches_of(batches):
             totals = own.cut(list(batch["word"]), sent.value)
             totals[(batch["word"] == "").to_numpy()] = sent.value[own.end]
-            yield pd.DataFrame({"word": batch["word"], "c": batch["c"], "lattice": totals / np.log(10)})
+            yield pd.DataFrame({"word": batch["word"].astype(object), "c": batch["c"], "lattice": totals / np.log(10)})
 
     return counts.mapInPandas(run, "word string, c long, lattice double")
 

@@ -249,7 +249,7 @@ def _send_anchors(packs: DataFrame, buckets: int) -> DataFrame:
     return packs.mapInPandas(run, LETTERS)
 
 
-def _answer_anchors(key, letters: pd.DataFrame) -> pd.DataFrame:
+def _answer_anchors(key: tuple, letters: pd.DataFrame) -> pd.DataFrame:
     """For each pack the state of its anchors in this bucket: 0 in one document alone, 1 shared, 2 hot."""
     opened = [_unsqueeze(content) for content in letters["content"]]
     hashes = np.concatenate([x[0] for x in opened])
@@ -362,7 +362,7 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
-def _answer_contexts(key, letters: pd.DataFrame) -> pd.DataFrame:
+def _answer_contexts(key: tuple, letters: pd.DataFrame) -> pd.DataFrame:
     """For each pack's questions in this bucket: the smallest document, for all windows of a context or for each."""
     opened = [_unsqueeze(content) for content in letters["content"]]
     keys, marks, docs, sizes = (np.concatenate([x[k] for x in opened]) for k in range(4))

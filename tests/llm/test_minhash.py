@@ -1,0 +1,116 @@
+"""Near duplicates against brute force: links, components, hot groups and chains."""
+
+import random
+
+import numpy as np
+import pytest
+
+from symgrid.llm import minhash
+from symgrid.llm.components import components
+from symgrid.llm.shingles import shingle_sets
+
+
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    size = min(size, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def brute(rows, size, threshold=80):
+    sets = {i: shingles(text, size) for i, text in rows}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= threshold * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def edited(words, edits, rng):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+def test_components_with_copies_chains_and_a_large_group(docs):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(1, 60))) for _ in range(60)]
+    base = [f"b{rng.randrange(2000)}" for _ in range(120)]
+    # Copies with more and more edits: many pairs are just below the threshold.
+    texts += [edited(base, k % 9, rng) for k in range(160)]
+    chain = [f"c{k}" for k in range(100)]
+    for _ in range(8):
+        texts.append(" ".join(chain))
+        chain = [*chain[4:], *(f"d{rng.random()}" for _ in range(4))]
+    texts += [texts[0]] * 30
+    texts += ["Two words", "two  WORDS", "é à", ""]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts, start=5))
+    for size in (4, 5):
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs(rows), size).collect()}
+        want = brute(rows, size)
+        assert {i: n for i, (n, _) in found.items()} == {i: n for i, (n, _) in want.items()}
+        assert found == want
+
+
+def test_defined_results(docs):
+    rows = [(9, None), (3, ""), (5, " \n"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "A b c d e f"), (None, "a b c d e f"), (None, None)]
+    found = minhash.near_duplicates(docs(rows)).collect()
+    assert len(found) == 8
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found if r.doc_id) == [
+        (3, 3, True), (5, 5, True), (7, 7, True), (7, 7, True), (8, 7, False), (9, 9, True),
+    ]
+    kept = minhash.without_near_duplicates(docs(rows))
+    assert kept.columns == docs(rows).columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 3, 5, 7, 7, 9]
+    assert minhash.near_duplicates(docs([])).collect() == []
+
+
+def test_estimate_is_near_the_truth(spark):
+    rng = random.Random(1)
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join(base)] + [edited(base, k, rng) for k in (5, 10, 20, 40)]
+    sets = list(shingle_sets(texts, 5))
+    rows = [(minhash.low_bits(minhash.minima(sets[0])).tolist(), minhash.low_bits(minhash.minima(s)).tolist(),
+             len(np.intersect1d(sets[0], s)) / len(np.union1d(sets[0], s))) for s in sets]
+    table = spark.createDataFrame(rows, "a array<long>, b array<long>, truth double")
+    for r in table.select(minhash.estimate(table.a, table.b).alias("e"), "truth").collect():
+        assert abs(r.e - r.truth) < minhash.MARGIN
+
+
+def test_shingles_of_long_and_short_texts():
+    long = "x" * (3 << 20) + " y z"
+    texts = [long, None, "", "A b", "a B", " a  b ", "a b c"]
+    found = [frozenset(s.tolist()) for s in shingle_sets(texts, 2)]
+    assert len(found[0]) == 2 and not found[1] and not found[2]
+    assert found[3] == found[4] == found[5] != found[6] and found[3] < found[6]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_connected_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(40)] + [(4, 4)]
+    parent = {n: n for e in edges for n in e}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {n: root(n) for e in edges if e[0] != e[1] for n in e}

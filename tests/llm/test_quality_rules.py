@@ -1,0 +1,62 @@
+"""Quality rules against plain Python, and their defined results."""
+
+import re
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from symgrid.llm import quality_rules as q
+
+CLEAN = "Plain words stand here in many forms number {} and each of them differs from every other line {} for sure. "
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    covered = {p for i, w in enumerate(windows) if often[w] > 1 for p in range(i, i + 5)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+TEXTS = st.lists(st.sampled_from(["a", "b", "c", " ", "\n", "\t", "#", "é ", "\x0b", " ", "\x1c", "x y z w v ", "|"]), max_size=60).map("".join)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(st.none(), TEXTS), min_size=40, max_size=40))
+def test_counts(docs, texts):
+    rows = {r.doc_id: r for r in q.rule_counts(docs(list(enumerate(texts))), "doc_id").collect()}
+    for doc_id, text in enumerate(texts):
+        r = rows[doc_id]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute(text)
+
+
+def test_fences_follow_the_source_and_junk_goes(docs):
+    rows = [(i, CLEAN.format(i, i * 7), "en", "a") for i in range(60)]
+    rows += [(100 + i, CLEAN.format(i, i).replace(" ", "### "), "en", "a") for i in range(20)]
+    rows += [(200 + i, CLEAN.format(i, i).replace(" ", " | "), None, "tables") for i in range(60)]
+    kept = {r.doc_id: r.kept for r in q.judge_documents(docs(rows)).collect()}
+    assert all(kept[i] for i in range(60))
+    assert not any(kept[100 + i] for i in range(20))
+    # A source that is made of it is judged by its own spread.
+    assert all(kept[200 + i] for i in range(60))
+
+
+def test_defined_results(docs):
+    rows = [(1, None), (2, ""), (3, "word " * 40), (4, CLEAN.format(1, 2) * 1), (4, CLEAN.format(1, 2) * 1), (None, CLEAN.format(3, 4))]
+    found = q.judge_documents(docs(rows)).collect()
+    by = {r.doc_id: r for r in found}
+    assert len(found) == 6
+    assert by[1].base_failed and by[2].base_failed and by[3].base_failed and by[3].n_repeat_words == 40
+    assert by[4].kept and by[None].kept
+    good = q.good_documents(docs(rows))
+    assert good.columns == docs(rows).columns
+    assert sorted(r.doc_id or 0 for r in good.collect()) == [0, 4, 4]
+    assert q.judge_documents(docs([])).collect() == []
+
+
+def test_no_python_in_the_plan(docs):
+    plan = q.judge_documents(docs([(1, "a")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
