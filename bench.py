@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 import symgrid as sg
 from symgrid.plans.symbols import DEFINITIONS, symbol_set
 from symgrid.sources.shared import new_folder
+from symgrid.sources.views import register_views
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -50,7 +51,7 @@ def main() -> None:
 
     spark.range(10**6).selectExpr("sum(id)").collect()
     store = sg.SymbolStore(spark, new_folder(spark, "bench"))
-    session = symbol_set(spark, SF_DIR, "revenue", "trade")
+    session = symbol_set(spark, SF_DIR, "revenue", "trade", "shipments")
     for name in ("trade", "shipments"):
         timed(
             f"write_{name}",
@@ -58,6 +59,8 @@ def main() -> None:
             runs=2,
         )
 
+    register_views(spark, store, "bench_")
+
     def read(name: str, **options) -> DataFrame:
         return sg.read_symbol(spark, store, name, **options)
 
@@ -68,9 +71,22 @@ def main() -> None:
         "first_page": lambda: run(read("shipments", row_limit=10_000)),
         "second_page": lambda: run(read("shipments", row_offset=10_000, row_limit=10_000)),
         "deep_page": lambda: run(read("shipments", row_offset=shipments - 20_000, row_limit=10_000)),
-        "filtered_page": lambda: run(
+        "filtered_page": lambda: store._counts.clear()
+        or run(
             read("shipments", dimension_filters={"l_linestatus": "O"}, row_offset=100_000, row_limit=10_000)
         ),
+        "filtered_page_again": lambda: run(
+            read("shipments", dimension_filters={"l_linestatus": "O"}, row_offset=110_000, row_limit=10_000)
+        ),
+        "sql_page": lambda: run(
+            spark.sql("SELECT * FROM page_bench_shipments(row_offset => 300000, row_limit => 10000)")
+        ),
+        "filter_ignore_case": lambda: run(
+            read("shipments", dimension_filters={"l_returnflag": "r", "l_linestatus": "f"}, ignore_case=True)
+        ),
+        "session_deep_page": lambda: run(
+            sg.read_symbol(spark, session, "shipments", row_offset=300_000, row_limit=10_000)
+        ),
         "filter_four_dims": lambda: run(read("trade", dimension_filters=FOUR)),
         "where_four_dims": lambda: run(
             read("trade").where(" AND ".join(f"{dim} = '{label}'" for dim, label in FOUR.items()))

@@ -41,10 +41,12 @@ UNDECLARED = "*"
 
 
 def type_name(symbol_type: int | str) -> str:
-    """Name of a symbol type given as a code or as a name in any case."""
+    """Name of a symbol type given as a code or as a name in any case. Unknown codes have a name of their own."""
     if isinstance(symbol_type, str):
         known = {n.lower(): n for n in (*TYPE_NAMES.values(), "Unknown")}
-        return known.get(symbol_type.strip().lower(), "Unknown")
+        if symbol_type.strip().lower() not in known:
+            raise ValueError(f"Unknown symbol type '{symbol_type}'")
+        return known[symbol_type.strip().lower()]
     return TYPE_NAMES.get(symbol_type, "Unknown")
 
 

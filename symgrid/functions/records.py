@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from symgrid.functions.naming import VALUE_COLUMNS
-from symgrid.functions.values import element_text, membership, special_to_null
+from symgrid.functions.values import element_text, fail_when, membership, special_to_null
+
+#: White space around labels, filter keys and filter values does not count: the same six characters everywhere.
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def as_column(column: str | Column) -> Column:
@@ -61,8 +64,9 @@ def to_records(
     dims: Sequence[str | Column],
     values: str | Column | Mapping[str, str | Column] | None = None,
     label_rank: Mapping | None = None,
+    symbol: str = "",
 ) -> DataFrame:
-    """Records of a symbol from ``df``.
+    """Records of a symbol from ``df``. White space around labels is dropped; reading a NULL or blank label fails.
 
     ``values`` maps value column names to columns of ``df``; a bare column fills the
     first value column of the type (for a set: the element text). Value columns not
@@ -79,7 +83,7 @@ def to_records(
     supplied = {name: as_column(column) for name, column in values.items()}
 
     keys = [
-        as_column(dim).cast("string").alias(name)
+        F.btrim(as_column(dim).cast("string"), F.lit(WHITE)).alias(name)
         for dim, name in zip(dims, key_columns(len(dims)), strict=True)
     ]
     ranks = [
@@ -87,7 +91,12 @@ def to_records(
         for position, rank in ranked_dimensions(dims, label_rank).items()
     ]
     slots = [_value_expression(symbol_type, name, supplied).alias(name) for name in names]
-    return df.select(*keys, *ranks, *slots)
+    records = df.select(*keys, *ranks, *slots)
+    for name in key_columns(len(dims)):
+        key = F.col(name)
+        problem = F.when(key.isNull(), f"NULL label in symbol '{symbol}'").otherwise(f"Blank label in symbol '{symbol}'")
+        records = records.where(fail_when(key.isNull() | (key == ""), problem))
+    return records
 
 
 def distinct_labels(records: DataFrame, keys: Sequence[str]) -> DataFrame:

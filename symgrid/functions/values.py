@@ -23,3 +23,9 @@ def membership(slot: Column | None = None) -> Column:
     if slot is None:
         return F.lit(True)
     return F.when(special_to_null(slot).isNotNull(), F.lit(True))
+
+
+def fail_when(condition: Column, message: str | Column) -> Column:
+    """A filter condition that keeps every row and fails the job where ``condition`` holds."""
+    text = F.lit(message) if isinstance(message, str) else message
+    return F.when(condition, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))

@@ -31,6 +31,7 @@ class SymbolMeta:
     record_count: int | None = None
     revision: int = 0
     ranked: tuple[int, ...] = ()
+    folder: str = ""
 
     @property
     def dimension_count(self) -> int:

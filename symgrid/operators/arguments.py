@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from symgrid.functions.naming import is_declared
+from symgrid.functions.records import WHITE
 from symgrid.model import SymbolMeta
 
+# Messages that users match on. The SQL functions raise the same ones.
+NULL_FILTER = "dimension_filters may not contain NULL keys or values"
+BLANK_KEY = "dimension_filters keys must contain at least one non-whitespace character"
+BLANK_VALUE = "dimension_filters values must contain at least one non-whitespace character"
+DUPLICATE_FILTER = "Duplicate dimension filter supplied for '{}'"
+UNKNOWN_DIMENSION = "Unknown dimension '{}' supplied via dimension_filters parameter. Valid dimensions: {}"
+
 
 def _folded(text: str) -> str:
-    return text.strip().lower()
+    return text.strip(WHITE).lower()
 
 
 def _filter_items(dimension_filters) -> list[tuple[str, str]]:
@@ -18,20 +26,15 @@ def _filter_items(dimension_filters) -> list[tuple[str, str]]:
         return []
     if not isinstance(dimension_filters, Mapping):
         raise ValueError("dimension_filters must be provided as a mapping of strings to strings")
-    items, seen = [], set()
-    for key, value in dimension_filters.items():
-        if key is None or value is None:
-            raise ValueError("dimension_filters may not contain NULL keys or values")
-        if not isinstance(key, str) or not isinstance(value, str):
-            raise ValueError("dimension_filters keys and values must be strings")
-        if not key.strip():
-            raise ValueError("dimension_filters keys must contain at least one non-whitespace character")
-        if not value.strip():
-            raise ValueError("dimension_filters values must contain at least one non-whitespace character")
-        if _folded(key) in seen:
-            raise ValueError(f"Duplicate dimension filter supplied for '{key}'")
-        seen.add(_folded(key))
-        items.append((key.strip(), value.strip()))
+    if any(key is None or value is None for key, value in dimension_filters.items()):
+        raise ValueError(NULL_FILTER)
+    if not all(isinstance(text, str) for item in dimension_filters.items() for text in item):
+        raise ValueError("dimension_filters keys and values must be strings")
+    items = [(key.strip(WHITE), value.strip(WHITE)) for key, value in dimension_filters.items()]
+    if not all(key for key, _ in items):
+        raise ValueError(BLANK_KEY)
+    if not all(value for _, value in items):
+        raise ValueError(BLANK_VALUE)
     return items
 
 
@@ -59,12 +62,9 @@ def resolve_filters(meta: SymbolMeta, dimension_filters) -> list[tuple[int, str]
     for key, value in _filter_items(dimension_filters):
         position = aliases.get(_folded(key))
         if position is None:
-            raise ValueError(
-                f"Unknown dimension '{key}' supplied via dimension_filters parameter. "
-                f"Valid dimensions: {', '.join(meta.dimension_names)}"
-            )
+            raise ValueError(UNKNOWN_DIMENSION.format(key, ", ".join(meta.dimension_names)))
         if position in resolved:
-            raise ValueError(f"Duplicate dimension filter supplied for '{meta.dimension_names[position]}'")
+            raise ValueError(DUPLICATE_FILTER.format(meta.dimension_names[position]))
         resolved[position] = value
     return list(resolved.items())
 

@@ -31,7 +31,7 @@ def domain_values(
     position = resolve_dimension(meta, dimension)
     filters = resolve_filters(meta, dimension_filters)
     if filters:
-        records = filtered_scan(container, meta, filters, ignore_case)()
+        records = filtered_scan(container, meta, filters, ignore_case)
         labels = records.select(F.col(meta.keys[position]).alias("value")).distinct()
     else:
         labels = container.labels(meta, position)

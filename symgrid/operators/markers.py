@@ -14,11 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from symgrid.functions.values import fail_when
+
 BREAK = "first_of_run"
 
 
 def first_records(records: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keys of the first record of each run, with ``is_first`` = TRUE."""
+    """Keys of the first record of each run, with ``is_first`` = TRUE; reading that fails where a label has several ranks."""
     after_first = [name for name in order if name not in ("key_1", "rank_1")]
     aggregates = [F.min(F.struct(*after_first)).alias("first")]
     is_first = F.lit(True)
@@ -36,6 +38,14 @@ def first_records(records: DataFrame, keys: Sequence[str], order: Sequence[str])
     )
 
 
+def unique_keys(records: DataFrame, keys: Sequence[str], symbol: str) -> DataFrame:
+    """The keys of ``records`` once each; reading them fails where a key is repeated."""
+    repeated = F.concat(F.lit(f"Duplicate key in symbol '{symbol}': "), F.concat_ws(", ", *keys))
+    others = [name for name in records.columns if name not in keys]
+    counted = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), *(F.min(name).alias(name) for name in others))
+    return counted.where(fail_when(F.col("copies") > 1, repeated)).drop("copies")
+
+
 def with_breaks(records: DataFrame, firsts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``first_of_run``; ``records`` may be a filtered part of what ``firsts`` came from.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +13,6 @@ from symgrid.operators.arguments import checked_count, chosen_values, resolve_fi
 from symgrid.operators.markers import BREAK
 from symgrid.sources.containers import Container, open_container
 
-# More spellings of one label than this are matched by a semi-join instead of a list.
-_SPELLINGS_LISTED = 100
-
-
 def scannable(container: Container, symbol: str) -> SymbolMeta:
     """The named symbol, matched ignoring case; aliases hold no records of their own."""
     meta = container.find(symbol)
@@ -30,42 +26,24 @@ def filtered_scan(
     meta: SymbolMeta,
     filters: Sequence[tuple[int, str]],
     ignore_case: bool = False,
-) -> Callable[..., DataFrame]:
-    """A function that scans the records with the given labels.
+) -> DataFrame:
+    """The records with the given labels.
 
-    The filters are plain comparisons, which reach the Parquet scan. Its keyword
-    arguments limit the scan to some parts of a stored symbol.
+    In any case, a stored symbol's labels are looked up among its distinct ones first, so that the comparisons
+    reach the Parquet scan like plain ones; a session symbol compares as it goes.
     """
-    listed: dict[int, list[str]] = {}
-    spellings: dict[int, DataFrame] = {}
+    if not ignore_case:
+        return container.scan(meta, {position: [label] for position, label in filters})
+    labels = {position: container.spellings(meta, position, label) for position, label in filters}
+    records = container.scan(meta, {position: found for position, found in labels.items() if found is not None})
     for position, label in filters:
-        if not ignore_case:
-            listed[position] = [label]
-            continue
-        # Comparing lower(key) would keep the filter out of the scan, so look the
-        # spellings up among the distinct labels and compare with those.
-        found = container.labels(meta, position).where(F.lower("value") == F.lower(F.lit(label)))
-        labels = [row.value for row in found.limit(_SPELLINGS_LISTED + 1).collect()]
-        if len(labels) <= _SPELLINGS_LISTED:
-            listed[position] = labels
-        else:
-            spellings[position] = found
-
-    def scan(**parts) -> DataFrame:
-        if 0 in listed or parts:
-            records = container.scan(meta, first_labels=listed.get(0), **parts)
-        else:
-            records = container.records(meta)
-        for position, labels in listed.items():
-            records = records.where(F.col(meta.keys[position]).isin(labels))
-        for position, found in spellings.items():
-            records = records.join(found, F.col(meta.keys[position]) == found.value, "left_semi")
-        return records
-
-    return scan
-
-
-def _output(meta: SymbolMeta, values: Sequence[str]) -> list[Column]:
+        if labels[position] is None:
+            records = records.where(F.lower(meta.keys[position]) == F.lower(F.lit(label)))
+    return records
+
+
+def output_columns(meta: SymbolMeta, values: Sequence[str]) -> list[Column]:
+    """The columns of a scan, from those of the records."""
     sources = [F.col(key) for key in meta.keys]
     if meta.dimension_count > 1:
         sources += [F.col(BREAK), ~F.col(BREAK)]
@@ -109,13 +87,12 @@ def read_symbol(
     limit = checked_count(row_limit, "limit")
     paged = bool(offset) or limit is not None
 
+    records = filtered_scan(container, meta, filters, ignore_case)
     if paged:
-        container = container.for_paging(meta, offset, limit)
-        meta = container.find(meta.name)
-    scan = filtered_scan(container, meta, filters, ignore_case)
-    records = container.page(meta, scan, bool(filters), offset, limit) if paged else scan()
+        chosen = (*sorted(filters), ignore_case) if filters else ()
+        records = container.page(meta, records, chosen, offset, limit)
     if meta.dimension_count > 1:
         records = container.with_markers(meta, records)
-    if ordered or limit is not None:
+    if ordered or paged:
         records = container.in_order(meta, records, offset, limit)
-    return records.select(*_output(meta, values))
+    return records.select(*output_columns(meta, values))

@@ -59,6 +59,10 @@ SYMBOLS = {
         "SELECT event_type, CASE WHEN event_type IN ('click', 'error') THEN NULL "
         f"ELSE CAST(SUM({_MONEY.format('value')}) AS DOUBLE) END AS value FROM events GROUP BY event_type"
     ),
+    "padded": (
+        f"SELECT n_name AS dim_1, c_mktsegment AS dim_2, CAST(SUM({_MONEY.format('c_acctbal')}) AS DOUBLE) AS value "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment"
+    ),
     "shipments": (
         "SELECT l_returnflag, l_linestatus, CAST(l_orderkey AS VARCHAR) AS dim_3, "
         "CAST(l_partkey AS VARCHAR) AS dim_4, SUM(l_quantity) AS value "
@@ -77,6 +81,7 @@ DIMENSIONS = {
     "balance": ["n_name"],
     "total": [],
     "ratio": ["event_type"],
+    "padded": ["dim_1", "dim_2"],
     "shipments": ["l_returnflag", "l_linestatus", "dim_3", "dim_4"],
 }
 

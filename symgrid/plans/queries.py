@@ -167,17 +167,33 @@ def stored_symbol_catalog(spark, sf_dir):
 
 
 @query(
-    "SELECT string_agg(symbol_name || '=' || CAST(record_count AS VARCHAR), ',' ORDER BY symbol_name) AS counts "
-    f"FROM ({_CATALOG}) c WHERE symbol_name IN ('nations', 'revenue', 'balance')"
+    "SELECT symbol_type, string_agg(symbol_name, ' < ' ORDER BY record_count, symbol_name) AS by_size, "
+    f"CAST(SUM(record_count) AS BIGINT) AS records FROM ({_CATALOG}) c GROUP BY symbol_type"
 )
 def catalog_string_agg(spark, sf_dir):
     symbols(spark, symbol_set(spark, sf_dir, *_CATALOG_SYMBOLS)).createOrReplaceTempView("symgrid_catalog")
     return spark.sql(
-        "SELECT string_agg(symbol_name || '=' || record_count, ',') WITHIN GROUP (ORDER BY symbol_name) AS counts "
-        "FROM symgrid_catalog WHERE symbol_name IN ('nations', 'revenue', 'balance')"
+        "SELECT symbol_type, listagg(symbol_name, ' < ') WITHIN GROUP (ORDER BY record_count, symbol_name) AS by_size, "
+        "SUM(record_count) AS records FROM symgrid_catalog GROUP BY symbol_type"
     )
 
 
+@query(
+    f"{_CATALOG} UNION ALL SELECT 'countries', 'Alias', dimension_count, record_count, description, domain_labels "
+    f"FROM ({_CATALOG}) c WHERE symbol_name = 'nations'"
+)
+def catalog_with_alias(spark, sf_dir):
+    container = symbol_set(spark, sf_dir, *_CATALOG_SYMBOLS)
+    container.register_alias("countries", "nations")
+    return _flat(symbols(spark, container))
+
+
+@query(oracle.scan("nations"))
+def stored_scan_by_uri(spark, sf_dir):
+    path = str(symbol_store(spark, sf_dir, "nations"))
+    return read_symbol(spark, path if "://" in path or path.startswith("file:") else f"file://{path}", "nations")
+
+
 @query(f"SELECT 'nations' AS symbol_name, COUNT(*) AS members FROM ({oracle.SYMBOLS['nations']}) r WHERE is_member")
 def count_of_required_set(spark, sf_dir):
     container = symbol_set(spark, sf_dir, "nations")
@@ -262,6 +278,12 @@ def where_like_after_scan(spark, sf_dir):
     return chosen.select(F.col("level").alias("value"), "marginal")
 
 
+@query(f"SELECT * FROM ({oracle.scan('padded')}) s WHERE dim_1 = 'NATION_3'")
+def filter_padded_label(spark, sf_dir):
+    """White space around a label counts neither in the table nor in the filter."""
+    return read(spark, sf_dir, "padded", dimension_filters={"dim_1": "NATION_3\t"})
+
+
 # -- paging ----------------------------------------------------------------------------
 
 
@@ -275,6 +297,11 @@ def page_middle(spark, sf_dir):
     return read(spark, sf_dir, "trade", row_offset=10000, row_limit=2500)
 
 
+@query(oracle.page("shipments", 41_000, 3000))
+def page_deep_session(spark, sf_dir):
+    return read(spark, sf_dir, "shipments", row_offset=41_000, row_limit=3000)
+
+
 @query(oracle.page("trade", 100, 50, "dim_2 = 'NATION_5' AND dim_4 = 'N'"))
 def page_filtered(spark, sf_dir):
     filters = {"dim_2": "NATION_5", "dim_4": "N"}
@@ -320,31 +347,28 @@ def markers(spark, sf_dir):
     return read(spark, sf_dir, "pairs").drop("value")
 
 
-_COUNTS = (
-    "SELECT SUM(CASE WHEN is_sparse_break THEN 1 ELSE 0 END) AS breaks, "
-    "SUM(CASE WHEN is_dense_run THEN 1 ELSE 0 END) AS dense FROM "
-)
-
-
-def _marker_counts(symbol: DataFrame) -> DataFrame:
-    return symbol.agg(
-        F.sum(F.when(F.col("is_sparse_break"), 1).otherwise(0)).alias("breaks"),
-        F.sum(F.when(F.col("is_dense_run"), 1).otherwise(0)).alias("dense"),
+def _marker_counts(symbol: DataFrame, dimension: str) -> DataFrame:
+    """Breaks and run-on records per label of a dimension."""
+    return symbol.groupBy(dimension).agg(
+        F.count_if("is_sparse_break").alias("breaks"), F.count_if("is_dense_run").alias("dense")
     )
 
 
-def _bigint(sql: str) -> str:
-    return f"SELECT CAST(breaks AS BIGINT) AS breaks, CAST(dense AS BIGINT) AS dense FROM ({sql}) c"
+def _marker_counts_sql(symbol: str, dimension: str) -> str:
+    return (
+        f"SELECT {dimension}, COUNT(*) FILTER (is_sparse_break) AS breaks, COUNT(*) FILTER (is_dense_run) AS dense "
+        f"FROM ({oracle.scan(symbol)}) s GROUP BY {dimension}"
+    )
 
 
-@query(_bigint(f"{_COUNTS} ({oracle.scan('trade')}) s"))
+@query(_marker_counts_sql("trade", "dim_4"))
 def marker_counts(spark, sf_dir):
-    return _marker_counts(read(spark, sf_dir, "trade"))
+    return _marker_counts(read(spark, sf_dir, "trade"), "dim_4")
 
 
-@query(_bigint(f"{_COUNTS} ({oracle.scan('shipments')}) s"))
+@query(_marker_counts_sql("shipments", "l_linestatus"))
 def stored_marker_counts(spark, sf_dir):
-    return _marker_counts(read_stored(spark, sf_dir, "shipments"))
+    return _marker_counts(read_stored(spark, sf_dir, "shipments"), "l_linestatus")
 
 
 @query(
@@ -453,3 +477,21 @@ def sql_domain_values(spark, sf_dir):
         "SELECT value FROM domain_values_stored_trade("
         "3, dimension_filters => map('dim_1', 'NATION_2', 'dim_2', 'NATION_6', 'dim_4', 'R'))"
     )
+
+
+@query(
+    f"SELECT n_name_1, value FROM ({oracle.SYMBOLS['pairs']}) r WHERE n_name = 'NATION_4' AND n_name_1 IN ('NATION_2', 'NATION_3')"
+)
+def sql_filter_by_label_and_alias(spark, sf_dir):
+    """Both dimensions have one label; the second answers to its column name."""
+    register_views(spark, symbol_store(spark, sf_dir, "pairs"), "stored_")
+    return spark.sql(
+        "SELECT n_name_1, value FROM read_stored_pairs(dimension_filters => map('\\tN_Name ', ' NATION_4', 'n_name_1', 'NATION_2')) "
+        "UNION ALL SELECT n_name_1, value FROM read_stored_pairs(map('n_name', 'NATION_4', ' N_NAME_1', 'NATION_3\\n'))"
+    )
+
+
+@query(oracle.page("shipments", 30_000, 10_000))
+def sql_page(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql("SELECT * FROM page_stored_shipments(row_offset => 30000, row_limit => 10000)")

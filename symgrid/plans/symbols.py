@@ -174,9 +174,19 @@ def shipments(spark, sf_dir):
     )
 
 
+def padded(spark, sf_dir):
+    """Labels with white space around them, as files often have."""
+    blanks = F.when(F.col("n_nationkey") % 2 == 0, F.lit(" ")).otherwise(F.lit("\t"))
+    nation = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "customer"), F.col("n_nationkey") == F.col("c_nationkey"))
+    df = nation.groupBy(F.concat(blanks, "n_name", blanks).alias("nation"), "c_mktsegment").agg(
+        _double(F.sum(_cents("c_acctbal"))).alias("value")
+    )
+    return dict(df=df, symbol_type="Parameter", dims=["nation", "c_mktsegment"], values="value", description="Balances by nation")
+
+
 DEFINITIONS = {
     f.__name__: f
-    for f in (nations, revenue, trade, pairs, ranked_pairs, coded, order_stats, balance, total, ratio, shipments)
+    for f in (nations, revenue, trade, pairs, ranked_pairs, coded, order_stats, balance, total, ratio, shipments, padded)
 }
 
 

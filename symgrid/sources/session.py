@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
@@ -12,27 +12,21 @@ from pyspark.sql import functions as F
 from symgrid.functions.naming import type_name
 from symgrid.functions.records import distinct_labels, order_columns, ranked_dimensions, to_records
 from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
-from symgrid.operators.markers import first_records, with_breaks
-from symgrid.sources.shared import new_folder
+from symgrid.operators.markers import first_records, unique_keys, with_breaks
 
 
 class SymbolSet:
-    """Symbols registered over DataFrames; nothing is computed or copied on registration.
+    """Symbols registered over DataFrames; nothing is computed or copied on registration or when a scan is built.
 
-    Labels must not be NULL and keys must be unique, as in a stored symbol, where
-    both are checked when the symbol is written.
+    Labels must not be NULL or blank: a scan that meets one fails. Keys must be unique: reading
+    the markers counts the keys, and fails on a repeated one.
     """
 
-    # A page of this many rows, counted from the start of the symbol, is a plain
-    # top-k. Anything deeper is served from a stored copy of the symbol.
-    TOP_K_ROWS = 10_000
-
     def __init__(self, spark: SparkSession, name: str = "session"):
         self.spark = spark
         self.name = name
         self._metas: dict[str, SymbolMeta] = {}
         self._records: dict[str, DataFrame] = {}
-        self._stored = None
 
     def register(
         self,
@@ -49,7 +43,7 @@ class SymbolSet:
         kind = type_name(symbol_type)
         if kind == "Alias":
             raise ValueError("Use register_alias for an alias")
-        records = to_records(df, kind, dims, values, label_rank)
+        records = to_records(df, kind, dims, values, label_rank, name)
         meta = SymbolMeta(
             name=name,
             symbol_type=kind,
@@ -69,7 +63,6 @@ class SymbolSet:
         old = self._metas.get(key)
         self._metas[key] = replace(meta, index=old.index if old else len(self._metas) + 1)
         self._records[key] = records
-        self._stored = None
         return self._metas[key]
 
     def __str__(self) -> str:
@@ -92,14 +85,21 @@ class SymbolSet:
     def records(self, meta: SymbolMeta) -> DataFrame:
         return self._records[meta.name.lower()]
 
-    def scan(self, meta: SymbolMeta, first_labels: Sequence[str] | None = None) -> DataFrame:
-        return self.records(meta)
+    def scan(self, meta: SymbolMeta, labels: Mapping[int, Sequence[str]]) -> DataFrame:
+        records = self.records(meta)
+        for position, spellings in labels.items():
+            records = records.where(F.col(meta.keys[position]).isin(list(spellings)))
+        return records
+
+    def spellings(self, meta: SymbolMeta, position: int, label: str) -> None:
+        """Looking spellings up would compute the source before anything is asked of the scan."""
 
     def order(self, meta: SymbolMeta) -> list[str]:
         return order_columns(meta.dimension_count, meta.ranked)
 
     def with_markers(self, meta: SymbolMeta, records: DataFrame) -> DataFrame:
-        firsts = first_records(self.records(meta), meta.keys, self.order(meta))
+        order = self.order(meta)
+        firsts = first_records(unique_keys(self.records(meta).select(*order), meta.keys, meta.name), meta.keys, order)
         return with_breaks(records, firsts, meta.keys)
 
     def labels(self, meta: SymbolMeta, position: int) -> DataFrame:
@@ -133,22 +133,23 @@ class SymbolSet:
     def page(
         self,
         meta: SymbolMeta,
-        scan: Callable[..., DataFrame],
-        filtered: bool,
+        scan: DataFrame,
+        filters: tuple,
         offset: int,
         limit: int | None,
     ) -> DataFrame:
         """The rows up to the end of the page; :meth:`in_order` drops those before it.
 
         The offset has to come last: a join above an offset (the one for the markers)
-        makes adaptive execution believe in a single row and drop the sort above it.
+        makes adaptive execution believe in a single row and drop the sort above it. A live
+        symbol has no positions, so a page is a top-k of all rows up to its end, at every depth alike;
+        for deep pages of large symbols write a store.
         """
-        records = scan()
         if limit is None:
-            return records
+            return scan
         if not meta.dimension_count:
-            return records.limit(offset + limit)
-        return records.orderBy(*self.order(meta)).limit(offset + limit)
+            return scan.limit(offset + limit)
+        return scan.orderBy(*self.order(meta)).limit(offset + limit)
 
     def in_order(self, meta: SymbolMeta, records: DataFrame, offset: int, limit: int | None) -> DataFrame:
         if meta.dimension_count:
@@ -156,19 +157,3 @@ class SymbolSet:
         if offset:
             records = records.offset(offset)
         return records if limit is None else records.limit(limit)
-
-    def for_paging(self, meta: SymbolMeta, offset: int, limit: int | None):
-        """The container to page in: this one for a shallow page, else a stored copy.
-
-        A top-k of ``offset + limit`` rows is merged in one task, which is fine for a
-        page near the start only. The stored copy is written once per container.
-        """
-        if limit is not None and offset + limit <= self.TOP_K_ROWS or not offset and limit is None:
-            return self
-        from symgrid.sources.store import SymbolStore
-
-        if self._stored is None:
-            self._stored = SymbolStore(self.spark, new_folder(self.spark, "pages"))
-        if not self._stored.has(meta.name):
-            self._stored.write_records(self.records(meta), meta, build_domains=False)
-        return self._stored

@@ -1,43 +1,48 @@
 """A container of symbols on a shared filesystem, as Parquet tables.
 
-Layout under the store's path::
+Layout under the store's path, a folder of its own for every write::
 
-    catalog/                    one small file per write; the newest revision of a symbol counts
-    records/<symbol>/r<rev>/    part, pos, key_1 .. key_n, first_of_run (n > 1), values
-    parts/<symbol>/r<rev>/      part, rows, first_row, files, low, high
-    runs/<symbol>/r<rev>/       keys of the first record of each run of key_1 (n > 1)
-    domains/<symbol>/r<rev>/    dim_index, value
+    catalog/                        one small file per write; the newest row of a symbol counts
+    staging/<symbol>/<folder>/      the source as it was evaluated, once; removed after the write
+    records/<symbol>/<folder>/      part (a partition column), pos, key_1 .. key_n, first_of_run (n > 1), values
+    parts/<symbol>/<folder>/        part, rows, first_row, low, high
+    runs/<symbol>/<folder>/         keys of the first record of each run of key_1 (n > 1)
+    domains/<symbol>/<folder>/      dim_index (a partition column), value
 
 ``part`` is the range partition a record was written by and ``pos`` its place in it,
 so ``(part, pos)`` is the stored order. ``parts`` has one row per part. It turns a row
 number into such a pair, which gives every record a position without a second write of
-the data and lets a deep page be read as a pushed-down range; and it holds the range of
-first labels and the files of each part, so that a page or a filter on the first
-dimension of a large symbol opens only the files it needs. A symbol is written under a new revision and
-becomes visible by the catalog row added last: a failed write leaves the old revision
-in place, and readers of the old revision are not disturbed.
+the data and lets a deep page be read as a pushed-down range; and it holds the range of whole keys
+of each part, by which a filter on the first dimensions prunes partitions as it runs. A
+symbol becomes visible by the catalog row added last: a failed write leaves the old revision
+in place, readers of the old revision are not disturbed, and of two writers at once the
+later row counts, with the folder it names.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from symgrid.functions.naming import VALUE_COLUMNS, type_name
 from symgrid.functions.records import distinct_labels, order_columns, ranked_dimensions, to_records
+from symgrid.functions.values import fail_when
 from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
 from symgrid.operators.markers import BREAK, first_records, with_breaks
+from symgrid.sources.shared import remove_folder
 
-_CATALOG_FILES_DDL = f"{CATALOG_DDL}, symbol_index int, revision int"
+_CATALOG_FILES_DDL = f"{CATALOG_DDL}, symbol_index int, revision int, folder string, written double, ranked array<int>"
 # Sorted keys and running positions shrink to about half with these, at no cost in time.
 _ENCODING = {"compression": "zstd", "parquet.writer.version": "v2"}
-_PARTS_DDL = "part int, rows bigint, first_row bigint, files array<string>, low string, high string"
+_PARTS_DDL = "part int, rows bigint, first_row bigint, low array<string>, high array<string>"
 _DOMAINS_DDL = "dim_index int, value string"
 # monotonically_increasing_id() keeps the place within the partition in its low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
@@ -45,37 +50,32 @@ _POSITION_BITS = (1 << 33) - 1
 # Symbol lists already loaded, by application and store path. Like the catalog itself
 # they hold one entry per symbol; a write or preload(force_reload=True) drops them.
 _loaded: dict[tuple[str, str], list[SymbolMeta]] = {}
-
-
-def _fail_when(condition: Column, message: str | Column) -> Column:
-    """A filter condition that keeps every row and fails the job where ``condition`` holds."""
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.when(condition, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+# Called with a symbol's metadata after it was written, by application and store path.
+_watchers: dict[tuple[str, str], dict[object, Callable[[SymbolMeta], None]]] = {}
 
 
 class SymbolStore:
     """A store at ``path``, which may be any URI that Spark can read and write."""
 
-    # Pages up to this size are sorted in one task, larger ones by range.
-    TOP_K_ROWS = 10_000
     # A part holds at most about this many rows, and not much less than the second
     # number just for the sake of parallel writing.
     ROWS_PER_PART = 10_000_000
     MIN_ROWS_PER_PART = 50_000
-    # From this size on, a scan looks up which files it needs, and opens only those
-    # if they are not more than this many.
-    PRUNED_FROM_ROWS = 20_000_000
-    LISTED_FILES = 5_000
+    # Rows of a part are counted by blocks of so many places to find the ends of a filtered page.
+    BLOCK_ROWS = 1 << 14
+    # Filtered pages whose counts per part are kept.
+    COUNTS_KEPT = 64
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._counts: dict[tuple, list[tuple[int, int]]] = {}
 
     def __str__(self) -> str:
         return self.path
 
     def _dir(self, table: str, meta: SymbolMeta) -> str:
-        return f"{self.path}/{table}/{quote(meta.name.lower(), safe='')}/r{meta.revision}"
+        return f"{self.path}/{table}/{quote(meta.name.lower(), safe='')}/{meta.folder}"
 
     # -- catalog ------------------------------------------------------------------
 
@@ -90,7 +90,7 @@ class SymbolStore:
         except AnalysisException as error:
             raise ValueError(f"Unable to open '{self.path}'") from error
         newest = rows.groupBy(F.lower("symbol_name").alias("symbol")).agg(
-            F.max_by(F.struct(*rows.columns), "revision").alias("row")
+            F.max_by(F.struct(*rows.columns), F.struct("revision", "written", "folder")).alias("row")
         )
         return newest.select("row.*")
 
@@ -105,6 +105,8 @@ class SymbolStore:
                     index=row.symbol_index,
                     record_count=row.record_count,
                     revision=row.revision,
+                    folder=row.folder,
+                    ranked=tuple(row.ranked),
                 )
                 for row in self.catalog().orderBy("symbol_index").collect()
             ]
@@ -158,7 +160,7 @@ class SymbolStore:
             description=description,
             ranked=tuple(sorted(ranked_dimensions(dims, label_rank))),
         )
-        records = to_records(df, kind, dims, values, label_rank)
+        records = to_records(df, kind, dims, values, label_rank, name)
         return self.write_records(records, meta, mode, num_partitions, build_domains)
 
     def write_records(
@@ -170,17 +172,37 @@ class SymbolStore:
         build_domains: bool = True,
     ) -> SymbolMeta:
         meta = self._next_revision(meta, mode)
-        sorted_records = self._in_stored_order(records, meta, num_partitions)
-        sorted_records.write.mode("overwrite").options(**_ENCODING).parquet(self._dir("records", meta))
-        meta = replace(meta, record_count=self._write_parts(meta))
+        staging = self._dir("staging", meta)
+        try:
+            records.write.parquet(staging)
+            staged = self.spark.read.schema(records.schema).parquet(staging)
+            rows = staged.count()
+            if not meta.dimension_count and rows > 1:
+                raise ValueError(f"More than one record for scalar '{meta.name}'")
+            self._check_ranks(staged, meta)
+            sorted_records = self._in_stored_order(staged, meta, num_partitions or self._part_count(rows))
+            sorted_records.write.partitionBy("part").options(**_ENCODING).parquet(self._dir("records", meta))
+        finally:
+            remove_folder(self.spark, staging)
+        meta = replace(meta, record_count=self._write_parts(meta, rows))
         if build_domains and meta.dimension_count:
             self._write_domains(meta)
         self._add_to_catalog(meta)
         return meta
 
+    def _check_ranks(self, records: DataFrame, meta: SymbolMeta) -> None:
+        """A label with two ranks would stand in two places of the stored order, one without a rank in none."""
+        for position in meta.ranked:
+            key, rank = f"key_{position}", f"rank_{position}"
+            ranks = records.groupBy(key).agg(F.min(rank).alias("low"), F.max(rank).alias("high"), F.count_if(F.col(rank).isNull()).alias("missing"))
+            bad = ranks.where((F.col("low") != F.col("high")) | (F.col("missing") > 0)).agg(F.min(F.struct(key, "missing")).alias("first")).first().first
+            if bad is not None:
+                problem = "Label without a rank" if bad.missing else "Label with more than one rank"
+                raise ValueError(f"{problem}: {bad[key]}")
+
     def write_alias(self, name: str, target: str, mode: str = "error") -> SymbolMeta:
         symbol = self.find(target)
-        alias = replace(symbol, name=name, symbol_type="Alias", revision=0)
+        alias = replace(symbol, name=name, symbol_type="Alias", revision=0, folder="")
         alias = self._next_revision(alias, mode)
         self._add_to_catalog(alias)
         return alias
@@ -193,42 +215,31 @@ class SymbolStore:
         old = next((m for m in known if m.name.lower() == meta.name.lower()), None)
         if old and mode == "error":
             raise ValueError(f"Symbol '{meta.name}' already exists in '{self.path}'")
-        if old:
-            return replace(meta, index=old.index, revision=old.revision + 1)
-        return replace(meta, index=max((m.index for m in known), default=0) + 1, revision=1)
+        revision = old.revision + 1 if old else 1
+        index = old.index if old else max((m.index for m in known), default=0) + 1
+        return replace(meta, index=index, revision=revision, folder=f"r{revision}-{uuid.uuid4().hex}")
 
-    def _in_stored_order(self, records: DataFrame, meta: SymbolMeta, num_partitions: int | None) -> DataFrame:
+    def _in_stored_order(self, records: DataFrame, meta: SymbolMeta, num_partitions: int) -> DataFrame:
         """Records sorted by key and split into ranges of the whole key.
 
         The whole key is unique, so a ``key_1`` that holds a large share of the rows is
         cut into as many ranges as its size asks for.
         """
         if not meta.dimension_count:
-            # A second record makes the write fail, so there is no point in writing a third.
-            return records.limit(2).select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("pos"), *meta.values)
+            return records.select(F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("pos"), *meta.values)
         keys, order = meta.keys, order_columns(meta.dimension_count, meta.ranked)
-        no_label = F.col(keys[0]).isNull()
-        for key in keys[1:]:
-            no_label = no_label | F.col(key).isNull()
-        records = records.where(_fail_when(no_label, f"NULL label in symbol '{meta.name}'"))
         if meta.dimension_count > 1:
             # Written first, so that the planner knows its size when it picks the join:
             # a broadcast leaves the records where they are.
-            counted, size = records.select(*order), Observation()
-            if num_partitions is None:
-                counted = counted.observe(size, F.count(F.lit(1)).alias("rows"))
-            first_records(counted, keys, order).write.mode("overwrite").parquet(self._dir("runs", meta))
-            runs_ddl = ", ".join([*[f"{key} string" for key in keys], "is_first boolean"])
-            records = with_breaks(records, self.spark.read.schema(runs_ddl).parquet(self._dir("runs", meta)), keys)
-            num_partitions = num_partitions or self._part_count(size.get["rows"])
-        else:
-            num_partitions = num_partitions or self._part_count(records.count())
+            first_records(records.select(*order), keys, order).write.parquet(self._dir("runs", meta))
+            records = with_breaks(records, self._runs(meta), keys)
         columns = [*keys, *([BREAK] if meta.dimension_count > 1 else []), *meta.values]
         placed = (
             records.repartitionByRange(num_partitions, *order)
-            .sortWithinPartitions(*order)
+            .withColumn("part", F.spark_partition_id())
+            .sortWithinPartitions("part", *order)
             .select(
-                F.spark_partition_id().alias("part"),
+                "part",
                 F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias("pos"),
                 *columns,
                 *[name for name in order if name not in keys],
@@ -237,69 +248,69 @@ class SymbolStore:
         # Equal keys share a range and are neighbours, so this window runs in place, with
         # no further shuffle or sort. It comes after the positions are taken: were Spark to
         # move rows for it (it does if a dimension is a literal), the order would still hold.
-        same_key = Window.partitionBy(*order)
+        # Each label has one rank, so equal keys are equal here.
+        same_key = Window.partitionBy("part", *order)
         duplicate = F.concat(F.lit(f"Duplicate key in symbol '{meta.name}': "), F.concat_ws(", ", *keys))
         return (
             placed.withColumn("copies", F.count(F.lit(1)).over(same_key))
-            .where(_fail_when(F.col("copies") > 1, duplicate))
-            .sortWithinPartitions(*order)
+            .where(fail_when(F.col("copies") > 1, duplicate))
+            .sortWithinPartitions("part", *order)
             .select("part", "pos", *columns)
         )
 
+    def _runs(self, meta: SymbolMeta) -> DataFrame:
+        ddl = ", ".join([*[f"{key} string" for key in meta.keys], "is_first boolean"])
+        return self.spark.read.schema(ddl).parquet(self._dir("runs", meta))
+
     def _part_count(self, rows: int) -> int:
         at_once = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return max(1, -(-rows // self.ROWS_PER_PART), min(at_once, -(-rows // self.MIN_ROWS_PER_PART)))
 
-    def _write_parts(self, meta: SymbolMeta) -> int:
-        """Rows, files and labels per written part, from narrow columns; returns the row count.
+    def _write_parts(self, meta: SymbolMeta, rows: int) -> int:
+        """Rows and keys per written part, from narrow columns; returns the row count.
 
-        Counting what is on disk rather than what was sent there keeps task retries out
-        of the numbers.
+        What is on disk is counted, not what was sent there, and must be what was staged, in
+        unbroken positions, with a mark for each first label.
         """
         records = self.records(meta)
-        if meta.dimension_count:
-            broken = _fail_when(F.col("rows") != F.col("last_pos") + 1, "Stored positions are not contiguous")
-        else:
-            broken = _fail_when(F.col("rows") > 1, f"More than one record for scalar '{meta.name}'")
-        # Labels in an order of their own say nothing about a range of labels.
-        ranges = bool(meta.dimension_count) and 1 not in meta.ranked
-        low = F.col("key_1") if ranges else F.lit(None).cast("string")
-        lows = records.where(F.col("pos") == 0).select("part", low.alias("low"))
-        parts = (
-            records.select("part", "pos", F.col("_metadata.file_name").alias("file"))
-            .groupBy("part", "file")
-            .agg(F.count(F.lit(1)).alias("rows"), F.max("pos").alias("last_pos"))
-            .groupBy("part")
-            .agg(F.sum("rows").alias("rows"), F.max("last_pos").alias("last_pos"), F.collect_list("file").alias("files"))
-            .where(broken)
-            .join(lows, "part", "left")
+        several = meta.dimension_count > 1
+        stats = records.groupBy("part").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.max("pos").alias("last_pos"),
+            F.count_if(F.col(BREAK) if several else F.lit(False)).alias("breaks"),
         )
-        # One row per write task: a window over all of them is small.
+        lows = records.where(F.col("pos") == 0).select("part", F.array(*meta.keys).cast("array<string>").alias("low"))
+        # One row per part: a window over all of them is small.
         in_order = Window.orderBy("part")
         before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-        total = Observation()
-        (
-            parts.select(
-                "part",
-                "rows",
-                F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_row"),
-                "files",
-                "low",
-                F.lead("low").over(in_order).alias("high"),
-            )
-            .observe(total, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-            .write.mode("overwrite")
-            .parquet(self._dir("parts", meta))
+        written = stats.join(lows, "part", "left").select(
+            "part",
+            "rows",
+            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first_row"),
+            "low",
+            F.lead("low").over(in_order).alias("high"),
+            "last_pos",
+            "breaks",
         )
-        return total.get["rows"]
+        written.coalesce(1).write.parquet(self._dir("parts", meta))
+        stored = self.spark.read.schema(_PARTS_DDL + ", last_pos bigint, breaks bigint").parquet(self._dir("parts", meta))
+        found = stored.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("breaks"), F.lit(0)).alias("breaks"),
+            F.count_if(F.col("rows") != F.col("last_pos") + 1).alias("broken"),
+        ).first()
+        if found.rows != rows or found.broken:
+            raise RuntimeError(f"Stored positions of symbol '{meta.name}' are not those of its records")
+        if several and found.breaks != self._runs(meta).count():
+            raise RuntimeError(f"Markers of symbol '{meta.name}' do not match its first labels")
+        return found.rows
 
     def _write_domains(self, meta: SymbolMeta) -> None:
-        """Distinct labels of all dimensions in one pass over the key columns."""
+        """Distinct labels of all dimensions in one pass over the key columns and one shuffle; a folder per dimension."""
         (
             distinct_labels(self.records(meta), meta.keys)
-            .repartitionByRange("dim_index", "value")
             .sortWithinPartitions("dim_index", "value")
-            .write.mode("overwrite")
+            .write.partitionBy("dim_index")
             .options(**_ENCODING)
             .parquet(self._dir("domains", meta))
         )
@@ -314,51 +325,53 @@ class SymbolStore:
             "domain_labels": F.array(*[F.lit(label) for label in meta.domain_labels]).cast("array<string>"),
             "symbol_index": F.lit(meta.index),
             "revision": F.lit(meta.revision),
+            "folder": F.lit(meta.folder),
+            "written": F.lit(time.time()),
+            "ranked": F.array(*map(F.lit, meta.ranked)).cast("array<int>"),
         }
         frame = self.spark.range(1, numPartitions=1).select(*[value.alias(name) for name, value in row.items()])
         frame.write.mode("append").parquet(f"{self.path}/catalog")
         _loaded.pop(self._cache_key, None)
+        for watcher in _watchers.get(self._cache_key, {}).values():
+            watcher(meta)
+
+    def watch(self, name: object, watcher: Callable[[SymbolMeta], None]) -> None:
+        """Have ``watcher`` called with every symbol that this application writes to the store; one for each name."""
+        _watchers.setdefault(self._cache_key, {})[name] = watcher
 
     # -- what the operators need from a container ---------------------------------
 
-    def records(self, meta: SymbolMeta, files: Sequence[str] | None = None) -> DataFrame:
+    def records(self, meta: SymbolMeta) -> DataFrame:
         columns = ["part int", "pos bigint", *[f"{key} string" for key in meta.keys]]
         if meta.dimension_count > 1:
             columns.append(f"{BREAK} boolean")
         columns += [f"{name} {kind}" for name, kind in VALUE_COLUMNS[meta.symbol_type]]
-        folder = self._dir("records", meta)
-        paths = [folder] if files is None else [f"{folder}/{file}" for file in files]
-        if not paths:
-            return self.spark.createDataFrame([], ", ".join(columns))
-        return self.spark.read.schema(", ".join(columns)).parquet(*paths)
+        return self.spark.read.schema(", ".join(columns)).parquet(self._dir("records", meta))
 
-    def scan(
-        self,
-        meta: SymbolMeta,
-        first_labels: Sequence[str] | None = None,
-        from_part: int | None = None,
-        to_part: int | None = None,
-    ) -> DataFrame:
-        """Records, possibly without files that have none of the given labels or parts.
+    def scan(self, meta: SymbolMeta, labels: Mapping[int, Sequence[str]]) -> DataFrame:
+        """Records with one of the given labels in each of these dimensions.
 
-        This only saves opening files (one footer each); the caller still filters.
+        One label each of the first dimensions bounds the whole key: only parts whose range holds it are read, by
+        partition pruning as the query runs. The comparisons are pushed to the scan in any case.
         """
-        if meta.record_count < self.PRUNED_FROM_ROWS:
-            return self.records(meta)
-        parts = self.parts(meta)
-        if first_labels is not None:
-            wanted = F.col("low").isNull()
-            for label in first_labels:
-                wanted = wanted | (
-                    (F.col("low") <= label) & (F.col("high").isNull() | (F.col("high") >= label))
-                )
-            parts = parts.where(wanted)
-        if from_part is not None:
-            parts = parts.where(F.col("part") >= from_part)
-        if to_part is not None:
-            parts = parts.where(F.col("part") <= to_part)
-        files = parts.select(F.explode("files").alias("file")).limit(self.LISTED_FILES + 1).collect()
-        return self.records(meta, None if len(files) > self.LISTED_FILES else [row.file for row in files])
+        records = self.records(meta)
+        prefix = []
+        for position in range(meta.dimension_count):
+            if len(labels.get(position, ())) != 1 or position + 1 in meta.ranked:
+                break
+            prefix.append(labels[position][0])
+        if prefix:
+            wanted, size = F.array(*map(F.lit, prefix)), len(prefix)
+            within = (F.slice("low", 1, size) <= wanted) & (F.col("high").isNull() | (F.slice("high", 1, size) >= wanted))
+            records = records.join(self.parts(meta).where(within).select("part"), "part", "left_semi")
+        for position, spellings in labels.items():
+            records = records.where(F.col(meta.keys[position]).isin(list(spellings)))
+        return records
+
+    def spellings(self, meta: SymbolMeta, position: int, label: str) -> list[str]:
+        """The labels of a dimension that equal ``label`` in any case, so that a scan can be filtered by them."""
+        found = self.labels(meta, position).where(F.lower("value") == F.lower(F.lit(label)))
+        return [row.value for row in found.collect()]
 
     def parts(self, meta: SymbolMeta) -> DataFrame:
         return self.spark.read.schema(_PARTS_DDL).parquet(self._dir("parts", meta))
@@ -385,72 +398,67 @@ class SymbolStore:
         except AnalysisException:
             return None
 
-    def for_paging(self, meta: SymbolMeta, offset: int, limit: int | None) -> SymbolStore:
-        return self
-
     def page(
         self,
         meta: SymbolMeta,
-        scan: Callable[..., DataFrame],
-        filtered: bool,
+        scan: DataFrame,
+        filters: tuple,
         offset: int,
         limit: int | None,
     ) -> DataFrame:
-        """The rows after ``offset``, at most ``limit`` of them, as a range of (part, pos).
+        """The rows of ``scan`` after ``offset``, at most ``limit`` of them, as a range of (part, pos).
 
-        Which parts the page lies in follows from row counts per part: the stored ones,
-        or for filtered records one aggregate over the filtered columns. Either way the
-        table has one row per part and only the rows at the two ends reach the driver,
-        so page depth does not matter and no task sees more than one part.
+        Which parts the page lies in follows from row counts per part, one number each: the stored ones,
+        or for filtered records one aggregate over the filtered columns, kept for the next page
+        of the same filters. So page depth does not matter.
         """
+        empty = scan.where("false")
         if limit == 0:
-            return self.records(meta).limit(0)
-        if filtered:
-            counts = scan().groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-            before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-            parts = counts.withColumn("first_row", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        else:
-            parts = self.parts(meta)
-        last = None if limit is None else offset + limit - 1
-        wanted = [offset] if last is None else [offset, last]
-        ends = parts.select(
-            *[
-                F.max(
-                    F.when(
-                        (F.col("first_row") <= row) & (F.col("first_row") + F.col("rows") > row),
-                        F.struct("part", (F.lit(row) - F.col("first_row")).alias("place")),
-                    )
-                )
-                for row in wanted
-            ]
-        ).first()
-        if ends[0] is None:
-            return self.records(meta).limit(0)
-        start, stop = ends[0], ends[1] if last is not None else None
-        if filtered:
-            start, stop = self._places_to_positions(scan, start, stop)
+            return empty
+        counts = self._part_counts(meta, scan, filters)
+        start = self._end(counts, offset)
+        if start is None:
+            return empty
+        stop = None if limit is None else self._end(counts, offset + limit - 1)
+        if filters:
+            start = self._position(scan, *start)
+            stop = stop and self._position(scan, *stop)
         part, pos = F.col("part"), F.col("pos")
-        page = scan(from_part=start.part, to_part=stop.part if stop else None)
-        page = page.where((part >= start.part) & ((part > start.part) | (pos >= start.place)))
+        page = scan.where((part >= start[0]) & ((part > start[0]) | (pos >= start[1])))
         if stop is not None:
-            page = page.where((part <= stop.part) & ((part < stop.part) | (pos <= stop.place)))
+            page = page.where((part <= stop[0]) & ((part < stop[0]) | (pos <= stop[1])))
         return page
 
+    def _part_counts(self, meta: SymbolMeta, scan: DataFrame, filters: tuple) -> list[tuple[int, int]]:
+        """(part, rows) in order, of the parts with any row of ``scan``."""
+        key = (meta.folder, filters)
+        if key not in self._counts:
+            rows = scan.groupBy("part").agg(F.count(F.lit(1)).alias("rows")) if filters else self.parts(meta).select("part", "rows")
+            while len(self._counts) >= self.COUNTS_KEPT:
+                del self._counts[next(iter(self._counts))]
+            self._counts[key] = sorted((row.part, row.rows) for row in rows.collect())
+        return self._counts[key]
+
+    @staticmethod
+    def _end(counts: Sequence[tuple[int, int]], row: int) -> tuple[int, int] | None:
+        """Part and place in it of a row number; None beyond the last row."""
+        for part, rows in counts:
+            if row < rows:
+                return part, row
+            row -= rows
+        return None
+
+    def _position(self, scan: DataFrame, part: int, place: int) -> tuple[int, int]:
+        """Stored position of a place among the filtered rows of a part, from counts per block of positions."""
+        own = scan.where(F.col("part") == part).select("pos")
+        block = F.floor(F.col("pos") / self.BLOCK_ROWS).alias("block")
+        counts = sorted((row.block, row.rows) for row in own.groupBy(block).agg(F.count(F.lit(1)).alias("rows")).collect())
+        number, place = self._end(counts, place)
+        low = number * self.BLOCK_ROWS
+        inside = own.where((F.col("pos") >= low) & (F.col("pos") < low + self.BLOCK_ROWS)).collect()
+        return part, sorted(row.pos for row in inside)[place]
+
     def in_order(self, meta: SymbolMeta, records: DataFrame, offset: int, limit: int | None) -> DataFrame:
         records = records.orderBy("part", "pos")
-        # A page has no more rows than this anyway: sort a small one as a top-k.
-        return records.limit(limit) if limit is not None and limit <= self.TOP_K_ROWS else records
-
-    def _places_to_positions(self, scan: Callable[..., DataFrame], start: Row, stop: Row | None):
-        """Turn places among the filtered rows of the two end parts into stored positions."""
-        ends = [start] if stop is None else [start, stop]
-        in_part = Window.partitionBy("part").orderBy("pos")
-        placed = (
-            scan(from_part=ends[0].part, to_part=ends[-1].part)
-            .where(F.col("part").isin([end.part for end in ends]))
-            .select("part", "pos", (F.row_number().over(in_part) - 1).alias("place"))
-        )
-        is_end = [(F.col("part") == end.part) & (F.col("place") == end.place) for end in ends]
-        found = {(row.part, row.place): row.pos for row in placed.where(is_end[0] | is_end[-1]).collect()}
-        resolved = [Row(part=end.part, place=found[(end.part, end.place)]) for end in ends]
-        return resolved[0], None if stop is None else resolved[1]
+        # A page has no more rows than this anyway; said here, it makes the sort a top-k.
+        return records if limit is None else records.limit(limit)

@@ -6,10 +6,18 @@ from pyspark.sql import SparkSession
 
 from symgrid.functions.naming import VALUE_COLUMNS, symbol_columns
 from symgrid.model import SymbolMeta
-from symgrid.operators.arguments import dimension_aliases
+from symgrid.operators.arguments import (
+    BLANK_KEY,
+    BLANK_VALUE,
+    DUPLICATE_FILTER,
+    NULL_FILTER,
+    UNKNOWN_DIMENSION,
+    dimension_aliases,
+)
 from symgrid.operators.catalog import symbols
-from symgrid.operators.read import read_symbol
+from symgrid.operators.read import output_columns, read_symbol
 from symgrid.sources.containers import Container, open_container
+from symgrid.sources.store import SymbolStore
 
 
 def _name(text: str) -> str:
@@ -20,39 +28,68 @@ def _text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# The characters of WHITE as SQL text.
+_WHITE_SQL = " \\t\\n\\u000b\\u000c\\r"
+_MARK = "char(1)"
+
+
+def _raise(*parts: str) -> str:
+    return f"raise_error(concat({', '.join(parts)}))"
+
+
+def _trimmed(texts: str) -> str:
+    """SQL for the array ``texts`` with each element trimmed, of functions that fold away for literals (a lambda would not)."""
+    around = f"'[{_WHITE_SQL}]*\\u0001[{_WHITE_SQL}]*'"
+    joined = f"btrim(regexp_replace(array_join({texts}, {_MARK}, ''), {around}, {_MARK}), '{_WHITE_SQL}')"
+    return f"if(size({texts}) = 0, CAST(array() AS ARRAY<STRING>), split({joined}, {_MARK}))"
+
+
 def _filter_tests(meta: SymbolMeta, columns: list[str]) -> str:
     """SQL condition for the parameter ``dimension_filters MAP<STRING, STRING>``.
 
     Called with a literal map, it folds to plain comparisons, which are pushed to the
-    scan like those of :func:`symgrid.read_symbol`; so does the check on the keys.
+    scan like those of :func:`symgrid.read_symbol`. So do the checks, which are those of
+    :mod:`symgrid.operators.arguments`.
     """
-    # Keys trimmed and folded, by functions that fold away for a literal map (a lambda
-    # over the map would not).
-    joined = "regexp_replace(lower(array_join(map_keys(dimension_filters), char(1))), ' *\\u0001 *', char(1))"
-    folded = f"if(size(dimension_filters) = 0, CAST(array() AS ARRAY<STRING>), split(trim({joined}), char(1)))"
-    given = f"map_from_arrays({folded}, map_values(dimension_filters))"
+    values = _trimmed("map_values(dimension_filters)")
+    keys = _trimmed(f"split(lower(array_join(map_keys(dimension_filters), {_MARK})), {_MARK}, size(dimension_filters))")
+    keys = f"if(size(dimension_filters) = 0, CAST(array() AS ARRAY<STRING>), {keys})"
+    has_null = f"contains(array_join(map_values(dimension_filters), {_MARK}, char(2)), char(2))"
     aliases = dimension_aliases(meta)
-    known = ", ".join(_text(alias) for alias in aliases)
-    unknown = f"array_except(map_keys({given}), array({known}))"
-    before = _text("Unknown dimension '")
-    after = _text(
-        "' supplied via dimension_filters parameter. Valid dimensions: " + ", ".join(meta.dimension_names)
-    )
-    tests = [f"if(size({unknown}) = 0, true, raise_error(concat({before}, {unknown}[0], {after})))"]
-    for alias, position in aliases.items():
-        value = f"{given}[{_text(alias)}]"
-        tests.append(f"({value} IS NULL OR {_name(columns[position])} = trim({value}))")
+    unknown = f"array_except({keys}, array({', '.join(map(_text, aliases))}))"
+    before, after = UNKNOWN_DIMENSION.format("\0", ", ".join(meta.dimension_names)).split("\0")
+    tests = [
+        f"if({has_null}, {_raise(_text(NULL_FILTER))}, true)",
+        f"if(array_contains({keys}, ''), {_raise(_text(BLANK_KEY))}, true)",
+        f"if(array_contains({values}, ''), {_raise(_text(BLANK_VALUE))}, true)",
+        f"if(size({unknown}) = 0, true, {_raise(_text(before), f'get({unknown}, 0)', _text(after))})",
+    ]
+    for position, name in enumerate(meta.dimension_names):
+        others, places = keys, ["0L"]
+        for alias, at in aliases.items():
+            if at == position:
+                others = f"array_remove({others}, {_text(alias)})"
+                places.append(f"array_position({keys}, {_text(alias)})")
+        times = f"(size({keys}) - size({others}))"
+        value = f"get({values}, CAST(greatest({', '.join(places)}) - 1 AS INT))"
+        twice = _raise(_text(DUPLICATE_FILTER.format(name)))
+        tests.append(f"if({times} > 1, {twice}, {times} = 0 OR {_name(columns[position])} = {value})")
     return " AND ".join(tests)
 
 
-def _scan_function(function: str, view: str, meta: SymbolMeta) -> str:
-    """DDL of ``function(dimension_filters => map(...))`` over a symbol's view."""
+def _returned(meta: SymbolMeta) -> tuple[list[str], str]:
+    """Output columns of a symbol, and their declaration."""
     values = VALUE_COLUMNS[meta.symbol_type]
     names = symbol_columns(meta.domain_labels, [name for name, _ in values])
     kinds = ["string"] * meta.dimension_count
     kinds += ["boolean"] * (len(names) - meta.dimension_count - len(values))
     kinds += [kind for _, kind in values]
-    columns = ", ".join(f"{_name(name)} {kind}" for name, kind in zip(names, kinds, strict=True))
+    return names, ", ".join(f"{_name(name)} {kind}" for name, kind in zip(names, kinds, strict=True))
+
+
+def _scan_function(function: str, view: str, meta: SymbolMeta) -> str:
+    """DDL of ``function(dimension_filters => map(...))`` over a symbol's view."""
+    names, columns = _returned(meta)
     return (
         f"CREATE OR REPLACE TEMPORARY FUNCTION {_name(function)}"
         f"(dimension_filters MAP<STRING, STRING> DEFAULT map()) RETURNS TABLE ({columns}) "
@@ -61,6 +98,29 @@ def _scan_function(function: str, view: str, meta: SymbolMeta) -> str:
     )
 
 
+def _page_function(function: str, records_view: str, parts_view: str, meta: SymbolMeta) -> str:
+    """DDL of ``function(row_offset => n, row_limit => m)``: a page in stored order.
+
+    The parts that the page touches are chosen from the parts view and prune partitions as the query runs;
+    within these the row number is that of the part plus the place in it.
+    """
+    names, columns = _returned(meta)
+    number = "p.first_row + r.stored_pos"
+    checked = " AND ".join(
+        f"if({name} < 0, {_raise(_text(f'{what} must be non-negative'))}, true)"
+        for name, what in (("row_offset", "offset"), ("row_limit", "limit"))
+    )
+    return (
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {_name(function)}"
+        f"(row_offset BIGINT DEFAULT 0, row_limit BIGINT DEFAULT {(1 << 62) - 1}) RETURNS TABLE ({columns}) "
+        f"RETURN SELECT {', '.join('r.' + _name(name) for name in names)} FROM {_name(records_view)} r "
+        f"JOIN {_name(parts_view)} p ON r.stored_part = p.part WHERE {checked} "
+        f"AND {number} >= row_offset AND {number} < row_offset + row_limit "
+        "AND p.first_row + p.rows > row_offset AND p.first_row < row_offset + row_limit "
+        "ORDER BY r.stored_part, r.stored_pos"
+    )
+
+
 def _domain_function(function: str, view: str, labels_view: str, meta: SymbolMeta) -> str:
     """DDL of ``function(dimension, dimension_filters => map(...))``.
 
@@ -82,6 +142,22 @@ def _domain_function(function: str, view: str, labels_view: str, meta: SymbolMet
     )
 
 
+def _register(spark: SparkSession, container: Container, meta: SymbolMeta, prefix: str, functions: bool) -> str:
+    view = f"{prefix}{meta.name}"
+    read_symbol(spark, container, meta.name).createOrReplaceTempView(_name(view))
+    if functions and meta.dimension_count:
+        container.all_labels(meta).createOrReplaceTempView(_name(f"labels_{view}"))
+        spark.sql(_scan_function(f"read_{view}", view, meta))
+        spark.sql(_domain_function(f"domain_values_{view}", view, f"labels_{view}", meta))
+        if isinstance(container, SymbolStore):
+            records = container.records(meta).withColumnsRenamed({"part": "stored_part", "pos": "stored_pos"})
+            columns = [*output_columns(meta, meta.values), "stored_part", "stored_pos"]
+            records.select(*columns).createOrReplaceTempView(_name(f"records_{view}"))
+            container.parts(meta).createOrReplaceTempView(_name(f"parts_{view}"))
+            spark.sql(_page_function(f"page_{view}", f"records_{view}", f"parts_{view}", meta))
+    return view
+
+
 def register_views(
     spark: SparkSession, source: str | Container, prefix: str = "", functions: bool = True
 ) -> list[str]:
@@ -90,21 +166,27 @@ def register_views(
     With ``functions`` each symbol with dimensions also gets two table functions:
     ``read_<prefix><symbol>(dimension_filters => map('i', 'seattle'))`` and
     ``domain_values_<prefix><symbol>(2, dimension_filters => map('i', 'seattle'))``, the
-    latter over the view ``labels_<prefix><symbol>``. Aliases have no view. Returns the
-    names of the symbols' views. Column pruning and WHERE conditions reach the Parquet
+    latter over the view ``labels_<prefix><symbol>``; a stored one also
+    ``page_<prefix><symbol>(row_offset => 10000, row_limit => 10000)``, over the views ``records_<prefix><symbol>``, which has the
+    stored order in ``stored_part`` and ``stored_pos``, and ``parts_<prefix><symbol>``. Aliases have no view.
+    Returns the names of the symbols' views. Column pruning and WHERE conditions reach the Parquet
     scan through views and functions alike.
+
+    Views of a store follow the symbols that this application writes to it. Writes of other applications show after
+    ``preload(..., force_reload=True)`` and another call of this function.
     """
     container = open_container(spark, source)
-    names = [f"{prefix}symbols"]
-    symbols(spark, container).createOrReplaceTempView(_name(names[0]))
-    for meta in container.metas():
-        if meta.symbol_type == "Alias":
-            continue
-        view = f"{prefix}{meta.name}"
-        read_symbol(spark, container, meta.name).createOrReplaceTempView(_name(view))
-        if functions and meta.dimension_count:
-            container.all_labels(meta).createOrReplaceTempView(_name(f"labels_{view}"))
-            spark.sql(_scan_function(f"read_{view}", view, meta))
-            spark.sql(_domain_function(f"domain_values_{view}", view, f"labels_{view}", meta))
-        names.append(view)
-    return names
+
+    def catalog() -> None:
+        symbols(spark, container).createOrReplaceTempView(_name(f"{prefix}symbols"))
+
+    def written(meta: SymbolMeta) -> None:
+        catalog()
+        if meta.symbol_type != "Alias":
+            _register(spark, container, meta, prefix, functions)
+
+    catalog()
+    if isinstance(container, SymbolStore):
+        container.watch((prefix, functions), written)
+    scanned = [meta for meta in container.metas() if meta.symbol_type != "Alias"]
+    return [f"{prefix}symbols", *(_register(spark, container, meta, prefix, functions) for meta in scanned)]

@@ -37,8 +37,9 @@ def write_symbol(
     where another order is wanted. NULL labels and repeated keys fail the write.
     ``mode='overwrite'`` replaces a symbol of that name.
 
-    ``df`` is evaluated twice, the first time for its keys only: if it is costly to
-    compute, write it to a table first.
+    ``df`` is evaluated once, into a staging folder beside the symbol that is removed after the
+    write, so a source that gives other records each time is stored consistently. Labels are trimmed of
+    white space; blank ones fail, as do a label with several ranks or none where ranks are given.
     """
     return _store(df.sparkSession, store).write(
         df, name, symbol_type, dims, values, domain_labels, description, label_rank, mode, num_partitions, build_domains

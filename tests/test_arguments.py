@@ -43,7 +43,7 @@ def test_column_names_win_over_labels():
         (TWO, {"d": "a"}, "Unknown dimension 'd'"),
         (TWO, {"dim_1": "a"}, "Unknown dimension 'dim_1'"),
         (SCALAR, {"i": "a"}, "Unknown dimension 'i'"),
-        (TWO, {"i": "a", " I": "a"}, "Duplicate dimension filter supplied for ' I'"),
+        (TWO, {"i": "a", " I": "a"}, "Duplicate dimension filter supplied for 'i'"),
         (UNDECLARED, {"cities": "a", "dim_1": "b"}, "Duplicate dimension filter supplied for 'dim_1'"),
         (TWO, {"i": None}, "NULL keys or values"),
         (TWO, {None: "a"}, "NULL keys or values"),

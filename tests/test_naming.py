@@ -34,7 +34,7 @@ def test_scalar_has_only_values():
 @pytest.mark.parametrize(
     ("code", "name"),
     [(0, "Set"), (1, "Parameter"), (2, "Variable"), (3, "Equation"), (4, "Alias"), (5, "Unknown"), (-1, "Unknown"),
-     ("set", "Set"), (" Variable ", "Variable"), ("other", "Unknown")],
+     ("set", "Set"), (" Variable ", "Variable"), ("unknown", "Unknown")],
 )
 def test_type_names(code, name):
     assert type_name(code) == name

@@ -23,8 +23,10 @@ def test_setting_of_the_session_comes_first():
 def test_temporary_folder_only_in_local_mode():
     local = session()
     assert shared_folder(local) == shared_folder(local)
-    with pytest.raises(ValueError, match="Set spark.checkpoint.dir"):
-        shared_folder(session(master="yarn"))
+    assert local.sparkContext.getCheckpointDir() is None
+    for master in ("yarn", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="Set spark.checkpoint.dir"):
+            shared_folder(session(master=master))
 
 
 def test_new_folders_differ():
