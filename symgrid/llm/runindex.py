@@ -41,18 +41,17 @@ from symgrid.llm.shingles import mix
 
 LENGTH = 50
 GRAM = 16
-PACK = 1 << 20
+PACK = 1 << 19
 HOT = 4096
 #: Anchors in a bucket, about, and bytes of an indexed block.
 BUCKET_ANCHORS = 1 << 19
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 _NONE = np.iinfo(np.int64).max
-_powers: list[np.ndarray] = []
 
 PACKS = "pack long, n_bytes long, doc_ids binary, lengths binary, data binary"
 LETTERS = "bucket long, pack long, content binary"
@@ -60,12 +59,10 @@ REPLIES = "pack long, step int, bucket long, content binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
 
 
-def _power_tables(size: int) -> list[np.ndarray]:
-    if not _powers or len(_powers[0]) < size:
-        steps = np.full((2, max(size, 2 * PACK)), [[_BASE], [_INVERSE]], np.uint64)
-        steps[:, 0] = 1
-        _powers[:] = list(np.cumprod(steps, axis=1, dtype=np.uint64))
-    return _powers
+def _powers(base: int, count: int) -> np.ndarray:
+    steps = np.full(count, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
@@ -120,10 +117,10 @@ class Pack:
         self.hashes = np.zeros(0, np.uint64)
         if n < LENGTH:
             return
-        powers, inverse = _power_tables(n + 1)
+        self.inverse = _powers(_INVERSE, n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTES[data] * powers[:n], dtype=np.uint64, out=self.sums[1:])
-        grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * inverse[: n - GRAM + 1]) | _U(1)
+        np.cumsum(_BYTES[data] * _powers(_BASE, n), dtype=np.uint64, out=self.sums[1:])
+        grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * self.inverse[: n - GRAM + 1]) | _U(1)
         inside = np.zeros(n + 1, np.int32)
         long = lengths >= LENGTH
         np.add.at(inside, self.starts[long], 1)
@@ -154,8 +151,7 @@ class Pack:
         return unique, np.bincount(place[order[first]], minlength=len(unique)), place
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        _, inverse = _power_tables(len(self.data) + 1)
-        return mix((self.sums[ends] - self.sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
     def entries(self, state: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
         """Windows to ask about: of each the first and last start, the key, and what tells contexts of a key apart.

@@ -14,7 +14,6 @@ _PLACES = np.random.default_rng(2).integers(1, 1 << 63, 64, dtype=np.uint64) | _
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 #: Bytes hashed at a time; a longer text is a block of its own.
 BLOCK = 1 << 20
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -25,18 +24,10 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> _U(31))
 
 
-def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(BLOCK + 1, length)
-    if size not in _powers:
-        tables = []
-        for base in (_BASE, _INVERSE):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps, dtype=np.uint64))
-        if size > BLOCK + 1:
-            return tables[0], tables[1]
-        _powers[size] = (tables[0], tables[1])
-    return _powers[size]
+def _powers(base: int, count: int) -> np.ndarray:
+    steps = np.full(count, base, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -58,9 +49,9 @@ def word_hashes(texts: list[str | None]) -> Iterator[np.ndarray]:
         inside = np.concatenate(([False], ~_BLANK[data]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[0::2], edges[1::2]
-        powers, inverse = _power_tables(len(data))
+        inverse = _powers(_INVERSE, len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * powers[: len(data)], dtype=np.uint64, out=sums[1:])
+        np.cumsum(_BYTES[data] * _powers(_BASE, len(data)), dtype=np.uint64, out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
         limits = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in block]))
         yield from np.split(hashes, limits[:-1])
