@@ -41,10 +41,10 @@ from symgrid.llm.shingles import mix
 
 LENGTH = 50
 GRAM = 16
-PACK = 1 << 19
+PACK = 1 << 20
 HOT = 4096
 #: Anchors in a bucket, about, and bytes of an indexed block.
-BUCKET_ANCHORS = 1 << 19
+BUCKET_ANCHORS = 1 << 18
 BLOCK = 1 << 18
 
 _U = np.uint64
@@ -362,7 +362,7 @@ def _answer_contexts(key: tuple, letters: pd.DataFrame) -> pd.DataFrame:
     """For each pack's questions in this bucket: the smallest document, for all windows of a context or for each."""
     opened = [_unsqueeze(content) for content in letters["content"]]
     keys, marks, docs, sizes = (np.concatenate([x[k] for x in opened]) for k in range(4))
-    texts = b"".join(x[4] for x in opened)
+    texts = b"".join(x.pop() for x in opened)
     ends = np.cumsum(sizes.astype(np.int64))
     order = np.lexsort((docs, marks, keys))
     new_key, new_mark = np.ones(len(order), bool), np.ones(len(order), bool)
