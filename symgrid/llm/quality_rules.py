@@ -142,10 +142,11 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 def _judge(docs: DataFrame, carried: str) -> DataFrame:
     """Counts, rates, ``base_failed`` and ``kept`` of every row, with one carried column.
 
-    The counts are staged once, since both the sketches and the filter read them.
+    The counts are staged once, since both the sketches and the filter read them. So are the fences: the planner then
+    knows their size before it chooses a join, and need not move the rows if they are few.
     """
     rated = staged(with_rates(rule_counts(docs, carried)), "quality-counts")
-    fences = thresholds(sketches(rated)).withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})
+    fences = staged(thresholds(sketches(rated)), "quality-fences").withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})
     joined = rated.join(
         fences, rated.lang.eqNullSafe(fences.fence_lang) & rated.source.eqNullSafe(fences.fence_source), "left"
     )
