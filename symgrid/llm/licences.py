@@ -1,11 +1,14 @@
 """Licence notices by a trained paragraph classifier.
 
-A paragraph is a line. Its features are word n-grams (two and three words) that occur in licence
+A paragraph is a run of adjacent lines that are joined where the last word of one and the first word of the next
+are an n-gram of a notice, so a hard-wrapped notice is one paragraph, and a line by itself otherwise; a line without words joins nothing.
+It is named by its first line. Its features are word n-grams (two and three words) that occur in licence
 notices; a multinomial logistic regression gives each family's weight for each of them. It is trained on
 parts of the notices below and on paragraphs of at most SAMPLE documents (lowest hash of the id first) that have no licence word, which
 teach the class ``none``. The class ``unknown`` is taught by licence wording that belongs to no
 family. Probabilities are calibrated by one temperature, chosen by likelihood on parts held out from training. A family
-is confirmed when the paragraph holds MIN_COVERED of the n-grams of one of its notices; a prediction below MIN_PROBABILITY or
+is confirmed when the paragraph holds MIN_COVERED of the n-grams of one of its notices, and one with the number if that notice
+has a number, so a version is never guessed; a prediction below MIN_PROBABILITY or
 not confirmed is reported as ``unknown``.
 
 Only DataFrame functions and Spark's own regression are used. N-grams are looked for where a
@@ -47,8 +50,11 @@ NOTICES = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
     ("LGPL", "Licensed under the GNU Lesser General Public License."),
+    ("LGPL", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -82,6 +88,31 @@ def grams(text: Column) -> Column:
     ))[0]
 
 
+def _end_word(line: Column) -> Column:
+    """The first word of a line, or an empty string."""
+    return F.regexp_extract(line, r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1)
+
+
+def paragraphs(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, paragraph, line): the paragraphs of each text, each with its first line's number, its lines joined with blanks."""
+    pairs = [gram for gram in vocabulary if gram.count(" ") == 1]
+    # Values used in a lambda are bound by one-element arrays; as columns they would be computed again for each line.
+    bound = lambda value, f: F.transform(F.array(value), f)[0]
+
+    def runs(lines: Column) -> Column:
+        firsts = F.transform(lines, lambda x: _end_word(F.lower(x)))
+        lasts = F.transform(lines, lambda x: F.reverse(_end_word(F.reverse(F.lower(x)))))
+        places = bound(lasts, lambda last: F.transform(
+            firsts, lambda x, i: F.when((i > 0) & F.concat(F.get(last, i - 1), F.lit(" "), x).isin(pairs), -1).otherwise(i)
+        ))
+        return bound(F.filter(places, lambda i: i >= 0), lambda starts: F.transform(starts, lambda i, k: F.struct(
+            i.alias("paragraph"),
+            F.array_join(F.slice(lines, i + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - i), " ").alias("line"),
+        )))
+
+    return docs.select("doc_id", F.inline(bound(F.split(F.coalesce("text", F.lit("")), "\n"), runs)))
+
+
 def _parts(notice: str) -> list[str]:
     """The notice, and its parts of at least 60 % of its words."""
     found = notice.split(" ")
@@ -89,7 +120,7 @@ def _parts(notice: str) -> list[str]:
     return [" ".join(found[i : i + n]) for n in range(least, len(found) + 1) for i in range(len(found) - n + 1)]
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def training_rows(docs: DataFrame, vocabulary: list[str], sample: int = SAMPLE) -> DataFrame:
     """(paragraph, family, whole): notices and their parts, and paragraphs of a bounded sample of texts without licence words."""
     spark = docs.sparkSession
     parts = [(part, family, part == notice) for family, notice in NOTICES for part in _parts(notice)]
@@ -97,7 +128,7 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     texts = docs.where(F.length("text") > 0)
     chosen = texts.join(F.broadcast(sampled_ids(texts, sample)), "doc_id")
     others = (
-        chosen.select(F.explode(F.split("text", "\n")).alias("paragraph"))
+        paragraphs(chosen, vocabulary).select(F.col("line").alias("paragraph"))
         .where((F.length("paragraph") > 0) & ~F.col("paragraph").rlike(LICENCE_WORDS))
         .select("paragraph", F.lit(NONE).alias("family"), F.lit(False).alias("whole"))
     )
@@ -132,12 +163,17 @@ class Classifier:
         return whole.select("row", F.transform("scaled", lambda x: x / F.col("whole")).alias("probabilities"))
 
     def covered(self, hits: Column, family: Column) -> Column:
-        """Largest share of a notice's n-grams, among the notices of the family, that the paragraph holds."""
-        shares = [
-            F.when(family == name, F.size(F.array_intersect(hits, F.array(*map(F.lit, own)))) / len(own)).otherwise(0.0)
-            for name, own in self.notices
-        ]
-        return F.greatest(*shares)
+        """Largest share of a notice's n-grams, among the notices of the family, that the paragraph holds.
+
+        A notice with a number has none without an n-gram with a number.
+        """
+
+        def share(own: list[str]) -> Column:
+            held = F.size(F.array_intersect(hits, F.array(*map(F.lit, own)))) / len(own)
+            numbered = [gram for gram in own if any(map(str.isdigit, gram))]
+            return F.when(F.arrays_overlap(hits, F.array(*map(F.lit, numbered))), held).otherwise(0.0) if numbered else held
+
+        return F.greatest(*(F.when(family == name, share(own)).otherwise(0.0) for name, own in self.notices))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier | None:
@@ -148,7 +184,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier | None:
     families = [NONE, UNKNOWN, *sorted({family for family, _ in NOTICES} - {UNKNOWN})]
     counted = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features")
     label = reduce(lambda c, f: c.when(F.col("family") == f, F.lit(float(families.index(f)))), families[1:], F.when(F.col("family") == NONE, F.lit(0.0)))
-    rows = training_rows(docs, sample).select(grams(F.col("paragraph")).alias("grams"), label.alias("label"), (~F.col("whole") & (F.xxhash64("paragraph") % HELD_OUT == 0)).alias("held"))
+    rows = training_rows(docs, vocabulary, sample).select(grams(F.col("paragraph")).alias("grams"), label.alias("label"), (~F.col("whole") & (F.xxhash64("paragraph") % HELD_OUT == 0)).alias("held"))
     weighted = counted.transform(rows).where("size(grams) > 0").cache()
     if not weighted.where("label = 0").head(1):
         weighted.unpersist()
@@ -183,10 +219,9 @@ def find_licences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     classifier = train(docs.select("doc_id", "text"), sample)
     if classifier is None:
         return docs.sparkSession.createDataFrame([], RESULT)
-    paragraphs = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "line"))
     # A paragraph without any of the n-grams is of the class none. The one-element array keeps the n-grams from being computed twice.
     known = F.filter(grams(F.col("line")), lambda gram: gram.isin(classifier.vocabulary))
-    hit = paragraphs.select("doc_id", "paragraph", F.explode(F.filter(F.array(known), lambda found: F.size(found) > 0)).alias("hits"))
+    hit = paragraphs(docs, classifier.vocabulary).select("doc_id", "paragraph", F.explode(F.filter(F.array(known), lambda found: F.size(found) > 0)).alias("hits"))
     hits = staged(hit.withColumn("row", F.monotonically_increasing_id()), "licence-hits")
     best = F.array_position("probabilities", F.array_max("probabilities"))
     named = F.element_at(F.array(*map(F.lit, classifier.families)), best.cast("int"))

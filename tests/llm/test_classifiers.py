@@ -74,3 +74,30 @@ def test_licences_of_the_query(spark):
     texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
     want = {(r.doc_id, k): lines[line] for r in texts for k, line in enumerate(r.text.split("\n")) if line in lines}
     assert {(r.doc_id, r.paragraph): r.family for r in queries.op8_licences(spark, SF_DIR).collect()} == want
+
+
+WRAPPED = {
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:": "BSD-3-Clause",
+    "Licensed under the Apache\nLicense, Version 2.0.": "Apache-2.0",
+    '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy': "Apache-2.0",
+    " * Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and associated\n * documentation files": "MIT",
+    **{
+        f"This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {name}General Public License as published by\n"
+        f"the Free Software Foundation, either version {version} of the License, or\n(at your option) any later version.": family
+        for name, version, family in (("", 3, "GPL-3.0"), ("", 2, "GPL-2.0"), ("Lesser ", 3, "LGPL"), ("Affero ", 3, "AGPL-3.0"))
+    },
+}
+
+
+def test_wrapped_licences(docs):
+    filler = "Some other words of the text stand here\nand in the next line of it too"
+    rows = [(i, f"{filler} {i}") for i in range(40)]
+    rows += [(100 + k, f"{filler}\n\n{notice}\n{filler}") for k, notice in enumerate(WRAPPED)]
+    # A notice ends where a line does not go on with it, and at a line without words.
+    rows += [(200, "Licensed under the Apache License, Version 2.0.\nAll rights reserved."), (201, "Licensed under the Apache\n\nLicense, Version 2.0.")]
+    found = licences.find_licences(docs(rows)).collect()
+    named = {r.doc_id: (r.family, r.paragraph) for r in found if r.doc_id < 200}
+    assert named == {100 + k: (family, 3) for k, family in enumerate(WRAPPED.values())}
+    assert len([r for r in found if r.doc_id < 200]) == len(WRAPPED)
+    assert {(r.paragraph, r.family) for r in found if r.doc_id == 200} == {(0, "Apache-2.0"), (1, "Proprietary")}
+    assert not any(r.confirmed for r in found if r.doc_id == 201)
