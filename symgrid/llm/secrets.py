@@ -1,10 +1,11 @@
 """Secret scan by token efficiency.
 
 Three plain patterns find assignments, access keys and long hexadecimal strings. Beyond those, a
-run of key characters is a secret of kind ``token`` if a byte-level BPE vocabulary needs many tokens for it: words and
-names of a language compress to several characters per token, random strings do not. Runs without both letters and
-digits are left alone, as are known digests (hexadecimal strings of digest lengths), UUIDs and
-parts of addresses.
+run of key characters is a secret of kind ``token`` if a byte-level BPE vocabulary needs many tokens for it, for one of its
+parts between / = _ and -, or for any SHORTEST characters of it, so a readable prefix hides no key: words and
+names of a language compress to several characters per token, random strings do not. What has letters without digits
+must stay below a stricter ratio; what has no letters is left alone, as are known digests (hexadecimal strings of digest lengths), UUIDs and
+parts of addresses. The span is the whole run.
 
 Spans are in code points, end exclusive, by start and then kind. NULL and empty texts have none; rows are scanned one by
 one, so repeated rows give repeated results; other columns pass through unread; texts are scanned whole.
@@ -25,6 +26,8 @@ KINDS = ("assign", "access", "hex", "token")
 SCHEMA = "array<struct<kind:string,start:long,end:long>>"
 #: Characters per token below which a run counts as random, and the shortest run that is tested.
 RATIO = 2.0
+#: The same for letters without digits, which words are.
+LETTERS_RATIO = 1.9
 SHORTEST = 20
 #: Hexadecimal lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGESTS = (32, 40, 56, 64, 96, 128)
@@ -34,9 +37,12 @@ _ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
-_UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _HEXADECIMAL = re.compile(r"[0-9A-Fa-f]+")
 _HAS_BOTH = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+_SEPARATORS = re.compile(r"[/=_-]+")
+#: A UUID or a digest that is a part of a run, or several.
+_KNOWN = re.compile(rf"(?<![A-Za-z0-9+])(?:{_UUID.pattern}|{'|'.join(f'[0-9A-Fa-f]{{{n}}}' for n in DIGESTS)})(?![A-Za-z0-9+])")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -46,13 +52,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans + [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
 
 
+def _needs_many(stretch: str, encoding) -> bool:
+    if _HAS_BOTH.match(stretch):
+        return len(stretch) < RATIO * len(encoding.encode_ordinary(stretch))
+    return stretch.isalpha() and len(stretch) < LETTERS_RATIO * len(encoding.encode_ordinary(stretch))
+
+
 def is_random(run: str, encoding) -> bool:
     """Whether a run is neither a known kind of identifier nor made of parts that the vocabulary knows."""
-    if not _HAS_BOTH.match(run) or _UUID.fullmatch(run):
+    if _UUID.fullmatch(run):
         return False
     if _HEXADECIMAL.fullmatch(run) and len(run) in DIGESTS:
         return False
-    return len(run) < RATIO * len(encoding.encode_ordinary(run))
+    if _needs_many(run, encoding):
+        return True
+    for rest in _KNOWN.split(run):
+        for part in _SEPARATORS.split(rest):
+            if len(part) >= SHORTEST and _needs_many(part, encoding):
+                return True
+        if any(_needs_many(rest[i : i + SHORTEST], encoding) for i in range(len(rest) - SHORTEST + 1)):
+            return True
+    return False
 
 
 def find_spans(text: str | None, encoding) -> list[tuple[str, int, int]]:
