@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symgrid.llm import conv_quality, decontaminate, lattice, licences, minhash, packing, pii, quality_rules, runindex, secrets
+from symgrid.llm import (
+    bestfit,
+    conv_quality,
+    decontaminate,
+    lattice,
+    lexical,
+    licences,
+    minhash,
+    packing,
+    phrases,
+    pii,
+    quality_rules,
+    runindex,
+    secrets,
+)
 from symgrid.llm.common import documents, remainder
 
 
@@ -96,6 +110,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.best_fit(documents(spark, sf_dir)).drop("ids")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -107,9 +133,14 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_run_index": op9_run_index,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_phrases": op12_phrases,
+    "op13_best_fit": op13_best_fit,
 }
 
 ORACLE = {
     "op3_quality_rules": quality_rules.SQL,
     "op10_decontamination": decontaminate.SQL,
+    "op11_lexical_search": lexical.SQL,
+    "op12_phrases": phrases.SQL,
 }

@@ -1,0 +1,139 @@
+"""Best-fit packing: exact ids, whole placements, few sequences."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from symgrid.llm import bestfit
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def known():
+    return bestfit.WordTokens(bestfit.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path(bestfit.VOCABULARY))
+    found.encode_special_tokens = True
+    return found
+
+
+def ids(text, known):
+    return np.frombuffer(known.of(text), "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.text(
+        alphabet=st.one_of(
+            st.sampled_from(" \n\t\x0b\x1c\x85\xa0.,'aZ9éÉİſ²ªΣς́日<|endoftext|>'ll'S"), st.characters(codec="utf-8")
+        ),
+        max_size=60,
+    )
+)
+def test_ids_are_those_of_the_tokenizer(known, tokenizer, text):
+    assert ids(text, known) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_characters_in_pairs_are_those_of_the_tokenizer(known, tokenizer):
+    plain = [chr(c) for c in range(0x21, 0x180) if bestfit._PLAIN.fullmatch(chr(c))]
+    text = " ".join(a + b for a in plain[::7] for b in plain)
+    assert ids(text, known) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["\n" * 2_000_000, " " * 2_000_000, "a" * 200_000, "9" * 100_000, "日" * 50_000])
+def test_very_long_runs(known, tokenizer, text):
+    assert ids(text, known) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def laid_out(placements):
+    """(sequence, offset, length) of every piece, by length and rank."""
+    pieces = {}
+    for length, low, high, first, each, offset in placements:
+        for at in range(high - low):
+            assert (length, low + at) not in pieces
+            pieces[length, low + at] = (first + at // each, offset + at % each * length, length)
+    return pieces
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=200))
+def test_supersteps_place_every_piece_once_and_gapless(lengths):
+    counts = Counter(lengths)
+    pieces = laid_out(bestfit.Supersteps(counts, 64).run())
+    assert Counter(length for length, _ in pieces) == counts
+    held = {}
+    for sequence, offset, length in pieces.values():
+        held.setdefault(sequence, []).append((offset, length))
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
+    # Best fit decreasing never needs more than 11/9 of the best, plus one; here sweeps stand for it.
+    assert len(held) <= 11 / 9 * max(-(-sum(lengths) // 64), sum(2 * n > 64 for n in lengths)) + 2
+
+
+def test_supersteps_follow_from_counts_alone():
+    rng = np.random.default_rng(3)
+    counts = Counter(np.clip(rng.lognormal(6, 1, 20_000).astype(int), 1, 2048).tolist())
+    one, many = bestfit.Supersteps(counts), bestfit.Supersteps({k: 1000 * v for k, v in counts.items()})
+    one.run(), many.run()
+    tokens = sum(k * v for k, v in counts.items())
+    assert one.opened <= 1.01 * max(tokens / 2048, sum(v for k, v in counts.items() if k > 1024))
+    assert many.opened <= 1.01 * 1000 * one.opened
+    # Runs, not pieces: a thousand times the pieces take about the same number of placements.
+    assert len(many.placements) < 2 * len(one.placements) + 4096 and many.steps < 60
+
+
+def test_each_gap_takes_the_longest_piece_that_fits():
+    steps = bestfit.Supersteps({60: 1, 50: 2, 14: 1, 10: 1, 4: 1, 13: 1}, 64)
+    pieces = laid_out(steps.run())
+    assert pieces[4, 0][0] == pieces[60, 0][0]
+    assert steps.opened == 4
+    assert {pieces[14, 0][0], pieces[13, 0][0]} == {pieces[50, 0][0], pieces[50, 1][0]}
+
+
+def test_rows_against_the_tokenizer(spark, docs, tokenizer):
+    rows = [(1, "The cat, the hat " * 1700), (2, None), (3, ""), (4, "a  b\n\nc"), (4, "a  b\n\nc"), (None, "x é"), (5, "y " * 2047)]
+    found = bestfit.best_fit(docs(rows)).collect()
+    by_doc, by_sequence = {}, {}
+    for row in found:
+        assert np.frombuffer(row.ids, "<u4").size == row.length <= 2048
+        by_doc.setdefault(row.doc_id, []).append((row.piece, row.start, bytes(row.ids)))
+        by_sequence.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for doc_id in (1, 2, 3, None, 5):
+        text = dict((r[0], r[1]) for r in rows)[doc_id] or ""
+        whole = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        parts = sorted(by_doc[doc_id])
+        assert [p[0] for p in parts] == list(range(-(-len(whole) // 2048)))
+        assert [p[1] for p in parts] == [2048 * n for n in range(len(parts))]
+        assert b"".join(p[2] for p in parts) == np.asarray(whole, "<u4").tobytes()
+    assert len(by_doc[4]) == 2
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_sequence) == -(-sum(row.length for row in found) // 2048)
+
+
+def test_many_rows_of_one_length(spark, docs):
+    found = bestfit.best_fit(docs([(n, "one two three") for n in range(3000)]).repartition(7)).drop("ids").toPandas()
+    assert sorted(found.doc_id) == list(range(3000))
+    assert not found.duplicated(["sequence_id", "offset"]).any()
+    assert found.sequence_id.nunique() == -(-3000 // (2048 // found.length.iloc[0]))
+
+
+def test_empty_table(docs):
+    assert bestfit.best_fit(docs([])).collect() == []
