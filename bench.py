@@ -71,8 +71,7 @@ def main() -> None:
         "first_page": lambda: run(read("shipments", row_limit=10_000)),
         "second_page": lambda: run(read("shipments", row_offset=10_000, row_limit=10_000)),
         "deep_page": lambda: run(read("shipments", row_offset=shipments - 20_000, row_limit=10_000)),
-        "filtered_page": lambda: store._counts.clear()
-        or run(
+        "filtered_page": lambda: run(
             read("shipments", dimension_filters={"l_linestatus": "O"}, row_offset=100_000, row_limit=10_000)
         ),
         "filtered_page_again": lambda: run(
@@ -84,8 +83,17 @@ def main() -> None:
         "filter_ignore_case": lambda: run(
             read("shipments", dimension_filters={"l_returnflag": "r", "l_linestatus": "f"}, ignore_case=True)
         ),
-        "session_deep_page": lambda: run(
-            sg.read_symbol(spark, session, "shipments", row_offset=300_000, row_limit=10_000)
+        # Each run makes its own copy of the symbol; the page after it is cut from that copy.
+        "session_deep_page": lambda: session.reload(force=True)
+        or run(sg.read_symbol(spark, session, "shipments", row_offset=300_000, row_limit=10_000)),
+        "session_deep_page_again": lambda: run(
+            sg.read_symbol(spark, session, "shipments", row_offset=310_000, row_limit=10_000)
+        ),
+        "filter_last_dim": lambda: run(read("shipments", dimension_filters={"dim_4": "77"})),
+        "sql_filtered_page": lambda: run(
+            spark.sql(
+                "SELECT * FROM read_bench_shipments(map('l_linestatus', 'O'), row_offset => 100000, row_limit => 10000)"
+            )
         ),
         "filter_four_dims": lambda: run(read("trade", dimension_filters=FOUR)),
         "where_four_dims": lambda: run(

@@ -65,12 +65,14 @@ def to_records(
     values: str | Column | Mapping[str, str | Column] | None = None,
     label_rank: Mapping | None = None,
     symbol: str = "",
+    clean_labels: bool = False,
 ) -> DataFrame:
     """Records of a symbol from ``df``. White space around labels is dropped; reading a NULL or blank label fails.
 
     ``values`` maps value column names to columns of ``df``; a bare column fills the
     first value column of the type (for a set: the element text). Value columns not
-    supplied are NULL. For a set, ``is_member`` may name the numeric slot to test.
+    supplied are NULL. For a set, ``is_member`` may name the numeric slot to test. With ``clean_labels`` keys
+    are taken as they are.
     """
     names = [name for name, _ in VALUE_COLUMNS[symbol_type]]
     if values is None:
@@ -82,17 +84,17 @@ def to_records(
         raise ValueError(f"Unknown value column '{unknown[0]}' for a symbol of type {symbol_type}")
     supplied = {name: as_column(column) for name, column in values.items()}
 
-    keys = [
-        F.btrim(as_column(dim).cast("string"), F.lit(WHITE)).alias(name)
-        for dim, name in zip(dims, key_columns(len(dims)), strict=True)
-    ]
+    labels = [as_column(dim).cast("string") for dim in dims]
+    if not clean_labels:
+        labels = [F.btrim(label, F.lit(WHITE)) for label in labels]
+    keys = [label.alias(name) for label, name in zip(labels, key_columns(len(dims)), strict=True)]
     ranks = [
         as_column(rank).alias(f"rank_{position}")
         for position, rank in ranked_dimensions(dims, label_rank).items()
     ]
     slots = [_value_expression(symbol_type, name, supplied).alias(name) for name in names]
     records = df.select(*keys, *ranks, *slots)
-    for name in key_columns(len(dims)):
+    for name in () if clean_labels else key_columns(len(dims)):
         key = F.col(name)
         problem = F.when(key.isNull(), f"NULL label in symbol '{symbol}'").otherwise(f"Blank label in symbol '{symbol}'")
         records = records.where(fail_when(key.isNull() | (key == ""), problem))

@@ -29,3 +29,8 @@ def fail_when(condition: Column, message: str | Column) -> Column:
     """A filter condition that keeps every row and fails the job where ``condition`` holds."""
     text = F.lit(message) if isinstance(message, str) else message
     return F.when(condition, F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+
+
+def same_label(key: Column, label: str, ignore_case: bool = False) -> Column:
+    """Whether a key is this label, in any spelling if case is ignored."""
+    return F.lower(key) == F.lower(F.lit(label)) if ignore_case else key == label

@@ -14,6 +14,12 @@ BLANK_KEY = "dimension_filters keys must contain at least one non-whitespace cha
 BLANK_VALUE = "dimension_filters values must contain at least one non-whitespace character"
 DUPLICATE_FILTER = "Duplicate dimension filter supplied for '{}'"
 UNKNOWN_DIMENSION = "Unknown dimension '{}' supplied via dimension_filters parameter. Valid dimensions: {}"
+NO_DIMENSION = "Dimension '{}' not found in symbol '{}'. Available dimensions: {}"
+OUT_OF_RANGE = "Dimension index {} out of range for symbol '{}' (has {} dimensions)"
+NULL_VALUE_COLUMN = "value_columns may not contain NULL entries"
+UNKNOWN_VALUE = "Unknown value column '{}' for symbol '{}'"
+DUPLICATE_VALUE = "Duplicate value column '{}' in value_columns parameter"
+NO_SYMBOL_NAME = "symbol parameter to preload cannot be NULL"
 
 
 def _folded(text: str) -> str:
@@ -74,18 +80,12 @@ def resolve_dimension(meta: SymbolMeta, dimension: int | str) -> int:
     if isinstance(dimension, str):
         position = dimension_aliases(meta).get(_folded(dimension))
         if position is None:
-            raise ValueError(
-                f"Dimension '{dimension}' not found in symbol '{meta.name}'. "
-                f"Available dimensions: {', '.join(meta.dimension_names)}"
-            )
+            raise ValueError(NO_DIMENSION.format(dimension, meta.name, ", ".join(meta.dimension_names)))
         return position
     if isinstance(dimension, bool) or not isinstance(dimension, int):
         raise ValueError("dimension must be a name or a 1-based index")
     if not 1 <= dimension <= meta.dimension_count:
-        raise ValueError(
-            f"Dimension index {dimension} out of range for symbol '{meta.name}' "
-            f"(has {meta.dimension_count} dimensions)"
-        )
+        raise ValueError(OUT_OF_RANGE.format(dimension, meta.name, meta.dimension_count))
     return dimension - 1
 
 
@@ -98,13 +98,13 @@ def chosen_values(meta: SymbolMeta, requested: Sequence[str] | None) -> list[str
     chosen: list[str] = []
     for name in requested:
         if name is None:
-            raise ValueError("value_columns may not contain NULL entries")
+            raise ValueError(NULL_VALUE_COLUMN)
         if not isinstance(name, str):
             raise ValueError("value_columns entries must be strings")
         if name not in meta.values:
-            raise ValueError(f"Unknown value column '{name}' for symbol '{meta.name}'")
+            raise ValueError(UNKNOWN_VALUE.format(name, meta.name))
         if name in chosen:
-            raise ValueError(f"Duplicate value column '{name}' in value_columns parameter")
+            raise ValueError(DUPLICATE_VALUE.format(name))
         chosen.append(name)
     return chosen or list(meta.values)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from symgrid.model import CATALOG_COLUMNS, SymbolMeta
+from symgrid.operators.arguments import NO_SYMBOL_NAME
 from symgrid.sources.containers import Container, open_container
 
 
@@ -34,7 +35,7 @@ def preload(
     checked for changes made by other applications: ``force_reload`` drops it first.
     """
     if symbol is None:
-        raise ValueError("symbol parameter to preload cannot be NULL")
+        raise ValueError(NO_SYMBOL_NAME)
     from symgrid.sources.store import SymbolStore
 
     container = SymbolStore(spark, source) if isinstance(source, str) else source

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symgrid.operators.arguments import resolve_dimension, resolve_filters
-from symgrid.operators.read import filtered_scan, scannable
+from symgrid.operators.read import scannable
 from symgrid.sources.containers import Container, open_container
 
 
@@ -31,7 +31,7 @@ def domain_values(
     position = resolve_dimension(meta, dimension)
     filters = resolve_filters(meta, dimension_filters)
     if filters:
-        records = filtered_scan(container, meta, filters, ignore_case)
+        records = container.scan(meta, filters, ignore_case)
         labels = records.select(F.col(meta.keys[position]).alias("value")).distinct()
     else:
         labels = container.labels(meta, position)

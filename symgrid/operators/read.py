@@ -21,27 +21,6 @@ def scannable(container: Container, symbol: str) -> SymbolMeta:
     return meta
 
 
-def filtered_scan(
-    container: Container,
-    meta: SymbolMeta,
-    filters: Sequence[tuple[int, str]],
-    ignore_case: bool = False,
-) -> DataFrame:
-    """The records with the given labels.
-
-    In any case, a stored symbol's labels are looked up among its distinct ones first, so that the comparisons
-    reach the Parquet scan like plain ones; a session symbol compares as it goes.
-    """
-    if not ignore_case:
-        return container.scan(meta, {position: [label] for position, label in filters})
-    labels = {position: container.spellings(meta, position, label) for position, label in filters}
-    records = container.scan(meta, {position: found for position, found in labels.items() if found is not None})
-    for position, label in filters:
-        if labels[position] is None:
-            records = records.where(F.lower(meta.keys[position]) == F.lower(F.lit(label)))
-    return records
-
-
 def output_columns(meta: SymbolMeta, values: Sequence[str]) -> list[Column]:
     """The columns of a scan, from those of the records."""
     sources = [F.col(key) for key in meta.keys]
@@ -76,8 +55,8 @@ def read_symbol(
     no particular order unless ``ordered`` is set, so that they need no shuffle.
 
     ``ignore_case`` matches labels in any spelling. Marker columns that are not used
-    cost nothing: in a stored symbol they are a column, which is pruned, and the join
-    that computes them for a session symbol is removed by the optimizer.
+    cost nothing: in a stored symbol they are a column, which is pruned, and the windows
+    that compute them for a session symbol are removed by the optimizer.
     """
     container = open_container(spark, source)
     meta = scannable(container, symbol)
@@ -87,12 +66,10 @@ def read_symbol(
     limit = checked_count(row_limit, "limit")
     paged = bool(offset) or limit is not None
 
-    records = filtered_scan(container, meta, filters, ignore_case)
     if paged:
-        chosen = (*sorted(filters), ignore_case) if filters else ()
-        records = container.page(meta, records, chosen, offset, limit)
-    if meta.dimension_count > 1:
-        records = container.with_markers(meta, records)
+        records = container.page(meta, filters, ignore_case, offset, limit)
+    else:
+        records = container.scan(meta, filters, ignore_case)
     if ordered or paged:
         records = container.in_order(meta, records, offset, limit)
     return records.select(*output_columns(meta, values))

@@ -257,6 +257,18 @@ def filter_unknown_label(spark, sf_dir):
     return read(spark, sf_dir, "revenue", dimension_filters={"n_name": "no such label"})
 
 
+@query(f"SELECT * FROM ({oracle.scan('shipments')}) s WHERE dim_4 = '7'")
+def stored_filter_last_dim(spark, sf_dir):
+    """Read through the index of labels: only parts that hold the label are opened."""
+    return read_stored(spark, sf_dir, "shipments", dimension_filters={"dim_4": "7"})
+
+
+@query(f"SELECT * FROM ({oracle.scan('trade')}) s WHERE lower(dim_2) = 'nation_5' AND lower(dim_3) = 'brand#7'")
+def stored_filter_later_dims_ignore_case(spark, sf_dir):
+    filters = {"dim_3": "brand#7", "dim_2": "nation_5"}
+    return read_stored(spark, sf_dir, "trade", dimension_filters=filters, ignore_case=True)
+
+
 @query(
     'SELECT c_mktsegment, o_orderpriority, is_sparse_break, is_dense_run, "upper", level '
     f"FROM ({oracle.scan('order_stats')}) s"
@@ -495,3 +507,70 @@ def sql_filter_by_label_and_alias(spark, sf_dir):
 def sql_page(spark, sf_dir):
     register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
     return spark.sql("SELECT * FROM page_stored_shipments(row_offset => 30000, row_limit => 10000)")
+
+
+@query(oracle.page("shipments", 20_000, 5_000, "l_linestatus = 'O'"))
+def sql_filtered_page(spark, sf_dir):
+    """All of a scan's arguments in one call."""
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql(
+        "SELECT * FROM read_stored_shipments("
+        "dimension_filters => map('l_linestatus', 'O'), value_columns => array('value'), row_offset => 20000, row_limit => 5000)"
+    )
+
+
+@query(
+    'SELECT c_mktsegment, o_orderpriority, is_sparse_break, is_dense_run, CAST(NULL AS DOUBLE) AS level, marginal, '
+    'CAST(NULL AS DOUBLE) AS "lower", "upper", CAST(NULL AS DOUBLE) AS scale '
+    f"FROM ({oracle.scan('order_stats')}) s"
+)
+def sql_value_columns(spark, sf_dir):
+    """Value columns that are not asked for are NULL, and not read."""
+    register_views(spark, symbol_store(spark, sf_dir, "order_stats"), "stored_")
+    return spark.sql("SELECT * FROM read_stored_order_stats(value_columns => array('upper', 'marginal'))")
+
+
+@query(oracle.scan("trade"))
+def sql_null_arguments(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "trade"), "stored_")
+    return spark.sql(
+        "SELECT * FROM read_stored_trade("
+        "dimension_filters => NULL, value_columns => NULL, row_offset => NULL, row_limit => NULL, ignore_case => NULL)"
+    )
+
+
+@query(f"SELECT * FROM ({oracle.scan('shipments')}) s WHERE l_returnflag = 'R' AND l_linestatus = 'F'")
+def sql_filter_ignore_case(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql("SELECT * FROM read_stored_shipments(map('l_returnflag', 'r', 'L_LINESTATUS', 'f'), ignore_case => true)")
+
+
+@query(_domain("trade", "dim_3", "dim_1 = 'NATION_2' AND dim_4 = 'R'"))
+def sql_domain_values_by_name(spark, sf_dir):
+    register_views(spark, symbol_store(spark, sf_dir, "trade"), "stored_")
+    return spark.sql("SELECT value FROM domain_values_stored_trade('DIM_3', map('dim_1', 'NATION_2', 'dim_4', 'R'))")
+
+
+@query(f"SELECT 'shipments' AS symbol_name, COUNT(*) AS records FROM ({oracle.SYMBOLS['shipments']}) r")
+def sql_preload(spark, sf_dir):
+    """The symbol is required before it is counted."""
+    register_views(spark, symbol_store(spark, sf_dir, "shipments"), "stored_")
+    return spark.sql(
+        "SELECT 'shipments' AS symbol_name, (SELECT record_count FROM stored_symbols WHERE symbol_name = 'shipments') AS records "
+        "FROM preload_stored_symbols(symbol => 'Shipments') WHERE success"
+    )
+
+
+@query(f"SELECT p_brand, SUM(value) AS total FROM ({oracle.SYMBOLS['revenue']}) r WHERE n_name = 'NATION_3' GROUP BY p_brand")
+def sql_session_filter(spark, sf_dir):
+    """Symbols of a session answer to the same SQL."""
+    register_views(spark, symbol_set(spark, sf_dir, "revenue"), "live_")
+    return spark.sql("SELECT p_brand, SUM(value) AS total FROM read_live_revenue(map('n_name', 'NATION_3')) GROUP BY p_brand")
+
+
+@query(oracle.page("shipments", 55_000, 500))
+def page_session_copy(spark, sf_dir):
+    """A deep page of a session symbol, found by order statistics."""
+    container = symbol_set(spark, sf_dir, "shipments")
+    container.TOP = 1000
+    return read_symbol(spark, container, "shipments", row_offset=55_000, row_limit=500)

@@ -194,7 +194,7 @@ def symbol_set(spark: SparkSession, sf_dir: str, *names: str) -> SymbolSet:
     """A session container with the named symbols, all of them by default."""
     container = SymbolSet(spark, sf_dir)
     for name in names or DEFINITIONS:
-        container.register(name=name, **DEFINITIONS[name](spark, sf_dir))
+        container.register(name=name, clean_labels=name != "padded", **DEFINITIONS[name](spark, sf_dir))
     return container
 
 

@@ -41,8 +41,8 @@ def test_filters_reach_the_scan(spark, store):
     assert "EqualTo(key_1,hot)" in text and "EqualTo(key_2,3)" in text
     text = plan(sg.read_symbol(spark, store, "x").where("a = 'hot' AND level > 5"))
     assert "EqualTo(key_1,hot)" in text and "GreaterThan(level,5.0)" in text
-    text = plan(sg.read_symbol(spark, store, "x", {"a": "HOT"}, ignore_case=True))
-    assert "EqualTo(key_1,hot)" in text
+    text = plan(sg.read_symbol(spark, store, "x", {"c": "HOT"}, ignore_case=True))
+    assert "lower(key_3" in text and "dynamicpruning" in text.lower()
 
 
 def test_sql_function_filters_reach_the_scan(spark, store):
@@ -76,25 +76,40 @@ def test_cascading_domain_values_aggregate_before_the_shuffle(spark, store):
 def test_page_is_a_pushed_range(spark, store):
     text = plan(sg.read_symbol(spark, store, "x", row_offset=400, row_limit=10))
     assert "TakeOrderedAndProject" in text and "Exchange" not in text
+    text = plan(sg.read_symbol(spark, store, "x", row_offset=10, row_limit=10))
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(pos,10\), LessThanOrEqual\(pos,19\)", text)
+    text = plan(sg.read_symbol(spark, store, "x", row_offset=400, row_limit=300))
     assert re.search(r"PartitionFilters: .*part#\d+ >= \d+.*part#\d+ <= \d+", text)
 
 
 def test_write_shuffles_records_once(spark, store):
-    """With few first labels the markers come by broadcast; one range exchange, one sort."""
+    """One exchange by part and one sort, which the window and the writer both use."""
     df = spark.range(1000).select(F.col("id").alias("c"), (F.col("id") % 3).alias("a"), F.lit(1.0).alias("v"))
     container = sg.SymbolSet(spark)
-    meta = replace(container.register(df, "w", "Parameter", ["a", "c"], "v"), folder="r1-test")
-    text = plan(store._in_stored_order(container.records(meta), meta, 4))
-    assert "BroadcastHashJoin" in text
-    assert text.count("rangepartitioning") == 1 and "hashpartitioning" not in text
+    meta = replace(container.register(df, "w", "Parameter", ["a", "c"], "v"), folder="test")
+    text = plan(store._in_stored_order(container.records(meta), meta, 4, 1000))
     tree = text.split("\n\n(1)")[0]
-    assert tree.count("Sort") == 1
+    assert tree.count("Exchange") == 1 and tree.count("Sort") == 1 and tree.count("Window") == 1 and "Join" not in tree
 
 
 def test_filter_prunes_partitions_by_the_whole_key(spark, store):
-    scan = sg.read_symbol(spark, store, "x", {"a": "hot", "b": "3"})
-    assert "dynamicpruning" in plan(scan).lower()
-    assert "EqualTo(key_1,hot)" in plan(scan)
+    text = plan(sg.read_symbol(spark, store, "x", {"a": "hot", "b": "3"}))
+    assert re.search(r"PartitionFilters: .*part#\d+ >= \d+.*part#\d+ <= \d+", text) and "Join" not in text
+    assert "EqualTo(key_1,hot)" in text
+
+
+def test_filter_on_a_later_dimension_prunes_by_the_index(spark, store):
+    text = plan(sg.read_symbol(spark, store, "x", {"c": "7"}))
+    assert "dynamicpruning" in text.lower() and "EqualTo(key_3,7)" in text and "EqualTo(value,7)" in text
+
+
+def test_page_of_a_sql_call_is_the_page_of_the_python_call(spark, store):
+    register_views(spark, store, "plans_")
+    text = plan(spark.sql("SELECT a, level FROM read_plans_x(row_offset => 10, row_limit => 10)"))
+    assert "Union" not in text and "raise_error" not in text and "GreaterThanOrEqual(pos,10), LessThanOrEqual(pos,19)" in text
+    assert "ReadSchema: struct<pos:bigint,key_1:string,level:double>" in text
+    text = plan(spark.sql("SELECT * FROM read_plans_x(map('b', '3'), value_columns => array('upper'))"))
+    assert "Union" not in text and "level:double" not in text and "upper:double" in text and "EqualTo(key_2,3)" in text
 
 
 def test_domains_take_one_shuffle(spark, store):
@@ -103,11 +118,15 @@ def test_domains_take_one_shuffle(spark, store):
     assert text.split("\n\n(1)")[0].count("Exchange") == 1
 
 
-def test_session_markers_use_no_window(spark):
-    df = spark.range(100).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("v"))
+def test_session_markers_read_the_source_once(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.range(100).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("v")).write.parquet(path)
     container = sg.SymbolSet(spark)
-    container.register(df, "s", "Parameter", ["a", "b"], "v")
-    assert "Window" not in plan(sg.read_symbol(spark, container, "s"))
-    # Not even a join, if the markers are not used.
+    container.register(spark.read.parquet(path), "s", "Parameter", ["a", "b"], "v")
+    scan = sg.read_symbol(spark, container, "s", {"dim_2": "4"})
+    tree = plan(scan).split("\n\n(1)")[0]
+    assert tree.count("Scan parquet") == 1 and "Join" not in tree
+    assert [(r.dim_1, r.is_sparse_break) for r in scan.collect()] == [("0", False)]
+    # No window, if the markers are not used.
     text = plan(sg.read_symbol(spark, container, "s").select("dim_1", "value"))
-    assert "Exchange" not in text and "Join" not in text
+    assert "Exchange" not in text and "Window" not in text

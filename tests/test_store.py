@@ -1,11 +1,16 @@
 """Stored symbols at several parts: order, positions, paging, markers, revisions, checks."""
 
+import os
 import random
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 import symgrid as sg
+from symgrid.operators import positions
+from symgrid.sources.log import Files, Log
 from symgrid.sources.store import SymbolStore
 
 
@@ -181,16 +186,58 @@ def test_source_is_computed_once(spark, tmp_path):
     assert not (tmp_path / "m" / "staging" / "p").exists() or not list((tmp_path / "m" / "staging" / "p").iterdir())
 
 
-def test_two_writers_do_not_share_a_folder(spark, tmp_path):
+def test_of_two_writers_at_once_one_raises(spark, tmp_path):
+    """Both see no symbol when they start; the one that commits later finds the other's."""
     path = str(tmp_path / "m")
     one = spark.createDataFrame([("a", 1.0)], "i string, v double")
     two = spark.createDataFrame([("b", 2.0), ("c", 3.0)], "i string, v double")
     first, second = SymbolStore(spark, path), SymbolStore(spark, path)
-    metas = [s._next_revision(sg.SymbolSet(spark).register(d, "p", "Parameter", ["i"], "v"), "overwrite") for s, d in ((first, one), (second, two))]
-    assert metas[0].revision == metas[1].revision and metas[0].folder != metas[1].folder
-    first.write(one, "p", "Parameter", ["i"], "v", mode="overwrite")
-    second.write(two, "p", "Parameter", ["i"], "v", mode="overwrite")
+    commit = first._commit
+
+    def other_first(meta, mode):
+        second.write(two, "p", "Parameter", ["i"], "v")
+        return commit(meta, mode)
+
+    first._commit = other_first
+    with pytest.raises(ValueError, match="Symbol 'p' already exists"):
+        first.write(one, "p", "Parameter", ["i"], "v")
     assert sg.read_symbol(spark, path, "p").count() == 2
+    # What the loser wrote is gone, what it found is whole.
+    assert len(list((tmp_path / "m" / "records" / "p").iterdir())) == 1
+    # To overwrite is to come after the other, whatever was there at the start.
+    first._commit = lambda meta, mode: (second.write(two, "p", "Parameter", ["i"], "v", mode="overwrite"), commit(meta, mode))[1]
+    assert first.write(one, "p", "Parameter", ["i"], "v", mode="overwrite").revision == 3
+    assert rows(sg.read_symbol(spark, path, "p")) == [("a", 1.0)]
+
+
+def test_log_numbers_are_taken_once(spark, tmp_path):
+    """Many writers, threads here: every entry has a number of its own, and folds lose none."""
+    folder = str(tmp_path / "catalog")
+
+    def add(writer):
+        log = Log(spark, folder)
+        for k in range(30):
+            log.commit(lambda entries, k=k: {"symbol_name": f"{writer}-{k}", "seen": len(entries)})
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(add, range(6)))
+    last, entries = Log(spark, folder).read()
+    assert last == 180 and len(entries) == 180
+    assert sorted(entry["seen"] for entry in entries.values()) == list(range(180))
+    names = os.listdir(folder)
+    assert "000000000150.all.json" in names and "000000000050.all.json" not in names and "000000000090.json" not in names
+    assert not Files(spark, folder).put_if_absent(f"{folder}/000000000180.json", "{}")
+
+
+def test_put_if_absent_by_rename(spark, tmp_path):
+    """On file systems other than the local one a file is moved to its name, which must be free."""
+    files = Files(spark, str(tmp_path))
+    files.write(f"{tmp_path}/made", "one")
+    files._rename(f"{tmp_path}/made", f"{tmp_path}/taken")
+    files.write(f"{tmp_path}/made", "two")
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        files._rename(f"{tmp_path}/made", f"{tmp_path}/taken")
+    assert files.read(f"{tmp_path}/taken") == "one"
 
 
 @pytest.mark.parametrize("ranks", [[("x", 1), ("x", 2), ("y", 3)], [("x", None), ("y", 1)]])
@@ -225,13 +272,109 @@ def test_white_space_around_labels(spark, tmp_path):
         sg.read_symbol(spark, session, "p").collect()
 
 
-def test_counts_of_a_filtered_page_are_kept(spark, store):
-    store._counts.clear()
-    first = rows(sg.read_symbol(spark, store, "s", {"b": "b3"}, row_offset=5, row_limit=5))
-    kept = dict(store._counts)
-    assert len(kept) == 1
-    assert rows(sg.read_symbol(spark, store, "s", {"b": "b3"}, row_offset=0, row_limit=10))[5:] == first
-    assert store._counts == kept
+def jobs(spark, action):
+    """Number of Spark jobs that ``action`` runs."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("arguments", [
+    {"dimension_filters": {"a": "hot", "b": "b3"}}, {"dimension_filters": {"b": "b3"}}, {"dimension_filters": {"a": "HOT"}, "ignore_case": True},
+    {"row_offset": 1700, "row_limit": 10}, {"dimension_filters": {"b": "b3"}, "row_offset": 5, "row_limit": 5},
+])
+def test_no_job_runs_when_a_scan_is_built(spark, store, arguments):
+    store.metas()
+    assert jobs(spark, lambda: sg.read_symbol(spark, store, "s", **arguments)) == 0
+
+
+def test_a_write_takes_few_jobs(spark, tmp_path):
+    """Staging, keys drawn, one sorted write, one pass for labels; no job for bounds, counts and the catalog."""
+    df = spark.range(20_000).selectExpr("concat('a', id % 7) AS i", "CAST(id AS STRING) AS j", "CAST(id AS DOUBLE) AS v")
+    assert jobs(spark, lambda: sg.write_symbol(df, str(tmp_path / "m"), "p", "Parameter", ["i", "j"], "v", num_partitions=5)) <= 8
+
+
+def test_index_prunes_by_later_dimensions(spark, tmp_path):
+    """A label of the last dimension is in few parts, and only these are read."""
+    path = str(tmp_path / "m")
+    df = spark.range(6000).selectExpr("format_string('%04d', id) AS i", "concat('j', id % 3) AS j", "concat('k', id div 1000) AS k", "CAST(id AS DOUBLE) AS v")
+    sg.write_symbol(df, path, "p", "Parameter", ["i", "j", "k"], "v", num_partitions=12)
+    for filters, want, most in (
+        ({"dim_3": "k4"}, range(4000, 5000), 4), ({"dim_2": "j1", "dim_3": "k0"}, range(1, 1000, 3), 4), ({"dim_3": "none"}, [], 0), ({"dim_2": "j0"}, range(0, 6000, 3), 12),
+    ):
+        scan = sg.read_symbol(spark, path, "p", filters)
+        assert sorted(row.value for row in scan.collect()) == [float(v) for v in want]
+        assert (files_read(scan) or 0) <= most
+    scan = sg.read_symbol(spark, path, "p", {"dim_3": "K4"}, ignore_case=True)
+    assert scan.count() == 1000
+    shown = scan.select("value")
+    assert len(shown.collect()) == 1000 and files_read(shown) <= 4
+
+
+def test_ranges_of_many_parts(spark, tmp_path):
+    """Parts of about one size, a hot first label cut into several, labels and marks right at every border."""
+    path = str(tmp_path / "m")
+    labels = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('a', pmod(hash(id), 50)) END"
+    df = spark.range(9000).selectExpr(f"{labels} AS i", "CAST(id AS STRING) AS j", "CAST(id AS DOUBLE) AS v")
+    store = SymbolStore(spark, path)
+    meta = store.write(df, "p", "Parameter", ["i", "j"], "v", num_partitions=30)
+    parts = store.part_list(meta)
+    assert sum(part["rows"] for part in parts) == 9000 and len(parts) > 20 and max(part["rows"] for part in parts) < 1200
+    want = sorted(map(tuple, df.select("i", "j", "v").collect()))
+    scan = sg.read_symbol(spark, store, "p", ordered=True).collect()
+    assert [(r.dim_1, r.dim_2, r.value) for r in scan] == want
+    assert [r.is_sparse_break for r in scan] == [k == 0 or want[k][0] != want[k - 1][0] for k in range(9000)]
+    assert sum(part["low"][0] == "hot" for part in parts) > 5
+
+
+@pytest.mark.parametrize("sorted_rows", [200_000, 40])
+def test_deep_session_pages(spark, monkeypatch, sorted_rows):
+    """Beyond TOP a page is cut from a copy, by the keys at its ends."""
+    monkeypatch.setattr(positions, "SORTED", sorted_rows)
+    monkeypatch.setattr(sg.SymbolSet, "TOP", 100)
+    df = spark.range(4000).selectExpr("concat('a', id % 5) AS i", "CAST(id div 5 AS STRING) AS j", "CAST(id AS DOUBLE) AS v", "CAST(5 - id % 5 AS INT) AS r")
+    for rank, by in ((None, lambda row: (row[0], row[1])), ({"i": "r"}, lambda row: (-int(row[0][1]), row[1]))):
+        container = sg.SymbolSet(spark)
+        container.register(df, "p", "Parameter", ["i", "j"], "v", label_rank=rank)
+        order = sorted(({"i": r.i, "j": r.j, "v": r.v}.values() for r in df.collect()), key=lambda row: by(list(row)))
+        want = [tuple(row) for row in order]
+        for offset, limit in ((0, 50), (99, 1), (777, 300), (3990, 100), (3999, 1), (4000, 5), (2500, None)):
+            page = sg.read_symbol(spark, container, "p", row_offset=offset, row_limit=limit).collect()
+            assert [(r.dim_1, r.dim_2, r.value) for r in page] == want[offset : None if limit is None else offset + limit]
+            assert all(r.is_sparse_break == (k + offset == 0 or want[k + offset - 1][0] != r.dim_1) for k, r in enumerate(page))
+        some = [row for row in want if row[1] == "7"]
+        page = sg.read_symbol(spark, container, "p", {"dim_2": "7"}, row_offset=2, row_limit=1000).collect()
+        assert [(r.dim_1, r.dim_2, r.value) for r in page] == some[2:]
+
+
+def test_deep_pages_tile_one_copy(spark, monkeypatch):
+    monkeypatch.setattr(sg.SymbolSet, "TOP", 10)
+    df = spark.range(300).selectExpr("CAST(id AS STRING) AS i", "uuid() AS j", "rand() AS v")
+    container = sg.SymbolSet(spark)
+    container.register(df, "p", "Parameter", ["j", "i"], "v")
+    pages = [sg.read_symbol(spark, container, "p", row_offset=o, row_limit=100).collect() for o in (200, 0, 100)]
+    assert sorted(int(row.dim_2) for page in pages for row in page) == list(range(300))
+    copies = dict(container._copies["p"])
+    container.reload(force=True)
+    assert sg.read_symbol(spark, container, "p", row_offset=200, row_limit=100).count() == 100
+    assert container._copies["p"].keys() == copies.keys() and container._copies["p"] != copies
+
+
+def test_clean_labels_are_pushed(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.range(100).selectExpr("concat('a', id % 5) AS i", "CAST(id AS STRING) AS j", "'x' AS k", "CAST(id AS DOUBLE) AS v").write.parquet(path)
+    container = sg.SymbolSet(spark)
+    container.register(spark.read.parquet(path), "p", "Parameter", ["i", "j", "k"], "v", clean_labels=True)
+    total = sg.read_symbol(spark, container, "p", {"dim_1": "a2"}).agg(F.sum("value").alias("total"))
+    text = total._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(i,a2)" in text and "ReadSchema: struct<i:string,v:double>" in text and "Window" not in text
+    assert total.first().total == sum(range(2, 100, 5))
+    marked = sg.read_symbol(spark, container, "p", {"dim_2": "7"}).collect()
+    assert [(r.dim_1, r.is_sparse_break) for r in marked] == [("a2", False)]
 
 
 def test_pages_tile_the_symbol(spark, store):
@@ -383,10 +526,7 @@ def test_preload_is_explicit(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0)], "i string, v double")
     sg.write_parameter(df, path, "p", "", ["i"], "v")
     sg.preload(spark, path, symbol="p")
-    row = spark.read.parquet(f"{path}/catalog")
-    changed = row.withColumn("description", F.lit("changed elsewhere")).withColumn("revision", F.lit(2))
-    other = changed.collect()
-    spark.createDataFrame(other, row.schema).write.mode("append").parquet(f"{path}/catalog")
+    Log(spark, f"{path}/catalog").commit(lambda entries: {**entries["p"], "description": "changed elsewhere", "revision": 2})
     assert sg.require_symbol(spark, path, "p").description == ""
     sg.preload(spark, path, force_reload=True)
     assert sg.require_symbol(spark, path, "p").description == "changed elsewhere"
