@@ -14,9 +14,10 @@ not confirmed is reported as ``unknown``.
 Only DataFrame functions and Spark's own regression are used. N-grams are looked for where a
 paragraph is read, among literals whose number is fixed by the notices. What follows works on the few paragraphs with any of the n-grams.
 
-Defined results: NULL and empty texts, and paragraphs without any of the n-grams, give no row;
-repeated rows give repeated results; a NULL ``doc_id`` stays NULL; other columns are ignored; with an empty table the classifier
-is not trained and the result is empty.
+Defined results: NULL and empty texts, and paragraphs without any of the n-grams or licence words, give no row; licence wording that
+shares no n-gram with any notice is ``unknown``, with probability NULL, as the classifier knows nothing of it;
+repeated rows give repeated results; a NULL ``doc_id`` stays NULL; other columns are ignored; an empty table gives an empty
+result. Plain prose below teaches the class ``none`` besides the sample, so a table of notices alone keeps them.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from functools import reduce
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ MIN_PROBABILITY = 0.5
 MIN_COVERED = 0.5
 #: One part in HELD_OUT of the training paragraphs chooses the temperature.
 HELD_OUT = 5
+TEMPERATURES = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0)
 NONE, UNKNOWN = "none", "unknown"
 
 # Wording of public licence notices, and licence wording of no family.
@@ -71,6 +74,17 @@ NOTICES = [
     (UNKNOWN, "Released under the license of the project."),
     (UNKNOWN, "Permission is granted to copy this text."),
 ]
+# Plain prose that shares n-grams with the notices, so that there is a class none whatever the table holds.
+PROSE = [
+    "You may find the rest of the story in the next part of the book.",
+    "The terms of the treaty were signed by the king and the queen.",
+    "All of the people of this town may go to the market without a ticket.",
+    "He was granted a day free of work and spent it with the children.",
+    "The source of the river is in the hills to the north.",
+    "Use the form on the last page, or the back of it, and send it to the office.",
+    "The work of the year is subject to the weather of the season.",
+    "To the extent of the field there was nothing but snow and the sound of the wind.",
+]
 LICENCE_WORDS = r"(?i)licen[sc]e|copyright|permission|permitted|rights reserved|public domain|redistribut|\bcc by|\bcc0"
 
 
@@ -124,6 +138,7 @@ def training_rows(docs: DataFrame, vocabulary: list[str], sample: int = SAMPLE)
     """(paragraph, family, whole): notices and their parts, and paragraphs of a bounded sample of texts without licence words."""
     spark = docs.sparkSession
     parts = [(part, family, part == notice) for family, notice in NOTICES for part in _parts(notice)]
+    parts += [(line, NONE, True) for line in PROSE]
     known = spark.createDataFrame(parts, "paragraph string, family string, whole boolean")
     texts = docs.where(F.length("text") > 0)
     chosen = texts.join(F.broadcast(sampled_ids(texts, sample)), "doc_id")
@@ -176,8 +191,8 @@ class Classifier:
         return F.greatest(*(F.when(family == name, share(own)).otherwise(0.0) for name, own in self.notices))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier | None:
-    """Logistic regression over the notices' n-grams; None without any text."""
+def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """Logistic regression over the notices' n-grams."""
     spark = docs.sparkSession
     own = spark.createDataFrame(NOTICES, "family string, notice string").select("family", grams(F.col("notice")).alias("grams")).collect()
     vocabulary = sorted({gram for row in own for gram in row.grams})
@@ -186,42 +201,35 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier | None:
     label = reduce(lambda c, f: c.when(F.col("family") == f, F.lit(float(families.index(f)))), families[1:], F.when(F.col("family") == NONE, F.lit(0.0)))
     rows = training_rows(docs, vocabulary, sample).select(grams(F.col("paragraph")).alias("grams"), label.alias("label"), (~F.col("whole") & (F.xxhash64("paragraph") % HELD_OUT == 0)).alias("held"))
     weighted = counted.transform(rows).where("size(grams) > 0").cache()
-    if not weighted.where("label = 0").head(1):
-        weighted.unpersist()
-        return None
     learner = LogisticRegression(family="multinomial", maxIter=40, regParam=0.002, elasticNetParam=0.0, standardization=False)
     learner.setWeightCol("weight")
     sizes = weighted.where(~F.col("held")).groupBy("label").count().withColumnRenamed("label", "of")
     # Every family weighs the same, and so does none.
     weighing = weighted.where(~F.col("held")).join(sizes, F.col("label") == F.col("of")).withColumn("weight", 100.0 / F.col("count"))
     model = learner.fit(weighing)
-    held = model.transform(weighted.where("held")).select("rawPrediction", "label").collect()
-    weighted.unpersist()
-    logits = np.array([row.rawPrediction.toArray() for row in held])
-    truth = np.array([int(row.label) for row in held])
+    # The loss of each temperature over all paragraphs held out, by one aggregate.
+    held = model.transform(weighted.where("held")).select(vector_to_array("rawPrediction").alias("logits"), F.col("label").cast("int").alias("label"))
+    above = held.select(F.transform("logits", lambda x: x - F.array_max("logits")).alias("logits"), "label")
 
-    def loss(temperature: float) -> float:
-        scaled = logits / temperature
-        scaled = scaled - scaled.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(scaled).sum(axis=1)) - scaled[np.arange(len(truth)), truth]).mean())
+    def loss(temperature: float) -> Column:
+        whole = F.aggregate("logits", F.lit(0.0), lambda total, x: total + F.exp(x / temperature))
+        return F.avg(F.log(whole) - F.get("logits", F.col("label")) / temperature)
 
-    temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss) if len(truth) else 1.0
+    losses = above.agg(*(loss(temperature).alias(str(k)) for k, temperature in enumerate(TEMPERATURES))).first()
+    weighted.unpersist()
+    temperature = 1.0 if losses[0] is None else min(zip(losses, TEMPERATURES, strict=True))[1]
     found = len(model.interceptVector)
     notices = [(row.family, list(row.grams)) for row in own if row.family != UNKNOWN]
     return Classifier(vocabulary, families[:found], model.coefficientMatrix.toArray(), model.interceptVector.toArray(), temperature, notices)
 
 
-RESULT = "doc_id long, paragraph long, family string, probability double, covered double, confirmed boolean"
-
 
 def find_licences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per paragraph that is a licence notice of a family, or licence wording of an unknown one."""
     classifier = train(docs.select("doc_id", "text"), sample)
-    if classifier is None:
-        return docs.sparkSession.createDataFrame([], RESULT)
-    # A paragraph without any of the n-grams is of the class none. The one-element array keeps the n-grams from being computed twice.
+    # A paragraph without any of the n-grams is of the class none, or unknown if it is licence wording. The one-element array keeps the n-grams from being computed twice.
     known = F.filter(grams(F.col("line")), lambda gram: gram.isin(classifier.vocabulary))
-    hit = paragraphs(docs, classifier.vocabulary).select("doc_id", "paragraph", F.explode(F.filter(F.array(known), lambda found: F.size(found) > 0)).alias("hits"))
+    hit = paragraphs(docs, classifier.vocabulary).select("doc_id", "paragraph", F.explode(F.filter(F.array(known), lambda found: (F.size(found) > 0) | F.col("line").rlike(LICENCE_WORDS))).alias("hits"))
     hits = staged(hit.withColumn("row", F.monotonically_increasing_id()), "licence-hits")
     best = F.array_position("probabilities", F.array_max("probabilities"))
     named = F.element_at(F.array(*map(F.lit, classifier.families)), best.cast("int"))
@@ -233,7 +241,12 @@ def find_licences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     )
     compared = judged.withColumn("covered", classifier.covered(F.col("hits"), F.col("predicted")))
     sure = (F.col("probability") >= MIN_PROBABILITY) & (F.col("covered") >= MIN_COVERED)
-    return compared.select(
-        "doc_id", F.col("paragraph").cast("long").alias("paragraph"), F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"),
-        "probability", "covered", sure.alias("confirmed"),
+    paragraph = F.col("paragraph").cast("long").alias("paragraph")
+    found = compared.select(
+        "doc_id", paragraph, F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "covered", sure.alias("confirmed")
+    )
+    worded = hits.where(F.size("hits") == 0).select(
+        "doc_id", paragraph, F.lit(UNKNOWN).alias("family"), F.lit(None).cast("double").alias("probability"),
+        F.lit(0.0).alias("covered"), F.lit(False).alias("confirmed"),
     )
+    return found.union(worded)

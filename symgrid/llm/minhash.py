@@ -126,11 +126,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, threshold:
             for at in range(0, len(batch), _TEXTS):
                 part = batch.iloc[at : at + _TEXTS]
                 mine = shingle_sets(list(part["text_u"]), shingle_words)
-                others: dict[int, np.ndarray] = {}
-                unseen = {v: text for v, text in zip(part["v"], part["text_v"], strict=True)}
-                others = dict(zip(unseen, shingle_sets(list(unseen.values()), shingle_words), strict=True))
-                for u, v, a in zip(part["u"], part["v"], mine, strict=True):
-                    b = others[v]
+                # An id that is repeated has several texts, so a text is known by both.
+                right_texts = list(zip(part["v"], part["text_v"], strict=True))
+                unseen = list(dict.fromkeys(right_texts))
+                others = dict(zip(unseen, shingle_sets([text for _, text in unseen], shingle_words), strict=True))
+                for u, right_text, a in zip(part["u"], right_texts, mine, strict=True):
+                    v, b = right_text[0], others[right_text]
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     if both and 100 * both >= threshold * (len(a) + len(b) - both):
                         linked.append((u, v))
@@ -214,6 +215,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
 
 
 def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, whole: of each component those of its smallest ``doc_id``."""
-    gone = near_duplicates(docs, shingle_words, threshold).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that are kept, whole: of each component those of its smallest ``doc_id``, repeated rows once.
+
+    Rows of one id, or of no id, are repeated if their texts are the same; which of them stays is open.
+    """
+    judged = staged(near_duplicates(docs, shingle_words, threshold).select("doc_id", "kept"), "near-duplicates")
+    columns = [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]
+    kept = docs.join(judged.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(columns)
+    repeated = judged.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
+    if not repeated.head(1):
+        return kept
+    several = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    once = kept.join(repeated, several, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, several, "left_anti").union(once)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,9 @@ SCHEMA = (
     "sequence_length long, cost double"
 )
 
+#: Runs of white space beyond this are too long for tiktoken's expressions; the tokenizer of the same vocabulary takes such texts.
+LONGEST_BLANK = 100_000
+
 _UNCLEAN = re.compile(r"\s \s?| \s|^ | $")
 
 
@@ -59,8 +63,19 @@ class WordTokens(dict):
         self.encoding = encoding
 
     def encode(self, text: str) -> bytes:
+        if len(text) >= LONGEST_BLANK and max(map(len, re.findall(r"\s+", text)), default=0) >= LONGEST_BLANK:
+            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return np.asarray(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
+    @cached_property
+    def tokenizer(self):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(public_tokenizers.path(self.encoding.name.replace(".tiktoken", ".json")))
+        found.encode_special_tokens = True
+        return found
+
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(" " + word)
         if len(self) >= REMEMBERED:

@@ -30,6 +30,8 @@ from symgrid.llm.shingles import mix
 MIN_COUNT = 30
 LONGEST = 4
 TOP = 2000
+#: Groups that a language's phrases are ranked in first.
+GROUPS = 64
 #: A phrase goes if a longer one around it has this share of its count, in per cent.
 ABSORBED = 80
 SCALE = 2_000_000
@@ -293,8 +295,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
         F.coalesce(100 * F.col("around") < ABSORBED * F.col("a"), F.lit(True))
     )
     words = counts.where("size = 0").select("lang", F.col("times").alias("n"))
-    in_order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= top)
+    # First within groups of phrases, so that what the last step sorts of a language is bounded.
+    best = kept.withColumn("group", F.pmod(F.xxhash64("phrase"), F.lit(GROUPS)))
+    for by in (["lang", "group"], ["lang"]):
+        in_order = Window.partitionBy(*by).orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= top)
     return best.join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score"
     )

@@ -42,6 +42,8 @@ _HEXADECIMAL = re.compile(r"[0-9A-Fa-f]+")
 _HAS_BOTH = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
 _SEPARATORS = re.compile(r"[/=_-]+")
 #: A UUID or a digest that is a part of a run, or several.
+#: Digests of the parts of web pages, in base 64.
+_INTEGRITY = re.compile(r"sha256-[A-Za-z0-9+/]{43}=|sha384-[A-Za-z0-9+/]{64}|sha512-[A-Za-z0-9+/]{86}==")
 _KNOWN = re.compile(rf"(?<![A-Za-z0-9+])(?:{_UUID.pattern}|{'|'.join(f'[0-9A-Fa-f]{{{n}}}' for n in DIGESTS)})(?![A-Za-z0-9+])")
 
 
@@ -60,7 +62,7 @@ def _needs_many(stretch: str, encoding) -> bool:
 
 def is_random(run: str, encoding) -> bool:
     """Whether a run is neither a known kind of identifier nor made of parts that the vocabulary knows."""
-    if _UUID.fullmatch(run):
+    if _UUID.fullmatch(run) or _INTEGRITY.fullmatch(run):
         return False
     if _HEXADECIMAL.fullmatch(run) and len(run) in DIGESTS:
         return False
@@ -80,9 +82,10 @@ def find_spans(text: str | None, encoding) -> list[tuple[str, int, int]]:
         return []
     spans = base_spans(text)
     for m in _RUN.finditer(text):
-        before = text[max(0, m.start() - 3) : m.start()]
-        if "@" not in before and "://" not in before and is_random(m.group(), encoding):
-            spans.append((m.start(), 3, m.end()))
+        # The slashes before the host of a URL are no part of what stands in it.
+        start = m.start() + 2 * text.startswith("://", m.start() - 1)
+        if m.end() - start >= SHORTEST and "@" not in text[max(0, start - 3) : start] and is_random(text[start : m.end()], encoding):
+            spans.append((start, 3, m.end()))
     return [(KINDS[kind], start, end) for start, kind, end in sorted(spans)]
 
 

@@ -1,6 +1,7 @@
 """Quality network and licence classifier: held-out accuracy and defined results."""
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -101,3 +102,66 @@ def test_wrapped_licences(docs):
     assert len([r for r in found if r.doc_id < 200]) == len(WRAPPED)
     assert {(r.paragraph, r.family) for r in found if r.doc_id == 200} == {(0, "Apache-2.0"), (1, "Proprietary")}
     assert not any(r.confirmed for r in found if r.doc_id == 201)
+
+
+def test_table_of_licences_alone(docs):
+    rows = [(1, "Licensed under the Apache License, Version 2.0."), (2, "Released under the MIT License."), (3, "All rights reserved.")]
+    found = licences.find_licences(docs(rows)).collect()
+    assert {(r.doc_id, r.family, r.confirmed) for r in found} == {(1, "Apache-2.0", True), (2, "MIT", True), (3, "Proprietary", True)}
+
+
+def test_wording_without_known_ngrams_is_unknown(docs):
+    rows = [(1, "ISC licence"), (2, "Copyright (c) 2020 Jane Doe"), (3, "A plain line\nlicence: yes"), (4, "Nothing of the kind is said here."), (5, "")]
+    found = licences.find_licences(docs(rows)).collect()
+    assert {(r.doc_id, r.paragraph, r.family, r.confirmed) for r in found} == {
+        (1, 0, "unknown", False), (2, 0, "unknown", False), (3, 1, "unknown", False)
+    }
+
+
+def test_licences_against_plain_arithmetic(docs, monkeypatch):
+    """Probability, family and cover of every paragraph, from the classifier's numbers by hand."""
+    prose = ["the terms of the peace", "you may not go", "words of the day", "nothing"]
+    lines = [notice for _, notice in licences.NOTICES] + [" ".join(notice.split()[1:-1]) for _, notice in licences.NOTICES] + prose
+    table = docs(list(enumerate(lines)))
+    classifier = licences.train(table)
+    monkeypatch.setattr(licences, "train", lambda *_: classifier)
+    found = {r.doc_id: r for r in licences.find_licences(table).collect()}
+    for doc_id, line in enumerate(lines):
+        words = [w for w in re.split(r"[^\w]+|_", line.lower()) if w]
+        grams = {" ".join(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1)}
+        hits = [k for k, gram in enumerate(classifier.vocabulary) if gram in grams]
+        if not hits:
+            assert (doc_id in found) == bool(re.search(licences.LICENCE_WORDS, line))
+            continue
+        logits = (classifier.bias + classifier.weights[:, hits].sum(axis=1)) / classifier.temperature
+        shares = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        family = classifier.families[int(shares.argmax())]
+        if family == licences.NONE:
+            assert doc_id not in found
+            continue
+        held = {classifier.vocabulary[k] for k in hits}
+        numbered = lambda own: [g for g in own if any(map(str.isdigit, g))]
+        cover = max((len(held & set(own)) / len(own) for name, own in classifier.notices if name == family and (not numbered(own) or held & set(numbered(own)))), default=0.0)
+        sure = shares.max() >= licences.MIN_PROBABILITY and cover >= licences.MIN_COVERED
+        row = found[doc_id]
+        assert (row.family, row.confirmed) == (family if sure else licences.UNKNOWN, sure)
+        assert abs(row.probability - shares.max()) < 1e-9 and abs(row.covered - cover) < 1e-12
+
+
+def test_accuracy_on_unseen_wording(docs):
+    """Notices in words that the classifier was not trained on, and prose; known families found, none made up."""
+    unseen = [
+        ("Apache-2.0", "This file is licensed to you under the Apache License, Version 2.0, see the file for details."),
+        ("MIT", "The code here is released under the MIT License by its authors."),
+        ("GPL-3.0", "The program is licensed under the GNU General Public License, version 3, or any later one."),
+        ("GPL-2.0", "Parts are licensed under the GNU General Public License, version 2, as stated."),
+        ("AGPL-3.0", "The server is licensed under the GNU Affero General Public License, version 3, unlike the client."),
+        ("MPL-2.0", "Our Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0, and no other."),
+        ("CC-BY-SA-4.0", "The pictures are licensed under CC BY-SA 4.0."),
+        ("CC-BY-4.0", "All figures are licensed under CC BY 4.0."),
+        ("Proprietary", "Example Corp. All rights reserved."),
+        *[(None, f"The weather of the day was fine in town {k}, and the people went to the park.") for k in range(20)],
+    ]
+    found = {r.doc_id: r.family for r in licences.find_licences(docs([(k, text) for k, (_, text) in enumerate(unseen)])).collect()}
+    right = sum(found.get(k) == family for k, (family, _) in enumerate(unseen))
+    assert right >= 0.9 * len(unseen)

@@ -74,7 +74,7 @@ def test_defined_results(docs):
     ]
     kept = minhash.without_near_duplicates(docs(rows))
     assert kept.columns == docs(rows).columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 3, 5, 7, 7, 9]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 3, 5, 7, 9]
     assert minhash.near_duplicates(docs([])).collect() == []
 
 
@@ -125,3 +125,22 @@ def test_connected_components(spark, seed):
         parent[y] = x
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {n: root(n) for e in edges if e[0] != e[1] for n in e}
+
+
+def test_stage_leaves_one_of_repeated_rows(spark, docs):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, "x " * 30), (None, "x " * 30), (3, "other words stand here in this one"), (4, None), (4, None)]
+    table = docs(rows).withColumnRenamed("kept", "a.b")
+    left = minhash.without_near_duplicates(table)
+    assert left.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted(
+        [(1, text), (0, "x " * 30), (3, "other words stand here in this one"), (4, None)], key=lambda row: (row[0], row[1] or "")
+    )
+
+
+def test_links_through_each_text_of_a_repeated_id(docs):
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(5, one), (5, two), (7, one + " end"), (9, two + " end")]
+    for order in (rows, rows[::-1]):
+        found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs(order)).collect()}
+        assert {(7, 5), (9, 5)} <= found

@@ -34,6 +34,16 @@ def test_ids_are_those_of_the_tokenizer(known, tokenizer, text):
     assert ids(text, known) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["\n" * 2_000_000, "a" + " " * 1_000_000 + "b", "\t " * 60_000 + "x"])
+def test_long_white_space(known, tokenizer, text):
+    assert ids(text, known) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_document_of_white_space(spark, docs):
+    found = packing.pack_documents(docs([(1, "\n" * 2_000_000), (2, "a b")])).collect()
+    assert sum(row.length for row in found if row.doc_id == 1) == next(row.doc_tokens for row in found if row.doc_id == 1)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 9000), min_size=1, max_size=40))
 def test_pieces_tile_documents_and_sequences(lengths):
