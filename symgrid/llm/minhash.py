@@ -14,7 +14,11 @@ Work that would grow with the square of a group is avoided without losing links:
   bands name together; confirmed links give components;
 * then, in every group that still holds several components, the members outside its largest one
   are compared with those of the others by their estimates, and confirmed if these are near the threshold. Pairs inside a
-  component need no look: they can add no link between different components.
+  component need no look: they can add no link between different components;
+* where that would take more than CROWD * CROWD comparisons in a group (pages on one template, say), its members are
+  compared only if they share one of their rarest shingles: of two sets with enough in common, the first few in any one
+  order of all shingles have one in common (see ``sharing_rare_shingles``). No link is lost by it, and what
+  a template's pages all have is not among them.
 
 Components are computed on tables; groups, links and components never reach the driver.
 
@@ -25,6 +29,7 @@ a NULL ``doc_id`` has a NULL component and is kept; an empty table gives an empt
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,6 +50,12 @@ BITS = 2
 THRESHOLD = 80
 #: Pairs whose estimate is further below the threshold than this are not confirmed: 4.5 standard deviations of it.
 MARGIN = 0.085
+#: A group is compared pair by pair up to the square of this many comparisons.
+CROWD = 64
+#: Sets whose sizes differ by less than this factor share a size class.
+CLASS = 1.06
+#: A shingle that makes up this share of all is looked up from a broadcast table, which so has as many rows at most.
+HOT_SHARE = 65536
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -142,6 +153,67 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, threshold:
     return pairs.join(left, "u").join(right, "v").mapInPandas(run, "u long, v long")
 
 
+def shingle_rows(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """One row per text and distinct shingle; ``version`` tells the texts of a repeated id apart."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, shingles in zip(batch["doc_id"], shingle_sets(list(batch["text"]), shingle_words), strict=True):
+                version = int(mix(shingles).sum(dtype=np.uint64).view(np.int64))
+                yield pd.DataFrame({"node": node, "version": version, "n": len(shingles), "shingle": shingles.view(np.int64)})
+
+    return texts.select("doc_id", "text").mapInPandas(run, "node long, version long, n long, shingle long")
+
+
+def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int, threshold: int) -> DataFrame:
+    """Pairs (u, v) of ``crowd`` nodes in different components that share one of their rarest shingles.
+
+    All pairs that reach the threshold are among them. Sets of x and y shingles reach it only with
+    ``common >= threshold * (x + y) / (100 + threshold)`` in common, so of the first ``x - common + 1`` and
+    ``y - common + 1`` in any one order they share one; here the order is by the number of sets with the shingle. How many these
+    are depends on the other's size, so sets are met by size class: once as the smaller one, in their own class,
+    and once in each class in reach as the larger one.
+    """
+    rows = staged(shingle_rows(texts.join(crowd.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle_words), "crowd-shingles")
+    counts = staged(rows.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "crowd-counts")
+    hot = counts.where(F.col("sets") * HOT_SHARE > rows.count())
+    near = rows.join(F.broadcast(hot), "shingle", "left")
+    cold = near.where("sets IS NULL").drop("sets").join(counts.join(F.broadcast(hot), "shingle", "left_anti"), "shingle", "left")
+    columns = ["node", "version", "n", "shingle", F.coalesce("sets", F.lit(1)).alias("sets")]
+    ordered = (
+        near.where("sets IS NOT NULL").select(*columns).union(cold.select(*columns))
+        .groupBy("node", "version", "n")
+        .agg(F.expr("array_sort(collect_set(struct(sets, shingle)))").alias("shingles"))
+    )
+    size_class = "CAST(floor(ln({}) / " + repr(math.log(CLASS)) + ") AS INT)"
+    own, least = size_class.format("n"), size_class.format(f"greatest(1, n * {threshold} div 100)")
+    met = ordered.select(
+        "node", "n", "shingles",
+        F.expr(
+            f"inline(concat(array(struct({own} AS class, true AS smaller)),"
+            f" transform(sequence({least}, {own}), c -> struct(c AS class, false AS smaller))))"
+        ),
+    )
+    common = f"CAST(ceil({threshold} * (n + pow({CLASS}, class) * 0.999999) / {100 + threshold} - 0.000001) AS INT)"
+    entries = staged(
+        met.select("node", "class", "smaller", F.expr(f"inline(slice(shingles, 1, greatest(0, CAST(n AS INT) - {common} + 1)))"))
+        .where("sets > 1").drop("sets").join(crowd, "node"),
+        "crowd-entries",
+    )
+    key = ["class", "shingle"]
+    several = (
+        entries.groupBy(*key, "component").agg(F.count("*").alias("n"))
+        .groupBy(*key).agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+        .where("parts > 1").drop("parts")
+    )
+    open_entries = staged(entries.join(several, key), "crowd-open")
+    one = open_entries.where("smaller").select(*key, F.col("node").alias("u"), F.col("component").alias("cu"), "largest")
+    other = open_entries.where("NOT smaller").select(*key, F.col("node").alias("v"), F.col("component").alias("cv"), F.col("largest").alias("l"))
+    outside = one.where("cu <> largest").join(other, key).where("cu <> cv")
+    inside = one.where("cu = largest").join(other.where("cv <> l"), key)
+    return outside.union(inside.select(outside.columns)).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     prints = staged(fingerprints(docs, shingle_words), "fingerprints")
@@ -176,22 +248,34 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     counts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
     open_bands = (
         counts.groupBy("band")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"),
+            (F.sum("n") * (F.sum("n") - F.max("n")) > CROWD * CROWD).alias("crowded"),
+        )
         .where("parts > 1")
-        .select("band", "largest")
-    )
+        .select("band", "largest", "crowded")
+    )
     still = staged(placed.join(open_bands, "band").join(sizes, "node"), "open-bands")
-    a, b = still.where("component <> largest").alias("a"), still.alias("b")
+    few = still.where("NOT crowded")
+    a, b = few.where("component <> largest").alias("a"), few.alias("b")
+    similar = (100 * F.least("a.n_shingles", "b.n_shingles") >= threshold * F.greatest("a.n_shingles", "b.n_shingles")) & (
+        estimate(F.col("a.low_bits"), F.col("b.low_bits")) >= threshold / 100 - MARGIN
+    )
     apart = (
         (F.col("a.band") == F.col("b.band"))
         & (F.col("a.component") != F.col("b.component"))
         & ((F.col("b.component") == F.col("b.largest")) | (F.col("a.node") < F.col("b.node")))
-        & (100 * F.least("a.n_shingles", "b.n_shingles") >= threshold * F.greatest("a.n_shingles", "b.n_shingles"))
-        & (estimate(F.col("a.low_bits"), F.col("b.low_bits")) >= threshold / 100 - MARGIN)
+        & similar
         # Of the bands that a pair shares, the first one names it.
         & F.expr("array_position(zip_with(a.bands, b.bands, (x, y) -> x = y), true) = a.number + 1")
     )
     second = a.join(b, apart).select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
+    crowd = staged(still.where("crowded").select("node", "component").distinct(), "crowd")
+    if crowd.head(1):
+        by = sizes.select("node", "n_shingles", "low_bits")
+        rare = sharing_rare_shingles(texts, crowd, shingle_words, threshold)
+        rare = rare.join(by.alias("a"), F.col("u") == F.col("a.node")).join(by.alias("b"), F.col("v") == F.col("b.node"))
+        second = second.union(rare.where(similar).select("u", "v")).distinct()
     more = staged(confirmed(second, texts, shingle_words, threshold), "links")
     of = groups.select(F.col("node").alias("v"), F.col("component").alias("cv"))
     across = (

@@ -44,7 +44,10 @@ def edited(words, edits, rng):
     return " ".join(words)
 
 
-def test_components_with_copies_chains_and_a_large_group(docs):
+@pytest.mark.parametrize("crowd", [0, 64])
+def test_components_with_copies_chains_and_a_large_group(docs, monkeypatch, crowd):
+    """Also with every group compared by rare shingles alone."""
+    monkeypatch.setattr(minhash, "CROWD", crowd)
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(1, 60))) for _ in range(60)]
     base = [f"b{rng.randrange(2000)}" for _ in range(120)]
@@ -144,3 +147,17 @@ def test_links_through_each_text_of_a_repeated_id(docs):
     for order in (rows, rows[::-1]):
         found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs(order)).collect()}
         assert {(7, 5), (9, 5)} <= found
+
+
+def test_pages_on_one_template_are_not_compared_in_pairs(docs, monkeypatch):
+    rng = random.Random(8)
+    frame = [f"t{k}" for k in range(290)]
+    # The template is five sixths of a page, so two pages have a similarity of 0.71.
+    rows = [(n, " ".join([*frame, *(f"p{n}x{k}" for k in range(60))])) for n in range(2000)]
+    rows += [(5000 + n, edited(rows[n][1].split(), 3, rng)) for n in range(40)]
+    looked, confirm = [], minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *rest: looked.append(pairs.count()) or confirm(pairs, *rest))
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(rows)).collect()}
+    assert found == {n: n - 5000 if n >= 5000 else n for n, _ in rows}
+    assert sum(looked) < 10 * len(rows)
+    assert looked[1] <= 100, looked
