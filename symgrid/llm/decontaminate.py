@@ -3,11 +3,15 @@
 Texts are normalised byte by byte (A-Z lower-cased, everything but digits, letters and non-ASCII
 bytes a separator), so that a normalised byte stands where its original stood and a hit maps
 back to the original text. A window is ``length`` consecutive words of an item; an item of fewer words is one
-window. Each document is scanned once.
+window. Windows overlap, so the automaton does not spell them all: it holds the items' blocks of half a window, side
+by side. Every window has one of them whole; where one is found, the windows around it are looked up
+by hash and compared with the item's bytes. Items of fewer words than a window are in the automaton as they are.
+Each document is scanned once.
 
-The automaton is built inside the tasks from windows that the driver reads from the benchmark in
-blocks of at most BLOCK_BYTES of text; a benchmark beyond one block takes one pass over the documents
-per block, each adding to the hits of the one before.
+The automaton is built inside the tasks from items that the driver reads from the benchmark in
+blocks of about BLOCK_BYTES of text, cutting longer items into overlapping parts. A benchmark beyond one block
+takes one pass over the documents per block, each adding to the hits of the one before. A pass is written
+to the shared folder before the next block is read, so driver and tasks hold one block at a time.
 
 Defined results: NULL, empty and separator-only texts and items have no words, so no hits; an item with NULL id
 marks words but is not listed; rows are scanned one by one, so repeated rows give repeated results; other columns
@@ -16,6 +20,7 @@ pass through unread. The result column's name is the caller's choice.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,8 +29,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from symgrid.llm.common import staged
+
 LENGTH = 10
-BLOCK_BYTES = 16 << 20
+#: Benchmark text of one automaton, which takes about 60 times as much memory.
+BLOCK_BYTES = 4 << 20
 SCHEMA = "n_words long, hits array<struct<start:long,end:long,from_char:long,to_char:long>>, items array<long>"
 
 _TABLE = bytearray(b" " * 128 + bytes(range(128, 256)))
@@ -40,50 +48,77 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_TABLE).split()
 
 
-def item_windows(text: str | None, length: int = LENGTH) -> list[bytes]:
-    found = normal_words(text)
-    if not found:
-        return []
-    return [b" ".join(found[i : i + length]) for i in range(max(1, len(found) - length + 1))]
-
-
 class Scanner:
-    """The automaton, and the scan of one text."""
+    """The automaton with a table of windows, and the scan of one text."""
 
     def __init__(self, block: list[tuple[int | None, str]], length: int = LENGTH):
-        owners: dict[bytes, set] = {}
-        for item, text in block:
-            for window in item_windows(text, length):
-                owners.setdefault(window, set()).add(item)
+        self.length, self.half = length, (length + 1) // 2
         self.automaton = ahocorasick.Automaton()
-        for window, items in owners.items():
-            size = window.count(b" ") + 1
-            self.automaton.add_word(f" {window.decode('latin-1')} ", (size, items - {None}))
-        self.empty = not owners
+        #: The longer items one after the other, and of their windows, in the order of their hashes: where, and whose.
+        self.items: list[int | None] = []
+        texts, hashes, places, owners = [], array("q"), array("q"), array("q")
+        short: dict[bytes, set] = {}
+        blocks: set[bytes] = set()
+        at = 0
+        for item, text in block:
+            found = normal_words(text)
+            if not found:
+                continue
+            if len(found) < length:
+                short.setdefault(b" ".join(found), set()).add(item)
+                continue
+            blocks.update(b" ".join(found[i : i + self.half]) for i in range(0, len(found) - self.half + 1, self.half))
+            for i in range(len(found) - length + 1):
+                hashes.append(hash(b" ".join(found[i : i + length])))
+                places.append(at)
+                owners.append(len(self.items))
+                at += len(found[i]) + 1
+            at += sum(len(word) + 1 for word in found[len(found) - length + 1 :])
+            texts.append(b" ".join(found))
+            self.items.append(item)
+        self.text = b" ".join(texts)
+        order = np.argsort(np.frombuffer(hashes, np.int64), kind="stable")
+        self.hashes, self.places, self.owners = (np.frombuffer(a, np.int64)[order] for a in (hashes, places, owners))
+        for pattern in blocks.union(short):
+            items = short.get(pattern)
+            self.automaton.add_word(
+                f" {pattern.decode('latin-1')} ",
+                (pattern.count(b" ") + 1, pattern in blocks, None if items is None else items - {None}),
+            )
+        self.empty = not len(self.automaton)
         if not self.empty:
             self.automaton.make_automaton()
 
+    def window_items(self, window: bytes) -> set | None:
+        """The items that have this window, or None if none has."""
+        key = hash(window)
+        at, end = (int(np.searchsorted(self.hashes, key, side)) for side in ("left", "right"))
+        same = [k for k in range(at, end) if self.text.startswith(window, self.places[k])]
+        return {self.items[self.owners[k]] for k in same} - {None} if same else None
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set]:
         """Number of words, runs of hit words, items found."""
         found = normal_words(text)
         if self.empty or not found:
             return len(found), [], set()
         line = f" {b' '.join(found).decode('latin-1')} "
-        runs: list[list[int]] = []
+        hits: list[tuple[int, int]] = []
         items: set = set()
-        seen = at = 0
-        for end, (size, owners) in self.automaton.iter(line):
+        seen = at = looked = 0
+        for end, (size, is_block, owners) in self.automaton.iter(line):
             seen += line.count(" ", at, end)
             at = end
-            items |= owners
-            start = seen - size
-            while runs and start <= runs[-1][1] and start < runs[-1][0]:
-                start = min(start, runs.pop()[0])
-            if runs and start <= runs[-1][1]:
-                runs[-1][1] = max(runs[-1][1], seen)
-            else:
-                runs.append([start, seen])
-        return len(found), [(a, b) for a, b in runs], items
+            if owners is not None:
+                hits.append((seen - size, seen))
+                items |= owners
+            if is_block:
+                for start in range(max(looked, seen - self.length), min(seen - size, len(found) - self.length) + 1):
+                    whose = self.window_items(b" ".join(found[start : start + self.length]))
+                    if whose is not None:
+                        hits.append((start, start + self.length))
+                        items |= whose
+                looked = max(looked, seen - size + 1)
+        return len(found), merge_runs(hits), items
 
 
 def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -128,17 +163,29 @@ def _scan_column(text: Column, earlier: Column, block: list[tuple[int | None, st
     return scan.asNondeterministic()(text, earlier)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
+def item_parts(text: str, length: int, part_bytes: int) -> Iterator[str]:
+    """A long item in parts that overlap by ``length - 1`` words, so that each window lies whole in one."""
+    if len(text) <= part_bytes:
+        yield text
+        return
+    found = normal_words(text)
+    step = max(1, part_bytes * len(found) // max(1, len(text)))
+    for at in range(0, max(1, len(found) - length + 1), step):
+        yield b" ".join(found[at : at + step + length - 1]).decode("utf-8")
+
+
+def benchmark_blocks(
+    benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, length: int = LENGTH
+) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of bounded size, one held by the driver at a time."""
     block, size = [], 0
-    for item, text in benchmark.select("item_id", "text").toLocalIterator():
-        if text is None:
-            continue
-        block.append((item, text))
-        size += len(text)
-        if size >= block_bytes:
-            yield block
-            block, size = [], 0
+    for item, text in benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator():
+        for part in item_parts(text, length, block_bytes):
+            if block and size + len(part) > block_bytes:
+                yield block
+                block, size = [], 0
+            block.append((item, part))
+            size += len(part)
     yield block
 
 
@@ -148,7 +195,9 @@ def mark_contamination(
     """``docs`` with a struct ``column``: words, hit runs (word and original character offsets), items found."""
     nothing = F.lit(None).cast("struct<n_words:long,hits:array<struct<start:long,end:long,from_char:long,to_char:long>>,items:array<long>>")
     marked = docs.withColumn(column, nothing)
-    for block in benchmark_blocks(benchmark, block_bytes):
+    for number, block in enumerate(benchmark_blocks(benchmark, block_bytes, length)):
+        if number:
+            marked = staged(marked, "contamination")
         marked = marked.withColumn(column, _scan_column(F.col("text"), F.col(column), block, length))
     return marked
 

@@ -1,5 +1,6 @@
 """Decontamination against brute force, in one block of items and in several."""
 
+import random
 import re
 
 from hypothesis import given, settings
@@ -41,6 +42,21 @@ def test_scan(items, text, glue, length):
     assert (n, {p for a, b in d.merge_runs(runs) for p in range(a, b)}, found) == want
 
 
+@settings(max_examples=100, deadline=None)
+@given(WORDS, WORDS, st.integers(1, 4), st.integers(1, 30))
+def test_parts_of_a_long_item(item, text, length, part_bytes):
+    item, text = " ".join(item), " ".join(text)
+    n, runs, found = d.Scanner([(1, part) for part in d.item_parts(item, length, part_bytes)], length).scan(text)
+    assert (n, {p for a, b in d.merge_runs(runs) for p in range(a, b)}, found) == brute(text, [(1, item)], length)
+
+
+def test_memory_of_the_automaton():
+    rng = random.Random(2)
+    text = " ".join(f"{rng.randrange(20_000):x}word" for _ in range(25_000))
+    scanner = d.Scanner([(1, text)])
+    assert scanner.automaton.get_stats()["total_size"] < 60 * len(text)
+
+
 def test_blocks_offsets_and_defined_results(spark, docs):
     passage = "One two THREE four five six seven eight nine ten eleven"
     items = spark.createDataFrame([(7, passage), (8, "zwölf, Katzen"), (None, "only this"), (9, None), (10, "..")], "item_id long, text string")
