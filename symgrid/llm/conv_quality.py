@@ -6,9 +6,8 @@ whole text is covered. A filter's response in a chunk is its greatest one there
 the greatest and the mean response over the chunks give 2 * FILTERS features, which a logistic layer combines into one
 probability.
 
-The network is trained on the driver on at most SAMPLE labelled texts (lowest hash of the id first), of
-each at most SAMPLE_CHUNKS chunks spread over its whole length. Both bounds are parameters. Scoring reads
-every byte of every text.
+The network is trained on the driver on at most SAMPLE labelled texts (lowest hash of the id first; the bound is
+a parameter), each with all its chunks, by the very responses that scoring computes. Scoring reads every byte of every text.
 
 Defined results: NULL and empty texts have no chunk and get the probability of no responses;
 repeated rows are scored one by one; with no labelled text, or one class alone, every score is that class's smoothed
@@ -30,12 +29,12 @@ from symgrid.llm.common import sampled_ids
 FILTERS = 16
 WIDTH = 5
 CHUNK = 512
+HALF = CHUNK // 2
 SAMPLE = 6000
-SAMPLE_CHUNKS = 6
 EPOCHS = 8
 #: A small sample is gone over more often, for as many steps at least, of as many texts each.
 LEAST_STEPS, TEXTS_A_STEP = 300, 32
-#: Bytes scored at a time.
+#: Bytes whose responses are held at a time, a whole number of half chunks.
 SLICE = 1 << 15
 
 
@@ -54,21 +53,43 @@ class Network:
             total += np.take(self.filters[k], data[k : k + places], axis=0)
         return total
 
-    def features(self, text: str | None) -> np.ndarray:
-        raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
-        if not len(raw):
-            return np.zeros(2 * FILTERS, np.float32)
-        half = CHUNK // 2
+    def half_peaks(self, raw: np.ndarray) -> np.ndarray:
+        """Greatest response of each filter in each half chunk, SLICE bytes at a time."""
         data = np.concatenate((raw, np.zeros(WIDTH - 1, np.uint8)))
         halves = []
         for at in range(0, len(raw), SLICE):
             part = self.responses(data[at : min(at + SLICE, len(raw)) + WIDTH - 1])
-            halves.append(np.maximum.reduceat(part, np.arange(0, len(part), half), axis=0))
-        peaks = np.concatenate(halves)
+            halves.append(np.maximum.reduceat(part, np.arange(0, len(part), HALF), axis=0))
+        return np.concatenate(halves)
+
+    def features(self, text: str | None) -> np.ndarray:
+        raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+        if not len(raw):
+            return np.zeros(2 * FILTERS, np.float32)
+        peaks = self.half_peaks(raw)
         chunks = np.maximum(peaks[:-1], peaks[1:]) if len(peaks) > 1 else peaks
         chunks = np.maximum(chunks + self.bias, 0)
         return np.concatenate((chunks.max(axis=0), chunks.mean(axis=0)))
 
+    def chunk_peaks(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each filter in each chunk the greatest response, before the bias, and its place in ``raw``."""
+        data = np.concatenate((raw, np.zeros(WIDTH - 1, np.uint8)))
+        peaks, places = [], []
+        for at in range(0, len(raw), SLICE):
+            part = self.responses(data[at : min(at + SLICE, len(raw)) + WIDTH - 1])
+            halves = -(-len(part) // HALF)
+            padded = np.full((halves * HALF, FILTERS), -np.inf, np.float32)
+            padded[: len(part)] = part
+            padded = padded.reshape(halves, HALF, FILTERS)
+            best = padded.argmax(axis=1)
+            peaks.append(np.take_along_axis(padded, best[:, None], axis=1)[:, 0])
+            places.append(best + at + HALF * np.arange(halves)[:, None])
+        peak, place = np.concatenate(peaks), np.concatenate(places)
+        if len(peak) > 1:
+            later = peak[1:] > peak[:-1]
+            peak, place = np.where(later, peak[1:], peak[:-1]), np.where(later, place[1:], place[:-1])
+        return peak, place
+
     def score(self, text: str | None) -> float:
         logit = float(self.features(text) @ self.weights + self.offset)
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
@@ -81,32 +102,16 @@ def constant_network(share: float) -> Network:
     )
 
 
-def _sample_chunks(text: str) -> bytes:
-    """At most SAMPLE_CHUNKS chunks spread over the text, each filled up with zero bytes."""
-    raw = text.encode("utf-8", "replace")
-    last = max(0, len(raw) - CHUNK)
-    count = min(SAMPLE_CHUNKS, -(-max(1, len(raw)) // (CHUNK // 2)))
-    starts = sorted({round(last * k / max(1, count - 1)) for k in range(count)})
-    return b"".join(raw[s : s + CHUNK].ljust(CHUNK + WIDTH - 1, b"\0") for s in starts)
-
-
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[bytes, int]]:
-    """Chunks and label of at most ``sample`` labelled documents, one of each id; NULL labels and empty texts teach nothing.
+    """UTF-8 bytes and label of at most ``sample`` labelled documents, one of each id; NULL labels and empty texts teach nothing.
 
     The sample is drawn from the labels, and its bounded list goes to where texts are read.
     """
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            chunks = [_sample_chunks(text) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "chunks": chunks, "quality": batch["quality"].astype("int32")})
-
     known = labels.where(F.col("quality").isNotNull()).select("doc_id", "quality")
     chosen = known.join(F.broadcast(sampled_ids(known, sample)), "doc_id").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     texts = docs.select("doc_id", "text").where(F.length("text") > 0).join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInPandas(cut, "doc_id long, chunks binary, quality int").collect()
-    first = {row.doc_id: (bytes(row.chunks), row.quality) for row in sorted(rows, reverse=True)}
-    return [first[doc_id] for doc_id in sorted(first)]
+    one = texts.groupBy("doc_id").agg(F.min("text").cast("binary").alias("raw"), F.min("quality").alias("quality"))
+    return [(bytes(row.raw), row.quality) for row in sorted(one.collect(), key=lambda row: row.doc_id)]
 
 
 def train(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7) -> Network:
@@ -116,8 +121,7 @@ def train(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7)
     if labels.min(initial=1) == labels.max(initial=0) or len(labels) < 2:
         return constant_network(float(share))
     rng = np.random.default_rng(seed)
-    long = CHUNK + WIDTH - 1
-    docs = [np.frombuffer(chunks, np.uint8).reshape(-1, long) for chunks, _ in sample]
+    docs = [np.frombuffer(raw, np.uint8) for raw, _ in sample]
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     net = Network(
         rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
@@ -131,28 +135,29 @@ def train(sample: list[tuple[bytes, int]], epochs: int = EPOCHS, seed: int = 7)
         order = rng.permutation(len(docs))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
-            data = np.concatenate([docs[i] for i in chosen])
-            sizes = np.array([len(docs[i]) for i in chosen])
+            found = [net.chunk_peaks(docs[i]) for i in chosen]
+            sizes = np.array([len(peaks) for peaks, _ in found])
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             owner = np.repeat(np.arange(len(chosen)), sizes)
-            total = np.take(net.filters[0], data[:, :CHUNK], axis=0)
-            for k in range(1, WIDTH):
-                total += np.take(net.filters[k], data[:, k : k + CHUNK], axis=0)
-            place = total.argmax(axis=1)
-            peak = np.take_along_axis(total, place[:, None, :], axis=1)[:, 0] + net.bias
+            peak = np.concatenate([peaks for peaks, _ in found]) + net.bias
+            # The batch's texts stand one after the other, each followed by zero bytes.
+            data = np.concatenate([np.concatenate((docs[i], np.zeros(WIDTH - 1, np.uint8))) for i in chosen])
+            ahead = np.concatenate(([0], np.cumsum([len(docs[i]) + WIDTH - 1 for i in chosen])[:-1]))
+            place = np.concatenate([places + first_byte for (_, places), first_byte in zip(found, ahead, strict=True)])
             relu = np.maximum(peak, 0)
             most = np.maximum.reduceat(relu, starts, axis=0)
             mean = np.add.reduceat(relu, starts, axis=0) / sizes[:, None]
             logit = np.concatenate((most, mean), axis=1) @ net.weights + net.offset
             error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[chosen]) * weight[chosen] / len(chosen)
             back = error[:, None] * net.weights
-            isbest = (relu == most[owner]) & (relu > 0)
+            # Chunks that overlap may share their greatest response, and then share its gradient.
+            isbest = ((relu == most[owner]) & (relu > 0)).astype(np.float64)
+            isbest /= np.maximum(1, np.add.reduceat(isbest, starts, axis=0))[owner]
             grad_peak = (back[owner, :FILTERS] * isbest + back[owner, FILTERS:] / sizes[owner, None]) * (peak > 0)
             grads = {name: np.zeros_like(first[name]) for name in names}
             column = np.broadcast_to(np.arange(FILTERS), place.shape)
-            row = np.arange(len(data))[:, None]
             for k in range(WIDTH):
-                np.add.at(grads["filters"][k], (data[row, place + k], column), grad_peak)
+                np.add.at(grads["filters"][k], (data[place + k], column), grad_peak)
             grads["bias"] = grad_peak.sum(axis=0)
             grads["weights"] = error @ np.concatenate((most, mean), axis=1) + 1e-4 * net.weights
             grads["offset"] = np.asarray(error.sum())

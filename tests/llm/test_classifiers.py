@@ -15,7 +15,7 @@ def test_gradients_of_the_network_lower_the_loss():
     rng = random.Random(2)
     good = ["".join(rng.choice("etaoin ") for _ in range(rng.randrange(1, 1500))) for _ in range(60)]
     bad = [text[: len(text) // 2] + "### !!" + text[len(text) // 2 :] for text in good]
-    sample = [(conv_quality._sample_chunks(t), int(k < 60)) for k, t in enumerate(good + bad)]
+    sample = [(t.encode(), int(k < 60)) for k, t in enumerate(good + bad)]
     net = conv_quality.train(sample)
     scores = np.array([net.score(t) for t in good + bad])
     assert scores[:60].mean() > 0.8 > 0.2 > scores[60:].mean()
@@ -31,6 +31,53 @@ def test_chunks_cover_the_whole_text():
     assert net.score("") == net.score(None) == 0.5 == net.score("aaa")
 
 
+def random_network(seed):
+    rng = np.random.default_rng(seed)
+    return conv_quality.Network(
+        rng.normal(0, 0.3, (conv_quality.WIDTH, 256, conv_quality.FILTERS)).astype(np.float32),
+        rng.normal(0, 0.3, conv_quality.FILTERS).astype(np.float32), rng.normal(0, 0.3, 2 * conv_quality.FILTERS).astype(np.float32), 0.2,
+    )
+
+
+def brute_chunks(net, raw):
+    """Per chunk and filter the greatest response and where, from the definition."""
+    data = [*raw, *[0] * (conv_quality.WIDTH - 1)]
+    at = np.array([sum(net.filters[k, data[p + k]] for k in range(conv_quality.WIDTH)) for p in range(len(raw))])
+    half = conv_quality.CHUNK // 2
+    chunks = [at[s : s + 2 * half] for s in range(0, max(1, len(raw) - half), half)]
+    return np.array([c.max(axis=0) for c in chunks]), np.array([c.argmax(axis=0) + half * i for i, c in enumerate(chunks)])
+
+
+def test_scores_and_training_peaks_against_the_definition(docs, monkeypatch):
+    monkeypatch.setattr(conv_quality, "SLICE", 1024)
+    net, rng = random_network(5), random.Random(6)
+    sizes = [1, 2, 4, 5, 255, 256, 257, 511, 512, 513, 768, 1023, 1024, 1025, 3000, 5000]
+    texts = ["".join(rng.choice("abcdé #\n") for _ in range(n)) for n in sizes]
+    scored = docs(list(enumerate(texts))).select("doc_id", conv_quality.quality_score(F.col("text"), net).alias("s"))
+    found = {r.doc_id: r.s for r in scored.collect()}
+    for n, text in enumerate(texts):
+        peaks, places = brute_chunks(net, text.encode())
+        relu = np.maximum(peaks + net.bias, 0)
+        logit = np.concatenate((relu.max(axis=0), relu.mean(axis=0))) @ net.weights + net.offset
+        assert abs(found[n] - 1 / (1 + np.exp(-logit))) < 1e-4
+        got, where = net.chunk_peaks(np.frombuffer(text.encode(), np.uint8))
+        assert np.allclose(got, peaks, atol=1e-5) and got.shape == peaks.shape
+        assert (where == places).mean() > 0.99  # sums in another order may break a tie elsewhere
+
+
+def test_training_sees_what_only_the_middle_of_a_long_text_shows():
+    rng = random.Random(4)
+    good = ["".join(rng.choice("etaoin ") for _ in range(rng.randrange(9000, 12000))) for _ in range(40)]
+    bad = []
+    for text in good:
+        at = rng.randrange(100, len(text) - 100)
+        bad.append(text[:at] + "#%#%#" + text[at:])
+    sample = [(t.encode(), int(k < 40)) for k, t in enumerate(good + bad)]
+    net = conv_quality.train(sample)
+    scores = np.array([net.score(t) for t in good + bad])
+    assert scores[:40].mean() > 0.8 > 0.2 > scores[40:].mean()
+
+
 def test_held_out_accuracy_of_the_query(spark):
     scored = queries.op2_quality_classifier(spark, SF_DIR)
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
