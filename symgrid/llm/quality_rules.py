@@ -5,8 +5,9 @@ each rate is kept per language and source: a histogram over log-linear buckets (
 have their own, above that each power of two has 16). Two sketches merge by adding counts,
 exactly and in any order. The upper fence of a rate is
 ``median + SPREADS * (median - lower decile) + slack``; the lower half gives the spread, so a
-source may be junk to almost a half and still be told apart. Groups of fewer than MIN_DOCS
-documents use the merged sketches of their language, or else of all documents.
+source may be junk to almost a half and still be told apart. A group's fence is blended with that of its
+language, as if PRIOR_DOCS documents had it, and the language's with that of all documents in the same way: the fewer documents,
+the more it leans on the others, at no size by a jump.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a NULL language or
 source is a group of its own; repeated rows are judged one by one; an empty table gives an empty
@@ -28,7 +29,8 @@ from symgrid.llm.common import staged, words
 #: Each rate with its slack per thousand, which covers the noise of short texts.
 RATES = {"symbol_rate": 15, "duplicate_line_rate": 400, "repeat_rate": 180, "capital_rate": 150, "shout_rate": 25}
 SPREADS = 4
-MIN_DOCS = 50
+#: Documents that the fence of the next wider group counts as.
+PRIOR_DOCS = 50
 MIN_WORDS = 10
 WINDOW = 5
 #: Percentiles that the fences use.
@@ -133,7 +135,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     joined = own.join(by_lang, own.lang.eqNullSafe(by_lang.l) & (own.rate == by_lang.r), "left").join(
         overall, own.rate == overall.q, "left"
     )
-    fence = F.when(F.col("own_docs") >= MIN_DOCS, F.col("own")).when(F.col("lang_docs") >= MIN_DOCS, F.col("by_lang")).otherwise(F.col("overall"))
+    wider = f"((lang_docs * by_lang + {PRIOR_DOCS} * overall) div (lang_docs + {PRIOR_DOCS}))"
+    fence = F.expr(f"(own_docs * own + {PRIOR_DOCS} * {wider}) div (own_docs + {PRIOR_DOCS})")
     return joined.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("rate") == name, fence + slack)).alias(f"max_{name}") for name, slack in RATES.items())
     )
@@ -184,6 +187,8 @@ def _sql() -> str:
             f" GROUP BY ALL)) GROUP BY {keys}rate"
         )
 
+    wider = f"((b.docs * b.fence + {PRIOR_DOCS} * a.fence) // (b.docs + {PRIOR_DOCS}))"
+    blended = f"(o.docs * o.fence + {PRIOR_DOCS} * {wider}) // (o.docs + {PRIOR_DOCS})"
     slack = "CASE o.rate " + " ".join(f"WHEN '{name}' THEN {value}" for name, value in RATES.items()) + " END"
     within = " AND ".join(f"r.{name} <= f.f['{name}'][1]" for name in RATES)
     pairs = " UNION ALL ".join(f"SELECT lang, source, '{name}' AS rate, {name} AS value FROM rated" for name in RATES)
@@ -211,8 +216,7 @@ sketch AS (
   SELECT lang, source, rate, (value >> {shift}) << {shift} AS bucket, count(*) AS n FROM ({pairs}) GROUP BY ALL),
 own AS ({quantiles('lang, source')}), by_lang AS ({quantiles('lang')}), overall AS ({quantiles('')}),
 fences AS (
-  SELECT o.lang, o.source, map(list(o.rate), list({slack} + CASE WHEN o.docs >= {MIN_DOCS} THEN o.fence
-    WHEN b.docs >= {MIN_DOCS} THEN b.fence ELSE a.fence END)) AS f
+  SELECT o.lang, o.source, map(list(o.rate), list({slack} + {blended})) AS f
   FROM own o JOIN by_lang b ON o.lang IS NOT DISTINCT FROM b.lang AND o.rate = b.rate JOIN overall a ON o.rate = a.rate
   GROUP BY o.lang, o.source)
 SELECT r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed,

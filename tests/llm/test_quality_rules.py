@@ -44,6 +44,18 @@ def test_fences_follow_the_source_and_junk_goes(docs):
     assert all(kept[200 + i] for i in range(60))
 
 
+def test_fences_lean_on_wider_groups_by_their_counts(spark):
+    """Medians 40, 20, 10 with no spread: the blend by counts, whole numbers at each step."""
+    rows = [("en", "small", "capital_rate", 40, 10), ("en", "rest", "capital_rate", 20, 90), ("fr", "x", "capital_rate", 10, 900)]
+    sketch = spark.createDataFrame(rows, "lang string, source string, rate string, bucket long, n long")
+    found = {r.source: r.max_capital_rate - q.RATES["capital_rate"] for r in q.thresholds(sketch).collect()}
+    overall, by_lang = 10, {"en": 20, "fr": 10}
+    for lang, source, _, own, n in rows:
+        docs_of_lang = sum(r[4] for r in rows if r[0] == lang)
+        wider = (docs_of_lang * by_lang[lang] + q.PRIOR_DOCS * overall) // (docs_of_lang + q.PRIOR_DOCS)
+        assert found[source] == (n * own + q.PRIOR_DOCS * wider) // (n + q.PRIOR_DOCS)
+
+
 def test_defined_results(docs):
     rows = [(1, None), (2, ""), (3, "word " * 40), (4, CLEAN.format(1, 2) * 1), (4, CLEAN.format(1, 2) * 1), (None, CLEAN.format(3, 4))]
     found = q.judge_documents(docs(rows)).collect()
