@@ -55,7 +55,7 @@ CROWD = 64
 #: Sets whose sizes differ by less than this factor share a size class.
 CLASS = 1.06
 #: A shingle that makes up this share of all is looked up from a broadcast table, which so has as many rows at most.
-HOT_SHARE = 65536
+HOT_SHARE = 4096
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -187,8 +187,8 @@ def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int
     )
     size_class = "CAST(floor(ln({}) / " + repr(math.log(CLASS)) + ") AS INT)"
     own, least = size_class.format("n"), size_class.format(f"greatest(1, n * {threshold} div 100)")
-    met = ordered.select(
-        "node", "n", "shingles",
+    met = ordered.join(crowd, "node").select(
+        "node", "component", "n", "shingles",
         F.expr(
             f"inline(concat(array(struct({own} AS class, true AS smaller)),"
             f" transform(sequence({least}, {own}), c -> struct(c AS class, false AS smaller))))"
@@ -196,8 +196,8 @@ def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int
     )
     common = f"CAST(ceil({threshold} * (n + pow({CLASS}, class) * 0.999999) / {100 + threshold} - 0.000001) AS INT)"
     entries = staged(
-        met.select("node", "class", "smaller", F.expr(f"inline(slice(shingles, 1, greatest(0, CAST(n AS INT) - {common} + 1)))"))
-        .where("sets > 1").drop("sets").join(crowd, "node"),
+        met.select("node", "component", "class", "smaller", F.expr(f"inline(slice(shingles, 1, greatest(0, CAST(n AS INT) - {common} + 1)))"))
+        .where("sets > 1").drop("sets"),
         "crowd-entries",
     )
     key = ["class", "shingle"]
