@@ -54,7 +54,7 @@ MARGIN = 0.085
 CROWD = 64
 #: Sets whose sizes differ by less than this factor share a size class.
 CLASS = 1.06
-#: A shingle that makes up this share of all is looked up from a broadcast table, which so has as many rows at most.
+#: A shingle that makes up this share of all shared ones is known to every task; so there are as many at most.
 HOT_SHARE = 4096
 
 _RNG = np.random.default_rng(11)
@@ -153,16 +153,39 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle_words: int, threshold:
     return pairs.join(left, "u").join(right, "v").mapInPandas(run, "u long, v long")
 
 
-def shingle_rows(texts: DataFrame, shingle_words: int) -> DataFrame:
-    """One row per text and distinct shingle; ``version`` tells the texts of a repeated id apart."""
+def shingle_counts(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """(shingle, sets): in how many texts each shingle is, summed within tasks first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for node, shingles in zip(batch["doc_id"], shingle_sets(list(batch["text"]), shingle_words), strict=True):
-                version = int(mix(shingles).sum(dtype=np.uint64).view(np.int64))
-                yield pd.DataFrame({"node": node, "version": version, "n": len(shingles), "shingle": shingles.view(np.int64)})
+            for at in range(0, len(batch), _TEXTS):
+                together = np.concatenate(list(shingle_sets(list(batch["text"].iloc[at : at + _TEXTS]), shingle_words)))
+                shingles, sets = np.unique(together, return_counts=True)
+                yield pd.DataFrame({"shingle": shingles.view(np.int64), "sets": sets})
+
+    return texts.select("text").mapInPandas(run, "shingle long, sets long").groupBy("shingle").agg(F.sum("sets").alias("sets"))
 
-    return texts.select("doc_id", "text").mapInPandas(run, "node long, version long, n long, shingle long")
+
+def split_sets(texts: DataFrame, hot: np.ndarray, shingle_words: int) -> DataFrame:
+    """(node, version, n, cold, hot) of each text: the shingles that are not in ``hot``, and those that are, in its order.
+
+    ``version`` tells the texts of a repeated id apart.
+    """
+    order = np.argsort(hot)
+    known = hot[order]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), _TEXTS):
+                part, rows = batch.iloc[at : at + _TEXTS], []
+                for node, shingles in zip(part["doc_id"], shingle_sets(list(part["text"]), shingle_words), strict=True):
+                    version = int(mix(shingles).sum(dtype=np.uint64).view(np.int64))
+                    is_hot = np.isin(shingles, known, assume_unique=True)
+                    places = np.sort(order[np.searchsorted(known, shingles[is_hot])])
+                    rows.append((int(node), version, len(shingles), shingles[~is_hot].view(np.int64), hot[places].view(np.int64)))
+                yield pd.DataFrame(rows, columns=["node", "version", "n", "cold", "hot"])
+
+    return texts.select("doc_id", "text").mapInPandas(run, "node long, version long, n long, cold array<long>, hot array<long>")
 
 
 def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int, threshold: int) -> DataFrame:
@@ -173,22 +196,30 @@ def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int
     ``y - common + 1`` in any one order they share one; here the order is by the number of sets with the shingle. How many these
     are depends on the other's size, so sets are met by size class: once as the smaller one, in their own class,
     and once in each class in reach as the larger one.
+
+    Shingles of one set alone come first and name no pair, so only their number matters. The most frequent ones come last; they are told
+    where the text is read, so no row of them is joined to its count.
     """
-    rows = staged(shingle_rows(texts.join(crowd.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle_words), "crowd-shingles")
-    counts = staged(rows.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1"), "crowd-counts")
-    hot = counts.where(F.col("sets") * HOT_SHARE > rows.count())
-    near = rows.join(F.broadcast(hot), "shingle", "left")
-    cold = near.where("sets IS NULL").drop("sets").join(counts.join(F.broadcast(hot), "shingle", "left_anti"), "shingle", "left")
-    columns = ["node", "version", "n", "shingle", F.coalesce("sets", F.lit(1)).alias("sets")]
-    ordered = (
-        near.where("sets IS NOT NULL").select(*columns).union(cold.select(*columns))
-        .groupBy("node", "version", "n")
-        .agg(F.expr("array_sort(collect_set(struct(sets, shingle)))").alias("shingles"))
+    crowded = texts.join(crowd.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    counts = staged(shingle_counts(crowded, shingle_words).where("sets > 1"), "crowd-counts")
+    total = counts.agg(F.coalesce(F.sum("sets"), F.lit(0))).first()[0]
+    is_hot = F.col("sets") * HOT_SHARE > total
+    hot = np.array([row.shingle for row in counts.where(is_hot).orderBy("sets", "shingle").collect()], np.int64).view(np.uint64)
+    sets = staged(split_sets(crowded, hot, shingle_words), "crowd-sets")
+    shared = (
+        sets.select("node", "version", F.explode("cold").alias("shingle"))
+        .join(counts.where(~is_hot).hint("merge"), "shingle")
+        .groupBy("node", "version")
+        .agg(F.expr("array_sort(collect_set(struct(sets, shingle))).shingle").alias("shared"))
+    )
+    ordered = sets.join(shared, ["node", "version"], "left").select(
+        "node", "n", (F.size("cold") - F.coalesce(F.size("shared"), F.lit(0))).alias("alone"),
+        F.concat(F.coalesce("shared", F.array().cast("array<long>")), "hot").alias("shingles"),
     )
     size_class = "CAST(floor(ln({}) / " + repr(math.log(CLASS)) + ") AS INT)"
     own, least = size_class.format("n"), size_class.format(f"greatest(1, n * {threshold} div 100)")
     met = ordered.join(crowd, "node").select(
-        "node", "component", "n", "shingles",
+        "node", "component", "n", "alone", "shingles",
         F.expr(
             f"inline(concat(array(struct({own} AS class, true AS smaller)),"
             f" transform(sequence({least}, {own}), c -> struct(c AS class, false AS smaller))))"
@@ -196,8 +227,10 @@ def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int
     )
     common = f"CAST(ceil({threshold} * (n + pow({CLASS}, class) * 0.999999) / {100 + threshold} - 0.000001) AS INT)"
     entries = staged(
-        met.select("node", "component", "class", "smaller", F.expr(f"inline(slice(shingles, 1, greatest(0, CAST(n AS INT) - {common} + 1)))"))
-        .where("sets > 1").drop("sets"),
+        met.select(
+            "node", "component", "class", "smaller",
+            F.expr(f"explode(slice(shingles, 1, greatest(0, CAST(n AS INT) - {common} + 1 - alone)))").alias("shingle"),
+        ),
         "crowd-entries",
     )
     key = ["class", "shingle"]
