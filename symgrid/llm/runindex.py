@@ -15,8 +15,8 @@ marked, exactly. The work is cut into steps that each move little:
    smallest document of each.
 4. Each pack marks its windows and gives one row per document.
 
-An anchor of HOT documents or more is split: its windows go to the buckets of their own hashes, one by
-one. A pack sends an anchor, context or window once however many of its documents have it. Buckets are as many as the corpus needs to
+An anchor of HOT contexts or more, each counted once per pack, is split: its windows go to the buckets of their own hashes, one by
+one. So a block is never larger than BLOCK and HOT contexts of one anchor, even if a document repeats it many thousand times. A pack sends an anchor, context or window once however many of its documents have it. Buckets are as many as the corpus needs to
 keep each within a bounded size. Hashes choose what is compared; contexts and windows are told apart by
 64 more bits.
 
@@ -43,6 +43,8 @@ LENGTH = 50
 GRAM = 16
 PACK = 1 << 20
 HOT = 4096
+#: An anchor with as many occurrences in a pack has its different contexts counted; below, every occurrence counts as one.
+OFTEN = 8
 #: Anchors in a bucket, about, and bytes of an indexed block.
 BUCKET_ANCHORS = 1 << 18
 BLOCK = 1 << 18
@@ -150,6 +152,15 @@ class Pack:
         first[1:] = (place[order[1:]] != place[order[:-1]]) | (docs[1:] != docs[:-1])
         return unique, np.bincount(place[order[first]], minlength=len(unique)), place
 
+    def contexts(self, place: np.ndarray) -> np.ndarray:
+        """Of each distinct hash how many contexts it has, at most its occurrences."""
+        counts = np.bincount(place)
+        often = counts >= OFTEN
+        if often.any():
+            asked = self.questions(often.astype(np.uint8), place)
+            counts[often] = np.unique(asked["keys"], return_counts=True)[1]
+        return counts
+
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
@@ -237,9 +248,11 @@ def _send_anchors(packs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                unique, counts, _ = Pack.of(row).distinct()
-                counts = np.minimum(counts, HOT).astype(np.uint16)
-                rows = [(b, row.pack, _squeeze(unique[s:e], counts[s:e])) for b, s, e in _bounds(unique, buckets)]
+                pack = Pack.of(row)
+                unique, docs, place = pack.distinct()
+                docs = np.minimum(docs, 2).astype(np.uint8)
+                contexts = np.minimum(pack.contexts(place), HOT).astype(np.uint16)
+                rows = [(b, row.pack, _squeeze(unique[s:e], docs[s:e], contexts[s:e])) for b, s, e in _bounds(unique, buckets)]
                 yield pd.DataFrame(rows, columns=["bucket", "pack", "content"])
 
     return packs.mapInPandas(run, LETTERS)
@@ -250,8 +263,8 @@ def _answer_anchors(key: tuple, letters: pd.DataFrame) -> pd.DataFrame:
     opened = [_unsqueeze(content) for content in letters["content"]]
     hashes = np.concatenate([x[0] for x in opened])
     unique, place = np.unique(hashes, return_inverse=True)
-    docs = np.bincount(place, np.concatenate([x[1] for x in opened]))
-    state = np.where(docs >= HOT, 2, docs >= 2).astype(np.uint8)[place]
+    docs, contexts = (np.bincount(place, np.concatenate([x[k] for x in opened])) for k in (1, 2))
+    state = np.where(docs < 2, 0, np.where(contexts < HOT, 1, 2)).astype(np.uint8)[place]
     pieces = np.split(state, np.cumsum([len(x[0]) for x in opened])[:-1])
     rows = [(pack, 1, key[0], _squeeze(piece)) for pack, piece in zip(letters["pack"], pieces, strict=True)]
     return pd.DataFrame(rows, columns=["pack", "step", "bucket", "content"])

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from symgrid.llm import runindex
@@ -74,5 +75,36 @@ def test_index_of_repetitive_strings():
     assert index.least_owners(sizes).tolist() == want
 
 
+def packed(texts):
+    sizes = np.array([len(text) for text in texts])
+    return runindex.Pack(np.arange(len(texts)), sizes, np.frombuffer(b"".join(texts), np.uint8))
+
+
+def test_contexts_of_a_string_that_one_document_repeats():
+    rng = random.Random(3)
+    noise = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    mark = noise(40)
+    repeating = b"".join(mark + noise(24) for _ in range(500))
+    pack = packed([repeating, noise(40) + mark + noise(40), repeating])
+    unique, docs, place = pack.distinct()
+    asked = pack.questions(np.ones(len(unique), np.uint8), place)
+    want = np.unique(asked["keys"], return_counts=True)[1]
+    counts = pack.contexts(place)
+    often = np.bincount(place) >= runindex.OFTEN
+    assert often.any() and (counts[often] == want[often]).all() and (counts >= want).all()
+    assert counts.max() > 100 and docs.max() <= 3
+
+
+@pytest.mark.parametrize(("contexts", "state"), [([2000, 2000], 1), ([2000, 2096], 2)])
+def test_anchors_of_many_contexts_are_split(contexts, state):
+    hashes = np.array([7, 9], np.uint64)
+    one = np.ones(2, np.uint8)
+    content = [runindex._squeeze(hashes, one, np.array([n, 4096], np.uint16)) for n in contexts]
+    alone = runindex._squeeze(np.array([11], np.uint64), one[:1], np.array([4096], np.uint16))
+    letters = pd.DataFrame({"pack": [0, 1, 2], "content": [*content, alone]})
+    answers = [runindex._unsqueeze(x)[0].tolist() for x in runindex._answer_anchors((0,), letters)["content"]]
+    assert answers == [[state, 2], [state, 2], [0]]
+
+
 def test_empty_table(docs):
     assert runindex.repeated_passages(docs([])).collect() == []
