@@ -101,9 +101,10 @@ def _slide(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     """Least or greatest value of every ``width`` neighbours, by running ones from both ends of blocks."""
     ufunc = np.minimum if least else np.maximum
     rows = np.concatenate((values, np.full(-len(values) % width, values[-1]))).reshape(-1, width)
-    ahead = ufunc.accumulate(rows, axis=1).ravel()
-    behind = ufunc.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return ufunc(behind[: len(values) - width + 1], ahead[width - 1 : len(values)])
+    ahead = ufunc.accumulate(rows, axis=1).ravel()[width - 1 : len(values)]
+    back = rows[:, ::-1]
+    ufunc.accumulate(back, axis=1, out=back)
+    return ufunc(rows.ravel()[: len(ahead)], ahead, out=ahead)
 
 
 class Pack:
