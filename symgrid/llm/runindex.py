@@ -48,6 +48,8 @@ OFTEN = 8
 #: Anchors in a bucket, about, and bytes of an indexed block.
 BUCKET_ANCHORS = 1 << 18
 BLOCK = 1 << 18
+#: Buckets that a task answers, on average.
+AT_ONCE = 4
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -245,6 +247,11 @@ def packs_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, PACKS)
 
 
+def _by_bucket(letters: DataFrame, buckets: int):
+    """Letters grouped by bucket, in as many tasks as the buckets need, so that what a task reads does not grow with the corpus."""
+    return letters.repartition(1 + buckets // AT_ONCE, "bucket").groupBy("bucket")
+
+
 def _send_anchors(packs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -451,7 +458,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     packs = staged(packs_of(docs), "packs")
     total = packs.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = 1 + total * 2 // ((LENGTH - GRAM + 2) * BUCKET_ANCHORS)
-    replies = staged(_send_anchors(packs, buckets).groupBy("bucket").applyInPandas(_answer_anchors, REPLIES), "anchor-replies")
+    replies = staged(_by_bucket(_send_anchors(packs, buckets), buckets).applyInPandas(_answer_anchors, REPLIES), "anchor-replies")
     questions = packs.groupBy("pack").cogroup(replies.groupBy("pack")).applyInPandas(_ask(buckets), LETTERS)
-    answers = staged(questions.groupBy("bucket").applyInPandas(_answer_contexts, REPLIES), "context-replies")
+    answers = staged(_by_bucket(questions, buckets).applyInPandas(_answer_contexts, REPLIES), "context-replies")
     return packs.groupBy("pack").cogroup(replies.union(answers).groupBy("pack")).applyInPandas(_mark, RESULT)
