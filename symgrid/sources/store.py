@@ -287,8 +287,10 @@ class SymbolStore:
         if parts > 1:
             # A scalar subquery of the same plan: the driver does not see the keys drawn.
             ranged = records.withColumn("ranges", self._ranges(records, order, parts, rows).scalar()).select("*", "ranges.*")
-            records = with_range(ranged, "part", order, "bounds", parts - 1)
-            starts = (F.col("part") == 0) | F.get("starts", F.col("part") - 1)
+            ranged = with_range(ranged, "part", order, "bounds", parts - 1)
+            # Told before the records move, or each would carry a list as long as there are parts.
+            at_start = (F.col("part") == 0) | F.get("starts", F.col("part") - 1)
+            records, starts = ranged.select(*records.columns, at_start.alias("at_start")), F.col("at_start")
         in_order = Window.partitionBy("part").orderBy(*order)
         placed = (
             records.repartitionById(parts, F.col("part"))
@@ -314,7 +316,8 @@ class SymbolStore:
         """
         drawn = min(parts * self.KEYS_PER_PART, self.KEYS_DRAWN)
         few = records.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(max(1, rows // drawn))) == 0)
-        keys = few.agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*order)))).alias("keys"))
+        # array_distinct compares structs pair by pair; a set is hashed.
+        keys = few.agg(F.sort_array(F.collect_set(F.struct(*order))).alias("keys"))
         places = F.sequence(F.lit(1), F.lit(parts - 1))
         at = F.transform(places, lambda i: F.floor(i * F.size("keys") / parts).cast("int"))
         chosen = keys.select(F.transform(F.filter(F.array_distinct(at), lambda i: i > 0), lambda i: F.get("keys", i)).alias("keys"))

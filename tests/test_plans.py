@@ -92,6 +92,17 @@ def test_write_shuffles_records_once(spark, store):
     assert tree.count("Exchange") == 1 and tree.count("Sort") == 1 and tree.count("Window") == 1 and "Join" not in tree
 
 
+def test_write_moves_records_without_the_list_of_ranges(spark, store):
+    """A record takes along its part and whether it may start a label, not an array as long as there are parts; drawn keys are a set."""
+    df = spark.range(1000).select(F.col("id").alias("c"), (F.col("id") % 3).alias("a"), F.lit(1.0).alias("v"))
+    container = sg.SymbolSet(spark)
+    meta = replace(container.register(df, "w", "Parameter", ["a", "c"], "v"), folder="test")
+    text = plan(store._in_stored_order(container.records(meta), meta, 4, 1000))
+    moved = re.search(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text).group(1)
+    assert "at_start#" in moved and "starts#" not in moved and "bounds#" not in moved
+    assert "collect_set(" in text and "array_distinct(collect_list(" not in text
+
+
 def test_filter_prunes_partitions_by_the_whole_key(spark, store):
     text = plan(sg.read_symbol(spark, store, "x", {"a": "hot", "b": "3"}))
     assert re.search(r"PartitionFilters: .*part#\d+ >= \d+.*part#\d+ <= \d+", text) and "Join" not in text
