@@ -6,14 +6,15 @@ Layout under the store's path, a folder of its own for every write::
     staging/<symbol>/<folder>/      the source as it was evaluated, once; removed after the write
     records/<symbol>/<folder>/      part (a partition column), pos, key_1 .. key_n, first_of_run (n > 1), values
     parts/<symbol>/<folder>/        part, rows, first_row, low, high: one JSON file
-    domains/<symbol>/<folder>/      dim_index (a partition column), value, parts: where each label occurs
+    places/<symbol>/<folder>/       dim_index (a partition column), value, part, first, last, is_lead: where each label occurs
 
 ``part`` is the range of whole keys a record was written to and ``pos`` its place in it,
 so ``(part, pos)`` is the stored order. ``parts`` has one row per part. It turns a row
 number into such a pair, which gives every record a position without a second write of
 the data and lets a deep page be read as a pushed-down range; and it holds the range of whole keys
-of each part, by which a filter on the first dimensions prunes partitions. ``domains`` is the index of all others: for each
-label of each dimension the parts that hold it, with its first and last place in each. A
+of each part, by which a filter on the first dimensions prunes partitions. ``places`` is the index of all others: for each
+label of each dimension the parts that hold it, with its first and last place in each block of records that a task of the index
+pass had at once; one row of each label leads. A
 symbol becomes visible by the catalog entry added last: a failed write leaves the old revision
 in place, readers of the old revision are not disturbed, and of two writers at once the
 later one counts, or fails if it was not to overwrite.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from symgrid.functions.naming import VALUE_COLUMNS, type_name
+from symgrid.functions.places import label_places
 from symgrid.functions.records import distinct_labels, order_columns, ranked_dimensions, to_records
 from symgrid.functions.values import fail_when, same_label
 from symgrid.model import CATALOG_DDL, SymbolMeta, checked_labels
@@ -47,7 +49,8 @@ from symgrid.sources.shared import remove_folder
 # Sorted keys and running positions shrink to about half with these, at no cost in time.
 _ENCODING = {"compression": "zstd", "parquet.writer.version": "v2"}
 _PARTS_DDL = "part int, rows bigint, first_row bigint, low array<string>, high array<string>"
-_DOMAINS_DDL = "dim_index int, value string, parts array<struct<part: int, first: bigint, last: bigint>>"
+_PLACES_DDL = "dim_index int, value string, part int, first bigint, last bigint, is_lead boolean"
+_FOUND_DDL = "dim_index int, value string, part int, first bigint, last bigint, rows bigint"
 
 # Symbol lists already loaded, by application and store path. Like the catalog itself
 # they hold one entry per symbol; a write or preload(force_reload=True) drops them.
@@ -66,6 +69,8 @@ class SymbolStore:
     # Keys drawn per part to choose the ranges by, and of all parts together.
     KEYS_PER_PART = 100
     KEYS_DRAWN = 1_000_000
+    # Records whose labels a task looks up at once as the index is built.
+    INDEX_ROWS = 1 << 19
     # Rows of a filtered page are counted by blocks of so many places to find its ends, or more places if it takes more blocks.
     BLOCK_ROWS = 1 << 14
     BLOCKS = 1_000_000
@@ -255,7 +260,7 @@ class SymbolStore:
             added = self._log.commit(entry)
         except ValueError:
             if meta.folder:
-                for table in ("records", "parts", "domains"):
+                for table in ("records", "parts", "places"):
                     remove_folder(self.spark, self._dir(table, meta))
             raise
         _loaded.pop(self._cache_key, None)
@@ -356,10 +361,10 @@ class SymbolStore:
         Files(self.spark, folder).write(f"{folder}/parts.json", "".join(json.dumps(line) + "\n" for line in lines))
 
     def _write_domains(self, meta: SymbolMeta, rows: int, breaks: int, build: bool) -> None:
-        """Distinct labels of all dimensions with the parts they are in, from one pass over the stored keys.
+        """Labels of all dimensions with the parts they are in, from one pass over the stored keys and one exchange.
 
-        That pass counts what is on disk, which must be what was staged, with a mark for each first label. The places of a label
-        are at most one for each part.
+        That pass counts what is on disk, which must be what was staged, with a mark for each first label. Tasks find the places of
+        labels by blocks of the records they read, so a label that many records share moves once per block.
         """
         records = self.records(meta)
         wrong = f"Stored positions of symbol '{meta.name}' are not those of its records"
@@ -367,25 +372,17 @@ class SymbolStore:
             if records.count() != rows:
                 raise RuntimeError(wrong)
             return
-        positions = [str(i) for i in range(1, meta.dimension_count + 1)]
-        keys = [F.col(key).alias(position) for key, position in zip(meta.keys, positions, strict=True)]
-        places = (
-            records.select("part", "pos", *keys)
-            .unpivot(["part", "pos"], positions, "dim_index", "value")
-            .groupBy(F.col("dim_index").cast("int").alias("dim_index"), "value", "part")
-            .agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count(F.lit(1)).alias("rows"))
-        )
-        labels = places.groupBy("dim_index", "value").agg(
-            F.array_sort(F.collect_list(F.struct("part", "first", "last"))).alias("parts"), F.sum("rows").alias("rows")
-        )
+        found = records.select("part", "pos", *meta.keys).mapInArrow(label_places(meta.keys, self.INDEX_ROWS), _FOUND_DDL)
+        of_label = Window.partitionBy("dim_index", "value").orderBy("part", "first")
+        led = found.repartition("dim_index", "value").withColumn("is_lead", F.row_number().over(of_label) == 1)
         stored = Observation()
-        counted = labels.observe(
+        counted = led.observe(
             stored,
             F.sum(F.when(F.col("dim_index") == 1, F.col("rows"))).alias("rows"),
-            F.count_if(F.col("dim_index") == 1).alias("labels"),
+            F.count_if((F.col("dim_index") == 1) & F.col("is_lead")).alias("labels"),
         )
-        sorted_labels = counted.drop("rows").sortWithinPartitions("dim_index", "value")
-        sorted_labels.write.partitionBy("dim_index").options(**_ENCODING).parquet(self._dir("domains", meta))
+        sorted_places = counted.drop("rows").sortWithinPartitions("dim_index", "value", "part", "first")
+        sorted_places.write.partitionBy("dim_index").options(**_ENCODING).parquet(self._dir("places", meta))
         if (stored.get["rows"] or 0) != rows:
             raise RuntimeError(wrong)
         if breaks != stored.get["labels"]:
@@ -443,13 +440,13 @@ class SymbolStore:
     def _indexed(index: DataFrame, filters: Sequence[tuple[int, str]], ignore_case: bool) -> DataFrame:
         """Parts that hold all these labels, where their places overlap. Broadcast: a row is a part of the symbol."""
         conditions = [(F.col("dim_index") == position + 1) & same_label(F.col("value"), label, ignore_case) for position, label in filters]
-        places = index.where(reduce(or_, conditions)).select("dim_index", F.inline("parts"))
-        if ignore_case:
-            # The spellings of a label count as one.
-            places = places.groupBy("dim_index", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        if len(filters) > 1 or ignore_case:
-            both = places.groupBy("part").agg(F.count(F.lit(1)).alias("found"), F.max("first").alias("first"), F.min("last").alias("last"))
-            places = both.where((F.col("found") == len(filters)) & (F.col("first") <= F.col("last")))
+        places = index.where(reduce(or_, conditions)).select("dim_index", "part", "first", "last")
+        if len(filters) == 1:
+            return F.broadcast(places.select("part").distinct())
+        # The spellings of a label count as one, as do its blocks in a part.
+        places = places.groupBy("dim_index", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        both = places.groupBy("part").agg(F.count(F.lit(1)).alias("found"), F.max("first").alias("first"), F.min("last").alias("last"))
+        places = both.where((F.col("found") == len(filters)) & (F.col("first") <= F.col("last")))
         return F.broadcast(places.select("part"))
 
     def parts(self, meta: SymbolMeta) -> DataFrame:
@@ -470,17 +467,17 @@ class SymbolStore:
         index = self._index(meta)
         if index is None:
             return self.records(meta).select(F.col(meta.keys[position]).alias("value")).distinct()
-        return index.where(F.col("dim_index") == position + 1).select("value")
+        return index.where((F.col("dim_index") == position + 1) & F.col("is_lead")).select("value")
 
     def all_labels(self, meta: SymbolMeta) -> DataFrame:
         """Distinct labels of all dimensions: ``dim_index`` (1-based), ``value``."""
         index = self._index(meta)
-        return distinct_labels(self.records(meta), meta.keys) if index is None else index.select("dim_index", "value")
+        return distinct_labels(self.records(meta), meta.keys) if index is None else index.where("is_lead").select("dim_index", "value")
 
     def _index(self, meta: SymbolMeta) -> DataFrame | None:
-        """The domains table, if the symbol was written with it."""
+        """The places of labels, if the symbol was written with them."""
         try:
-            return self.spark.read.schema(_DOMAINS_DDL).parquet(self._dir("domains", meta))
+            return self.spark.read.schema(_PLACES_DDL).parquet(self._dir("places", meta))
         except AnalysisException:
             return None
 

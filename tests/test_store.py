@@ -315,6 +315,18 @@ def test_index_prunes_by_later_dimensions(spark, tmp_path):
     assert len(shown.collect()) == 1000 and files_read(shown) <= 4
 
 
+def test_index_of_many_blocks(spark, tmp_path, monkeypatch):
+    """A label that a part holds in many blocks is one label, and filters find all of its records."""
+    monkeypatch.setattr(SymbolStore, "INDEX_ROWS", 16)
+    df = spark.range(600).selectExpr("format_string('%03d', id) AS i", "concat('j', id % 3) AS j", "concat('k', id div 100) AS k", "CAST(id AS DOUBLE) AS v")
+    store = SymbolStore(spark, str(tmp_path / "m"))
+    meta = store.write(df, "p", "Parameter", ["i", "j", "k"], "v", num_partitions=2)
+    assert dict(store.all_labels(meta).groupBy("dim_index").count().collect()) == {1: 600, 2: 3, 3: 6}
+    for filters, want in (({"dim_2": "j1", "dim_3": "k5"}, range(502, 600, 3)), ({"dim_2": "j0"}, range(0, 600, 3)), ({"dim_2": "j0", "dim_3": "none"}, [])):
+        found = sg.read_symbol(spark, store, "p", filters).collect()
+        assert sorted(row.value for row in found) == [float(v) for v in want]
+
+
 def test_ranges_of_many_parts(spark, tmp_path):
     """Parts of about one size, a hot first label cut into several, labels and marks right at every border."""
     path = str(tmp_path / "m")
