@@ -3,10 +3,10 @@
 Every byte covered by a LENGTH-byte string that also starts in a document with a smaller id is
 marked, exactly. The work is cut into steps that each move little:
 
-1. Texts are bundled into packs of about PACK bytes, compressed.
-2. Anchors: in every window of LENGTH bytes the GRAM-byte gram of least hash is an anchor, so equal
-   windows have equal anchors. Each pack sends the hashes of its anchors once to the bucket of their hash,
-   which answers which of them other documents have too.
+1. Texts are bundled into packs of about PACK bytes, compressed, with their anchors: in every window of LENGTH
+   bytes the GRAM-byte gram of least hash is one, so equal windows have equal anchors.
+2. Each pack sends the hashes of its anchors once to the bucket of their hash, which answers which of them other
+   documents have too. Least hashes are small ones, so buckets go by a second hash, of which they get equal shares.
 3. For those, a pack sends the context (the windows that an anchor is least in) with the smallest document that has it. Where all
    contexts of an anchor are equal, the smallest document is the answer for all its windows. Where they differ,
    they repeat each other in part: a block of such contexts is indexed by a run-compressed
@@ -46,10 +46,10 @@ HOT = 4096
 #: An anchor with as many occurrences in a pack has its different contexts counted; below, every occurrence counts as one.
 OFTEN = 8
 #: Anchors in a bucket, about, and bytes of an indexed block.
-BUCKET_ANCHORS = 1 << 18
+BUCKET_ANCHORS = 1 << 19
 BLOCK = 1 << 18
 #: Buckets that a task answers, on average.
-AT_ONCE = 4
+AT_ONCE = 2
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -57,16 +57,26 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 _NONE = np.iinfo(np.int64).max
 
-PACKS = "pack long, n_bytes long, doc_ids binary, lengths binary, data binary"
+PACKS = "pack long, n_bytes long, doc_ids binary, lengths binary, data binary, anchors binary"
 LETTERS = "bucket long, pack long, content binary"
 REPLIES = "pack long, step int, bucket long, content binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
 
 
+_held_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, count: int) -> np.ndarray:
+    """Powers of ``base`` from 0 on; those for packs of usual size are computed once in a process."""
+    held = _held_powers.get(base)
+    if held is not None and len(held) >= count:
+        return held[:count]
     steps = np.full(count, base, np.uint64)
     steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    powers = np.cumprod(steps, dtype=np.uint64)
+    if count <= 2 * PACK:
+        _held_powers[base] = powers
+    return powers
 
 
 def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
@@ -110,41 +120,68 @@ def _slide(values: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 
 class Pack:
-    """The texts of a pack in a row, and their anchors."""
+    """The texts of a pack in a row, and their anchors with the first and last window that each is least in."""
 
-    def __init__(self, doc_ids: np.ndarray, lengths: np.ndarray, data: np.ndarray):
+    def __init__(self, doc_ids: np.ndarray, lengths: np.ndarray, data: np.ndarray, anchors: list[np.ndarray] | None = None):
         self.doc_ids, self.data = doc_ids, data
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
-        width = LENGTH - GRAM + 1
         n = len(data)
-        self.anchors = np.zeros(0, np.int64)
-        self.hashes = np.zeros(0, np.uint64)
-        if n < LENGTH:
-            return
         self.inverse = _powers(_INVERSE, n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTES[data] * _powers(_BASE, n), dtype=np.uint64, out=self.sums[1:])
+        self.anchors, self.first, self.last = self._found(lengths) if anchors is None else anchors
+        at = self.anchors
+        grams = mix((self.sums[at + GRAM] - self.sums[at]) * self.inverse[at]) | _U(1)
+        # The least of many hashes are small ones, which would fill the first buckets: anchors go by a hash of the hash.
+        self.hashes = mix(grams ^ _U(0x3C3C3C3C3C3C3C3C))
+
+    def _found(self, lengths: np.ndarray) -> list[np.ndarray]:
+        width = LENGTH - GRAM + 1
+        n = len(self.data)
+        if n < LENGTH:
+            return [np.zeros(0, np.int64)] * 3
         grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * self.inverse[: n - GRAM + 1]) | _U(1)
         inside = np.zeros(n + 1, np.int32)
         long = lengths >= LENGTH
         np.add.at(inside, self.starts[long], 1)
         np.add.at(inside, self.ends[long] - LENGTH + 1, -1)
         inside = np.cumsum(inside)[: n - LENGTH + 1] > 0
-        self.least = _slide(grams, width, True) * inside
+        least = _slide(grams, width, True) * inside
         edge = np.zeros(width - 1, np.uint64)
-        self.anchors = np.flatnonzero(_slide(np.concatenate((edge, self.least, edge)), width, False) == grams)
-        self.hashes = grams[self.anchors]
+        anchors = np.flatnonzero(_slide(np.concatenate((edge, least, edge)), width, False) == grams)
+        # The windows that an anchor is least in are side by side: those with it in the first run of its hash.
+        runs = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+        values, ends = least[runs], np.append(runs[1:], len(least)) - 1
+        hashes = grams[anchors]
+        run = np.searchsorted(runs, np.maximum(anchors - width + 1, 0), side="right") - 1
+        behind = np.flatnonzero(values[run] != hashes)
+        while len(behind):
+            run[behind] += 1
+            behind = behind[values[run[behind]] != hashes[behind]]
+        return [anchors, np.maximum(runs[run], anchors - width + 1), np.minimum(ends[run], anchors)]
 
     @classmethod
     def of(cls, row) -> Pack:
         data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.data), np.uint8)
-        return cls(np.frombuffer(row.doc_ids, np.int64), np.frombuffer(row.lengths, np.int64), data)
+        gaps, before, after = _unsqueeze(row.anchors)
+        anchors = np.cumsum(gaps, dtype=np.int64)
+        found = [anchors, anchors - before, anchors - after]
+        return cls(np.frombuffer(row.doc_ids, np.int64), np.frombuffer(row.lengths, np.int64), data, found)
+
+    def found_anchors(self) -> bytes:
+        """The anchors as ``of`` reads them: gaps, and how far before them their first and last windows start."""
+        gaps = np.diff(self.anchors, prepend=0).astype(np.uint32)
+        return _squeeze(gaps, (self.anchors - self.first).astype(np.uint8), (self.anchors - self.last).astype(np.uint8))
 
     def docs_of(self, places: np.ndarray) -> np.ndarray:
         """Index of the document at each place."""
         return np.searchsorted(self.ends, places, side="right")
 
+    def places(self) -> np.ndarray:
+        """Of each anchor its hash's place among the distinct ones."""
+        return np.unique(self.hashes, return_inverse=True)[1]
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes, sorted; in how many documents each is; of each anchor its hash's place among them."""
         unique, place = np.unique(self.hashes, return_inverse=True)
@@ -172,22 +209,10 @@ class Pack:
 
         A shared anchor (state 1) asks for all windows it is least in at once, a hot one (state 2) for each alone.
         """
-        width = LENGTH - GRAM + 1
         wanted = state[place]
-        at = self.anchors[wanted > 0]
-        hashes, hot = self.hashes[wanted > 0], wanted[wanted > 0] == 2
-        if not len(at):
-            empty = np.zeros(0, np.int64)
-            return empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
-        back = np.arange(width)
-        first, last = np.full(len(at), -1), np.full(len(at), -1)
-        for low in range(0, len(at), 1 << 14):
-            part = slice(low, low + (1 << 14))
-            starts = at[part, None] - back
-            own = (starts >= 0) & (starts < len(self.least))
-            own &= self.least[np.clip(starts, 0, len(self.least) - 1)] == hashes[part, None]
-            last[part] = at[part] - own.argmax(axis=1)
-            first[part] = at[part] - (width - 1 - own[:, ::-1].argmax(axis=1))
+        chosen = wanted > 0
+        hashes, hot = self.hashes[chosen], wanted[chosen] == 2
+        first, last = self.first[chosen], self.last[chosen]
         whole = ~hot
         counts = (last - first + 1)[hot]
         each = _ranges(first[hot], counts)
@@ -232,7 +257,9 @@ def packs_of(docs: DataFrame) -> DataFrame:
             ids = np.array([doc_id for doc_id, _ in held], np.int64).tobytes()
             lengths = np.array([len(text) for _, text in held], np.int64).tobytes()
             packed = zstandard.ZstdCompressor(level=3).compress(data)
-            return pd.DataFrame([(number, len(data), ids, lengths, packed)], columns=["pack", "n_bytes", "doc_ids", "lengths", "data"])
+            anchors = Pack(np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64), np.frombuffer(data, np.uint8)).found_anchors()
+            columns = ["pack", "n_bytes", "doc_ids", "lengths", "data", "anchors"]
+            return pd.DataFrame([(number, len(data), ids, lengths, packed, anchors)], columns=columns)
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("object"), batch["text"], strict=True):
@@ -288,8 +315,7 @@ def _ask(buckets: int):
         rows = []
         for row in packs.itertuples():
             pack = Pack.of(row)
-            _, _, place = pack.distinct()
-            asked = pack.questions(_states(replies), place)
+            asked = pack.questions(_states(replies), pack.places())
             for bucket, s, e in _bounds(asked["keys"], buckets):
                 chosen = asked["asked"][s:e]
                 lows, highs = asked["lows"][chosen], asked["highs"][chosen]
@@ -312,17 +338,18 @@ class RunIndex:
         symbols = joined.astype(np.int64) + 1
         symbols[self.last] = 0
         n = len(symbols)
-        rank, depth, at_28 = self._first_ranks(symbols), 7, None
-        while depth < 28 or rank.max(initial=0) < n - 1:
-            rank, depth = self._paired(rank, depth), 2 * depth
-            if depth == 28:
-                at_28 = rank
+        rank = self._first_ranks(symbols)
+        tied = self._refine(rank, np.arange(n), 7)
+        at_21, depth = rank.copy(), 21
+        while len(tied):
+            tied, depth = self._refine(rank, tied, depth), 3 * depth
         self.order = np.empty(n, np.int64)
         self.order[rank] = np.arange(n)
         before = np.where(self.order > 0, symbols[self.order - 1], -1)
         self.run_starts = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
         heads = before[self.run_starts]
         run_ends = np.append(self.run_starts[1:], n)
+        self.run_of = np.repeat(np.arange(len(heads)), run_ends - self.run_starts)
         self.samples = self.order[run_ends - 1]
         by_head = np.argsort(heads, kind="stable")
         lengths = (run_ends - self.run_starts)[by_head]
@@ -331,10 +358,16 @@ class RunIndex:
         self.targets = np.empty(len(heads), np.int64)
         self.targets[by_head] = np.cumsum(lengths) - lengths
         self.separator_rows = rank[self.last]
-        window = self._paired(at_28, LENGTH - 28)[self.order]
-        self.group_starts = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+        # Rows with LENGTH symbols in common are side by side, and three ranks of 21 symbols tell whether two have.
+        at_21 = np.concatenate((at_21 + 1, np.zeros(LENGTH - 21, np.int64)))
+        new = np.zeros(n, bool)
+        new[:1] = True
+        for ahead in (0, 21, LENGTH - 21):
+            part = at_21[self.order + ahead]
+            new[1:] |= part[1:] != part[:-1]
+        self.group_of = np.cumsum(new) - 1
         owner = np.repeat(owners, sizes + 1)
-        self.group_least = np.minimum.reduceat(owner[self.order], self.group_starts)
+        self.group_least = np.minimum.reduceat(owner[self.order], np.flatnonzero(new))
         del self.order
 
     @staticmethod
@@ -343,19 +376,30 @@ class RunIndex:
         key = np.zeros(len(symbols), np.int64)
         for k in range(7):
             key = key << 9 | padded[k : k + len(symbols)]
-        return np.unique(key, return_inverse=True)[1]
+        _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+        return (np.cumsum(counts) - counts)[inverse]
 
     @staticmethod
-    def _paired(rank: np.ndarray, ahead: int) -> np.ndarray:
-        """Ranks of strings twice as deep, or as deep as ``ahead`` and the second of the pair reach."""
+    def _refine(rank: np.ndarray, tied: np.ndarray, depth: int) -> np.ndarray:
+        """Make the ranks of tied strings those of strings three times as deep, and tell which are still tied.
+
+        A rank is the number of strings before it and its equals. Three ranks fit 63 bits: a block has less than a million symbols.
+        """
         n = len(rank)
-        second = np.zeros(n, np.int64)
-        second[: max(0, n - ahead)] = rank[ahead:] + 1
-        return np.unique(rank * (n + 1) + second, return_inverse=True)[1]
+        after = np.concatenate((rank + 1, np.zeros(2 * depth, np.int64)))
+        keys = ((after[tied] - 1) * (n + 1) + after[tied + depth]) * (n + 1) + after[tied + 2 * depth]
+        order = np.argsort(keys)
+        keys, tied = keys[order], tied[order]
+        before, new, at = rank[tied], np.ones(len(tied), bool), np.arange(len(tied))
+        new[1:] = before[1:] != before[:-1]
+        place = before + at - np.maximum.accumulate(np.where(new, at, 0))
+        new[1:] = keys[1:] != keys[:-1]
+        rank[tied] = np.maximum.accumulate(np.where(new, place, 0))
+        return tied[~(new & np.append(new[1:], True))]
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """Rows of the strings one symbol longer to the left."""
-        run = np.searchsorted(self.run_starts, rows, side="right") - 1
+        run = self.run_of[rows]
         return self.targets[run] + rows - self.run_starts[run]
 
     def least_owners(self, sizes: np.ndarray) -> np.ndarray:
@@ -368,8 +412,7 @@ class RunIndex:
             keep = sizes[live] >= matched
             live, rows = live[keep], self.step(rows[keep])
             if matched >= LENGTH:
-                groups = np.searchsorted(self.group_starts, rows, side="right") - 1
-                found[after[live] - matched] = self.group_least[groups]
+                found[after[live] - matched] = self.group_least[self.group_of[rows]]
         return found
 
 
@@ -425,10 +468,9 @@ def _mark(packs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for row in packs.itertuples():
         pack = Pack.of(row)
-        _, _, place = pack.distinct()
-        asked = pack.questions(_states(replies), place)
+        asked = pack.questions(_states(replies), pack.places())
         opened = [_unsqueeze(x) for x in replies[replies["step"] == 2].sort_values("bucket")["content"]]
-        cover = np.zeros(len(pack.data) + 1, np.int32)
+        started = np.zeros(len(pack.data) + 1, np.int8)
         if opened:
             counts = np.concatenate([x[0] for x in opened]).astype(np.int64)
             values = np.concatenate([x[1] for x in opened])
@@ -440,9 +482,10 @@ def _mark(packs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
             asks = np.repeat(question, widths)
             least = values[offsets[asks] + np.where(counts[asks] > 1, within, 0)]
             starts = starts[least < pack.doc_ids[pack.docs_of(starts)]]
-            np.add.at(cover, starts, 1)
-            np.add.at(cover, starts + LENGTH, -1)
-        gone = np.cumsum(cover)[:-1] > 0
+            started[starts] = 1
+        change = started.copy()
+        change[LENGTH:] -= started[:-LENGTH]
+        gone = np.cumsum(change, dtype=np.int32)[:-1] > 0
         for doc_id, start, end in zip(pack.doc_ids, pack.starts, pack.ends, strict=True):
             own = gone[start:end]
             edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8)))

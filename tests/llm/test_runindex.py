@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 
 from symgrid.llm import runindex
 
@@ -95,6 +96,35 @@ def test_contexts_of_a_string_that_one_document_repeats():
     assert counts.max() > 100 and docs.max() <= 3
 
 
+def test_buckets_get_equal_shares_of_anchors():
+    pack = packed([bytes(random.Random(4).choices(range(97, 123), k=200_000))])
+    unique, _, place = pack.distinct()
+    asked = pack.questions(np.ones(len(unique), np.uint8), place)
+    for keys in (unique, asked["keys"]):
+        shares = [end - start for _, start, end in runindex._bounds(keys, 20)]
+        assert len(shares) == 20 and max(shares) < 1.5 * len(keys) / 20
+
+
+def test_anchors_are_kept_with_their_pack():
+    rng = random.Random(5)
+    noise = lambda n: bytes(rng.choices(b"ab ", k=n))
+    texts = [noise(rng.randrange(0, 200)) for _ in range(60)] + [b"x" * 300, b"xy" * 90, b"", b"z" * 49]
+    pack = packed(texts)
+    row = pd.Series({
+        "doc_ids": pack.doc_ids.tobytes(), "lengths": np.array([len(text) for text in texts]).tobytes(),
+        "data": zstandard.compress(b"".join(texts)), "anchors": pack.found_anchors(),
+    })
+    again = runindex.Pack.of(row)
+    grams = lambda s: [bytes(pack.data[k : k + runindex.GRAM]) for k in range(s, s + runindex.LENGTH - runindex.GRAM + 1)]
+    owned = {int(s) for a, b in zip(pack.first, pack.last, strict=True) for s in range(a, b + 1)}
+    assert owned == {s + k for s, e in zip(pack.starts, pack.ends, strict=True) for k in range(e - s - 49)}
+    for at, first, last in zip(pack.anchors, pack.first, pack.last, strict=True):
+        gram = bytes(pack.data[at : at + runindex.GRAM])
+        assert first <= last and all(gram in grams(s) for s in range(first, last + 1))
+    for name in ("anchors", "first", "last", "hashes"):
+        assert (getattr(again, name) == getattr(pack, name)).all(), name
+
+
 @pytest.mark.parametrize(("contexts", "state"), [([2000, 2000], 1), ([2000, 2096], 2)])
 def test_anchors_of_many_contexts_are_split(contexts, state):
     hashes = np.array([7, 9], np.uint64)
