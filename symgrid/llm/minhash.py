@@ -56,6 +56,8 @@ CROWD = 64
 CLASS = 1.06
 #: A shingle that makes up this share of all shared ones is known to every task; so there are as many at most.
 HOT_SHARE = 4096
+#: Bits of a bitmap of ids: 4 MB.
+ID_BITS = 1 << 25
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -247,6 +249,22 @@ def sharing_rare_shingles(texts: DataFrame, crowd: DataFrame, shingle_words: int
     return outside.union(inside.select(outside.columns)).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def parted(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose ``doc_id`` may be among those of ``ids``: all that are, and a few others; and the rows left.
+
+    Tasks look ids up in a bitmap of fixed size, so the texts that need no look are not moved to find the others. Where it is full,
+    more rows come to the exact join that follows.
+    """
+    place = F.xxhash64(F.col("doc_id").cast("long")).bitwiseAND(F.lit(ID_BITS - 1)) + 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bits = staged(ids.groupBy(bucket.alias("_id_bucket")).agg(F.bitmap_construct_agg(bit).alias("_id_bits")), "id-bits")
+    byte = F.conv(F.hex(F.substring("_id_bits", (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    among = F.coalesce(F.bit_get(byte, bit % 8) == 1, F.lit(False))
+    marked = docs.join(F.broadcast(bits), bucket == F.col("_id_bucket"), "left")
+    columns = [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]
+    return marked.where(among).select(columns), marked.where(~among).select(columns)
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     prints = staged(fingerprints(docs, shingle_words), "fingerprints")
@@ -261,9 +279,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     banded = nodes.select("node", F.expr(f"inline(transform(bands, (b, i) -> {entry}))"))
     shared = banded.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
     members = staged(banded.join(shared.select("band", "center"), "band"), "band-members")
-    texts = staged(
-        docs.select("doc_id", "text").join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"), "candidate-texts"
-    )
+    candidates = members.select(F.col("node").alias("doc_id")).distinct()
+    among, _ = parted(docs.select("doc_id", "text"), candidates)
+    texts = staged(among.join(candidates, "doc_id", "left_semi"), "candidate-texts")
 
     coarse = members.where("center < node").groupBy("node").agg(F.min("center").alias("v")).select(F.col("node").alias("u"), "v")
     closer = members.groupBy("pair").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last")
@@ -338,10 +356,13 @@ def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold:
     """
     judged = staged(near_duplicates(docs, shingle_words, threshold).select("doc_id", "kept"), "near-duplicates")
     columns = [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]
-    kept = docs.join(judged.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(columns)
+    gone = judged.where("NOT kept").select("doc_id").distinct()
+    among, others = parted(docs, gone)
+    kept = others.union(among.join(gone, "doc_id", "left_anti").select(columns))
     repeated = judged.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id"))
     if not repeated.head(1):
         return kept
+    among, others = parted(kept, repeated.select(F.col("repeated_id").alias("doc_id")))
     several = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
-    once = kept.join(repeated, several, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, several, "left_anti").union(once)
+    once = among.join(repeated, several, "left_semi").dropDuplicates(["doc_id", "text"])
+    return others.union(among.join(repeated, several, "left_anti")).union(once)

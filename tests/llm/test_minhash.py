@@ -141,6 +141,36 @@ def test_stage_leaves_one_of_repeated_rows(spark, docs):
     )
 
 
+@pytest.mark.parametrize("bits", [1 << 25, 1 << 15, 8])
+def test_bitmaps_of_any_size_lose_nothing(docs, monkeypatch, bits):
+    monkeypatch.setattr(minhash, "ID_BITS", bits)
+    words = [f"w{n}" for n in range(200)]
+    rows = [(n, " ".join(random.Random(100 + n // 2).sample(words, 40))) for n in range(-60, 60)]
+    rows += [(7, "a text of its own"), (7, "a text of its own"), (9, "one more text"), (None, "none"), (None, "none"), (70, None)]
+    left = minhash.without_near_duplicates(docs(rows)).collect()
+    want = [(n, text) for n, text in rows if n not in (None, 7, 9) and (n % 2 == 0 or text is None)] + [(None, "none")]
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in left) == sorted((n is None, n, text) for n, text in want)
+
+
+def test_only_texts_that_may_repeat_are_joined(docs, monkeypatch):
+    words = [f"w{n}" for n in range(500)]
+    rows = [(n, " ".join(random.Random(n).sample(words, 60))) for n in range(400)]
+    rows += [(1000 + n, rows[n][1] + " end") for n in range(12)] + [(2000, "twice the same"), (2000, "twice the same")]
+    table = docs(rows)
+    moved, join = [], type(table).join
+
+    def joined(left, right, on=None, how=None):
+        if "text" in left.columns and "_id_bits" not in right.columns:
+            moved.append(left.count())
+        return join(left, right, on, how)
+
+    monkeypatch.setattr(type(table), "join", joined)
+    left = minhash.without_near_duplicates(table)
+    monkeypatch.undo()
+    assert sorted(r.doc_id for r in left.collect()) == [*range(400), 2000]
+    assert len(moved) >= 4 and max(moved) < 30, moved
+
+
 def test_links_through_each_text_of_a_repeated_id(docs):
     one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
     rows = [(5, one), (5, two), (7, one + " end"), (9, two + " end")]
