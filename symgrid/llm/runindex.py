@@ -4,7 +4,8 @@ Every byte covered by a LENGTH-byte string that also starts in a document with a
 marked, exactly. The work is cut into steps that each move little:
 
 1. Texts are bundled into packs of about PACK bytes, compressed, with their anchors: in every window of LENGTH
-   bytes the GRAM-byte gram of least hash is one, so equal windows have equal anchors.
+   bytes the GRAM-byte gram of least hash is one, so equal windows have equal anchors. Packs are written once, by number, and
+   replies come to where they lie, so texts are not moved. How many parts they are written in goes by the bytes of all texts, counted first.
 2. Each pack sends the hashes of its anchors once to the bucket of their hash, which answers which of them other
    documents have too. Least hashes are small ones, so buckets go by a second hash, of which they get equal shares.
 3. For those, a pack sends the context (the windows that an anchor is least in) with the smallest document that has it. Where all
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symgrid.llm.common import staged
+from symgrid.llm.common import staged, staged_by
 from symgrid.llm.shingles import mix
 
 LENGTH = 50
@@ -50,6 +51,9 @@ BUCKET_ANCHORS = 1 << 19
 BLOCK = 1 << 18
 #: Buckets that a task answers, on average.
 AT_ONCE = 2
+#: Bytes of text in a part of the packs, about, and as many parts at most: Spark allows 100,000.
+PART = 16 * PACK
+MOST_PARTS = 1 << 16
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -57,7 +61,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 _NONE = np.iinfo(np.int64).max
 
-PACKS = "pack long, n_bytes long, doc_ids binary, lengths binary, data binary, anchors binary"
+PACKS = "pack long, doc_ids binary, lengths binary, data binary, anchors binary"
 LETTERS = "bucket long, pack long, content binary"
 REPLIES = "pack long, step int, bucket long, content binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>"
@@ -258,8 +262,8 @@ def packs_of(docs: DataFrame) -> DataFrame:
             lengths = np.array([len(text) for _, text in held], np.int64).tobytes()
             packed = zstandard.ZstdCompressor(level=3).compress(data)
             anchors = Pack(np.frombuffer(ids, np.int64), np.frombuffer(lengths, np.int64), np.frombuffer(data, np.uint8)).found_anchors()
-            columns = ["pack", "n_bytes", "doc_ids", "lengths", "data", "anchors"]
-            return pd.DataFrame([(number, len(data), ids, lengths, packed, anchors)], columns=columns)
+            columns = ["pack", "doc_ids", "lengths", "data", "anchors"]
+            return pd.DataFrame([(number, ids, lengths, packed, anchors)], columns=columns)
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype("object"), batch["text"], strict=True):
@@ -498,8 +502,8 @@ def _mark(packs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per document: bytes, removed bytes and runs (byte offsets), and the digest of what is kept."""
-    packs = staged(packs_of(docs), "packs")
-    total = packs.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    packs = staged_by(packs_of(docs), "packs", "pack", min(1 + total // PART, MOST_PARTS))
     buckets = 1 + total * 2 // ((LENGTH - GRAM + 2) * BUCKET_ANCHORS)
     replies = staged(_by_bucket(_send_anchors(packs, buckets), buckets).applyInPandas(_answer_anchors, REPLIES), "anchor-replies")
     questions = packs.groupBy("pack").cogroup(replies.groupBy("pack")).applyInPandas(_ask(buckets), LETTERS)

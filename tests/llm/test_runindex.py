@@ -136,5 +136,16 @@ def test_anchors_of_many_contexts_are_split(contexts, state):
     assert answers == [[state, 2], [state, 2], [0]]
 
 
+def test_packs_are_not_moved(spark, docs, monkeypatch):
+    monkeypatch.setattr(runindex, "PACK", 3000)
+    monkeypatch.setattr(runindex, "PART", 6000, raising=False)
+    tables = [table.name for table in spark.catalog.listTables()]
+    found = runindex.repeated_passages(docs(corpus(0)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(pack") == plan.count("Exchange") == 1
+    assert found.count() == len(corpus(0))
+    assert [table.name for table in spark.catalog.listTables()] == tables
+
+
 def test_empty_table(docs):
     assert runindex.repeated_passages(docs([])).collect() == []
